@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswright.llm import lang, tokens
+from glosswright.llm import lang, pieces, splits, tokens
 from glosswright.runtime import table
 
 
@@ -52,9 +52,75 @@ def p7_budget(spark: SparkSession, sf: str) -> DataFrame:
     return t.groupBy("channel", "domain", "language").agg(F.count("*").alias("videos"), F.sum("tokens").alias("tokens"))
 
 
+def _entry_components(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "entries").select("entry_id", splits.video_key(F.col("metadata")).alias("video"))
+    e = e.withColumn("entities", F.when(F.col("video").isNotNull(), F.array(F.concat(F.lit("video:"), "video"))))
+    return splits.group_components(e, "entry_id", "entities")
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    known = _entry_components(spark, sf).where(~F.startswith("component", F.lit("row:")))
+    return splits.broken_groups(table(spark, sf, "entries").select("entry_id", "prev_split"), "entry_id", known, "prev_split")
+
+
+def p4_splits(spark: SparkSession, sf: str) -> DataFrame:
+    targets = [(r.split_name, r.share) for r in table(spark, sf, "split_targets").orderBy("split_name").collect()]  # a fixed handful
+    return splits.assign(_entry_components(spark, sf), targets).select("entry_id", "component", "split")
+
+
+def _oversized(spark: SparkSession, sf: str) -> DataFrame:
+    items = table(spark, sf, "normalize_chunks").select("video_id", "chunk_index", "start_segment_index", "end_segment_index", "text")
+    return pieces.oversized(items, table(spark, sf, "transcript_segments"))
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.cut_items(_oversized(spark, sf), with_text=False).select("video_id", "chunk_index", F.col("needed").alias("boundary"))
+
+
+def p5_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    cut = pieces.cut_items(_oversized(spark, sf))
+    return cut.select("video_id", "chunk_index", F.inline("pieces")).withColumnRenamed("text", "piece")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("p") and k[1].isdigit() and callable(f)}
 
 
+#: The video of an entry, as splits.video_key tells it.
+_VIDEO_SQL = r"""
+keyed as (
+  select entry_id, prev_split, coalesce(
+    nullif(regexp_extract(plain, '[?&]v=([A-Za-z0-9_-]{11})(?:$|[&#])', 1), ''),
+    nullif(regexp_extract(plain, '(?:^|[=/:])([A-Za-z0-9_-]{11})(?:$|[?&#/])', 1), ''),
+    nullif(regexp_extract(path, '(?:^|/)chunks/([A-Za-z0-9_-]{11})/', 1), '')) as video
+  from (select entry_id, prev_split, metadata.source_excerpt_path as path,
+        regexp_replace(metadata.video_id, '^[\s"'']+|[\s"'']+$', '', 'g') as plain from entries)
+)"""
+
+ORACLE = {
+    "p4_found": "with" + _VIDEO_SQL + """
+select distinct entry_id from keyed where video in
+  (select video from keyed where video is not null group by video having count(distinct prev_split) > 1)""",
+    "p4_splits": "with" + _VIDEO_SQL + """,
+comp as (select entry_id, coalesce('video:' || min(video), 'row:' || entry_id) as component from keyed group by entry_id),
+bounds as (select split_name, sum(share) over (order by split_name) as hi, sum(share) over (order by split_name) - share as lo,
+  sum(share) over () as total from split_targets),
+points as (select entry_id, component, ('0x' || substr(sha256(component), 1, 8))::bigint / 4294967296.0 as x from comp)
+select entry_id, component, split_name as split from points join bounds on x * total >= lo and x * total < hi""",
+    "p5_found": r"""
+with items as (select distinct video_id, chunk_index, start_segment_index as s, end_segment_index as e, text
+  from normalize_chunks where length(text) > 1200),
+segs as (select video_id, segment_index, max(trim(text, E' \t\n\r\x0b\x0c')) as t from transcript_segments
+  where length(trim(text, E' \t\n\r\x0b\x0c')) > 0 group by all),
+parts as (select i.video_id, i.chunk_index, t from items i join segs g on g.video_id = i.video_id and g.segment_index between i.s and i.e),
+longest as (select video_id, chunk_index, max(length(t)) as seg,
+  max(list_max(list_transform(string_split(regexp_replace(t, '([.!?…])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: length(x)))) as sen,
+  max(list_max(list_transform(string_split_regex(t, '\s+'), lambda x: length(x)))) as word
+  from parts group by all)
+select video_id, chunk_index, case when seg <= 1200 then 'segment' when sen <= 1200 then 'sentence' when word <= 1200 then 'word' else 'none' end as boundary
+from longest""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
