@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswright.llm import lang, pieces, splits, tokens
+from glosswright.llm import lang, pieces, repetition, splits, tokens
 from glosswright.runtime import table
 
 
@@ -82,6 +82,33 @@ def p5_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return cut.select("video_id", "chunk_index", F.inline("pieces")).withColumnRenamed("text", "piece")
 
 
+def live_stream(spark: SparkSession, sf: str, share: float = 0.05) -> list[str]:
+    """Ids of the live videos with at least *share* of all segments: at most 1 / share of them."""
+    sizes = table(spark, sf, "transcript_segments").groupBy("video_id").agg(F.count("*").alias("n"))
+    total = F.broadcast(sizes.agg(F.sum("n").alias("total")))
+    big = sizes.join(total, F.col("n") >= share * F.col("total")).select("video_id")
+    v = table(spark, sf, "videos")
+    live = v.where((F.col("live_status") == "is_live") | F.col("metrics.is_live")).select("video_id")
+    return [r.video_id for r in live.join(F.broadcast(big), "video_id", "left_semi").distinct().collect()]
+
+
+def p6_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of repeated content of each excerpt and, with chunk_index -1, each whole transcript."""
+    excerpts = repetition.text_repetition(table(spark, sf, "chunk_records"), ["video_id", "chunk_index"], "normalized_excerpt")
+    segments = table(spark, sf, "transcript_segments").select("video_id", "segment_index", "text")
+    segments = segments.where(~F.col("video_id").isin(live_stream(spark, sf)))
+    whole = repetition.sequence_repetition(segments, "video_id", "segment_index", "text")
+    return excerpts.unionByName(whole.withColumn("chunk_index", F.lit(-1).cast("long")))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p6_shares(spark, sf).where("share >= 0.4").select("video_id", "chunk_index")
+
+
+def p6_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return repetition.divergence(table(spark, sf, "chunk_records"), ["video_id", "chunk_index"], "normalized_excerpt")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("p") and k[1].isdigit() and callable(f)}
 
