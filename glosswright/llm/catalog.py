@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswright.llm import lang, pieces, repetition, splits, tokens
+from glosswright.llm import lang, pieces, prose, repetition, splits, tokens
 from glosswright.runtime import table
 
 
@@ -109,6 +109,28 @@ def p6_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return repetition.divergence(table(spark, sf, "chunk_records"), ["video_id", "chunk_index"], "normalized_excerpt")
 
 
+def _prose(spark: SparkSession, sf: str) -> DataFrame:
+    return prose.measure(table(spark, sf, "chunk_records"), ["video_id", "chunk_index"], "normalized_excerpt")
+
+
+def p2_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics, distance from the language's prose and contributions of each excerpt."""
+    measured = _prose(spark, sf)
+    return prose.score(measured, prose.fit(measured)).withColumn("kind", prose.kind())
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p2_statistics(spark, sf).where("kind is not null").select("video_id", "chunk_index", "kind")
+
+
+def p2_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Words counted in the excerpts of each video of analyze_metrics, beside the stored count."""
+    counted = _prose(spark, sf).groupBy("video_id").agg(F.sum("words").alias("words"))
+    m = _metrics(spark, sf).join(counted, "video_id", "left")
+    words = F.coalesce("words", F.lit(0))
+    return m.select("video_id", F.col("word_count").alias("stored"), words.alias("counted"), F.coalesce(F.col("word_count") == words, F.lit(False)).alias("agrees"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("p") and k[1].isdigit() and callable(f)}
 

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 #: Frequent function words, without those that two of the languages share.
 FUNCTION_WORDS = {
-    "en": "the of and to that was is it for with as his her they at this be from have had not are but were which she he there been their one would all will has if we you my when who what out so said its into them can only other some could these two may then any such our an before after while than over by how nobody without because every until somebody once during again your about".split(),
-    "fr": "le la les des du et est une dans que qui pour sur pas au avec ce cette il elle ils nous vous je se plus mais ou où leur leurs été sont était avait avant près ont fait comme tout tous très sans même aussi aux par puis alors après encore ses chez d'un d'une qu'un qu'une c'est c'était j'ai toujours parce jamais rien quand pourquoi voici voilà donc car".split(),
+    "en": "the of and to that was is it for with as his her they at this be from have had not are but were which she he there been their one would all will has if we you my when who what out so said its into them can only other some could these two may then any such our an before after while than over by how nobody without because every until somebody once during again your about a as between somewhere each another more most us me him no".split(),
+    "fr": "le la les des du de et est une dans que qui pour sur pas au avec ce cette il elle ils nous vous je se plus mais ou où leur leurs été sont était avait avant près ont fait comme tout tous très sans même aussi aux par puis alors après encore ses chez d'un d'une qu'un qu'une c'est c'était j'ai toujours parce jamais rien quand pourquoi voici voilà donc car a en un y d'une l'on qu'on n'a".split(),
     "de": "der die das und ist nicht ein eine einen einem einer eines den dem des zu mit sich auf für von im als auch es an werden aus er hat dass sie nach wird bei noch wie über nur war wir ich ihr ihre sein seine aber oder zum zur doch schon wenn weil denn warum hier gibt mehr sehr vor durch dann jetzt immer niemand etwa dafür wieder unter ohne gegen dieser diese dieses".split(),
-    "es": "el los las una unos unas del que y en con por para es son fue está estaba había pero como más su sus al lo le se ya muy sin sobre este esta estos esto cuando también hasta hay donde quien desde todo todos nos durante uno ni contra otros ese eso ante ellos mi qué cómo nadie antes después mientras porque aunque luego casi cerca además siempre nunca todavía según".split(),
+    "es": "el los las una unos unas del que y en con por para es son fue está estaba había pero como más su sus al lo le se ya muy sin sobre este esta estos esto cuando también hasta hay donde quien desde todo todos nos durante uno ni contra otros ese eso ante ellos mi qué cómo nadie antes después mientras porque aunque luego casi cerca además siempre nunca todavía según a de un no me te nada algo tan".split(),
 }
 #: Canonical codes of the spellings seen in language columns; a region suffix is cut off first.
 SPELLINGS = {
@@ -21,11 +21,12 @@ SPELLINGS = {
     "de": "de deu ger german deutsch allemand alemán".split(),
     "es": "es spa spanish español espanol espagnol spanisch castellano".split(),
 }
-_OWNER: dict[str, set[str]] = {}
+#: word -> the languages that list it; OWNER has the words of a single language.
+LANGUAGES: dict[str, tuple[str, ...]] = {}
 for _lang, _words in FUNCTION_WORDS.items():
-    for _w in _words:
-        _OWNER.setdefault(_w, set()).add(_lang)
-OWNER = {w: next(iter(langs)) for w, langs in _OWNER.items() if len(langs) == 1}
+    for _w in dict.fromkeys(_words):
+        LANGUAGES[_w] = (*LANGUAGES.get(_w, ()), _lang)
+OWNER = {w: langs[0] for w, langs in LANGUAGES.items() if len(langs) == 1}
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 ORDER = ("en", "fr", "de", "es")
 
