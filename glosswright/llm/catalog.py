@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswright.llm import lang, pieces, prose, repetition, splits, tokens
+from glosswright.llm import lang, pairs, pieces, prose, repetition, splits, tokens
 from glosswright.runtime import table
 
 
@@ -131,6 +131,16 @@ def p2_words(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("video_id", F.col("word_count").alias("stored"), words.alias("counted"), F.coalesce(F.col("word_count") == words, F.lit(False)).alias("agrees"))
 
 
+def p1_defects(spark: SparkSession, sf: str) -> DataFrame:
+    """Defect and clause coverage of every pair."""
+    e = table(spark, sf, "entries")
+    return pairs.defects(e, pairs.fit(e))
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p1_defects(spark, sf).where("defect is not null").select("entry_id", "defect")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("p") and k[1].isdigit() and callable(f)}
 
