@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswright.llm import lang, pairs, pieces, prose, repetition, splits, tokens
+from glosswright.llm import lang, leaks, pairs, pieces, prose, repetition, splits, tokens
 from glosswright.runtime import table
 
 
@@ -141,6 +141,15 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return p1_defects(spark, sf).where("defect is not null").select("entry_id", "defect")
 
 
+def p9_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaked items of each document with the words covered."""
+    return leaks.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p9_leaks(spark, sf).select("doc_id", "item_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("p") and k[1].isdigit() and callable(f)}
 
