@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswright.llm import lang, leaks, pairs, pieces, prose, repetition, splits, tokens
+from glosswright.llm import lang, leaks, pairs, pieces, prose, repetition, splits, tokens, toxicity
 from glosswright.runtime import table
 
 
@@ -150,6 +150,25 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_leaks(spark, sf).select("doc_id", "item_id")
 
 
+def p10_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Expected severity of each document in each category."""
+    d = table(spark, sf, "documents")
+    return toxicity.score(d, toxicity.train(d, table(spark, sf, "toxicity_labels")))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    pairs_ = F.explode(F.array(*[F.struct(F.lit(c).alias("category"), F.col(c).alias("severity")) for c in toxicity.CATEGORIES])).alias("x")
+    return p10_scores(spark, sf).select("doc_id", pairs_).where(F.col("x.severity") >= toxicity.SEVERE).select("doc_id", "x.category")
+
+
+def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of severe documents per source and category; a null source is a source of its own."""
+    s = p10_scores(spark, sf)
+    severe = [F.avg((F.col(c) >= toxicity.SEVERE).cast("double")).alias(c) for c in toxicity.CATEGORIES]
+    any_of = F.avg((F.greatest(*toxicity.CATEGORIES) >= toxicity.SEVERE).cast("double")).alias("any")
+    return s.groupBy("source").agg(F.count("*").alias("documents"), *severe, any_of)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("p") and k[1].isdigit() and callable(f)}
 
