@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswright.llm import lang, leaks, pairs, pieces, prose, repetition, splits, tokens, toxicity
+from glosswright.llm import lang, leaks, pairs, pieces, prose, repetition, splits, tokens, toxicity, turns
 from glosswright.runtime import table
 
 
@@ -169,8 +170,17 @@ def p10_rates(spark: SparkSession, sf: str) -> DataFrame:
     return s.groupBy("source").agg(F.count("*").alias("documents"), *severe, any_of)
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return turns.turns(table(spark, sf, "transcript_segments"), table(spark, sf, "speakers"), video_channels(spark, sf))
+
+
+def p3_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The clean lines of every turn, in order of (video_id, segment_index, pos)."""
+    return turns.lines(table(spark, sf, "transcript_segments"), table(spark, sf, "speakers"), video_channels(spark, sf))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("p") and k[1].isdigit() and callable(f)}
+    return {k: f for k, f in globals().items() if re.match(r"p\d+_", k)}
 
 
 #: The video of an entry, as splits.video_key tells it.
