@@ -30,15 +30,15 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from glosswright.llm.leaks import similar
-from glosswright.runtime import spread
+from glosswright.runtime import cut, spread
 
 BLOCK = 4_096
 HOST, GUEST = -1, -2
 ROLES = {"host": HOST, "moderator": HOST, "moderatorin": HOST, "gastgeber": HOST, "presenter": HOST, "presentador": HOST, "presentadora": HOST, "anfitrion": HOST, "animateur": HOST, "animatrice": HOST, "interviewer": HOST, "guest": GUEST, "gast": GUEST, "invité": GUEST, "invitée": GUEST, "invitado": GUEST, "invitada": GUEST}
 #: Always hesitations.
-HESITATIONS = ["uh", "uhh", "um", "umm", "er", "erm", "uhm", "hm", "hmm", "mm", "mmm", "mhm", "äh", "ähm", "öh", "öhm", "euh", "eh", "em"]
+HESITATIONS = ["bah", "ben", "hein", "uh", "uhh", "um", "umm", "er", "erm", "uhm", "hm", "hmm", "mm", "mmm", "mhm", "äh", "ähm", "öh", "öhm", "euh", "eh", "em"]
 #: Hesitations where a comma, dots or the end of the speech follow, or where nothing else is said.
-LIKELY = ["you know", "i mean", "sort of", "kind of", "well", "like", "ben", "bah", "hein", "enfin bon", "enfin", "quoi", "ne", "sozusagen", "halt", "also", "o sea", "este", "pues", "bueno"]
+LIKELY = ["you know", "i mean", "sort of", "kind of", "well", "like", "enfin bon", "enfin", "quoi", "ne", "sozusagen", "halt", "also", "o sea", "este", "pues", "bueno"]
 SOUNDS = ["music", "music playing", "applause", "laughter", "laughs", "coughs", "sighs", "noise", "silence", "inaudible", "door slams", "background chatter", "upbeat theme", "crosstalk", "clears throat"]
 
 TIME = r"[\[(<]?\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d+)?[\])>]?"
@@ -153,9 +153,10 @@ class Labels:
         tail = _AFTER.match(low, b)
         if not tail:
             return None
-        before = low[:start].rstrip()
-        if tail.group().strip(" *") != ":" and not mark and before and not re.search(r"[.!?…\])>]$", before):
-            return None  # a name, then a dash, in the middle of a sentence
+        if tail.group().strip() in "–—-" and not mark and " " not in low[a:b]:
+            before = _TIMES.sub(" ", _BRACKETS.sub(" ", low[:start])).rstrip()
+            if _WORD.search(before) and not re.search(r"[.!?…\])>]$", before):
+                return None  # one word, then a dash, in the middle of a sentence
         return start, tail.end(), who
 
 
@@ -170,7 +171,7 @@ def _clean(text: str, low: str, fillers: list[tuple[int, int, str]], start: int,
                 cut.append((a, b + (after.end() if after else 0)))
             elif after := re.match(r"\s?(?:,|\.{2,}|…)+", low[b:end]):
                 before = low[start:a].rstrip()
-                if word in ("you know", "i mean", "sort of", "kind of", "enfin bon", "o sea", "sozusagen", "ne", "ben", "bah", "hein") or not before or before[-1] in ".,;:!?…":
+                if word in ("you know", "i mean", "sort of", "kind of", "enfin bon", "o sea", "sozusagen", "ne") or not before or before[-1] in ".,;:!?…":
                     cut.append((a, b + after.end()))
     out = _subtract(text, start, end, cut)
     if not _WORD.search(out):
@@ -256,14 +257,15 @@ def spoken(found: DataFrame, video_channel: DataFrame, speakers: DataFrame) -> D
     hits = F.filter("who", lambda w: F.array_contains("people", w))
     named = F.when(F.array_contains("who", F.lit(HOST)), F.col("host")).when(F.array_contains("who", F.lit(GUEST)), F.col("guest")).when(F.size(hits) == 1, F.get(hits, F.lit(0)))
     extra = [c for c in ("speech",) if c in rows.columns]
-    return rows.select("video_id", F.floor(F.col("segment_index") / BLOCK).alias("b"), "segment_index", "pos", named.alias("named"), *extra)
+    # read three times below: without the cut every read would run the pass over the texts again
+    return cut(rows.select("video_id", F.floor(F.col("segment_index") / BLOCK).alias("b"), "segment_index", "pos", named.alias("named"), *extra))
 
 
 def numbered(rows: DataFrame) -> DataFrame:
     """Adds ``speaker`` and ``stretch`` (number of the stretch of one speaker within its block)."""
     inside = Window.partitionBy("video_id", "b").orderBy("segment_index", "pos")
-    blocks = rows.where("named is not null").groupBy("video_id", "b").agg(F.max_by("named", F.struct("segment_index", "pos")).alias("left"))
-    every = rows.select("video_id", "b").distinct().join(blocks, ["video_id", "b"], "left")
+    last_named = F.max_by("named", F.when(F.col("named").isNotNull(), F.struct("segment_index", "pos")))
+    every = rows.groupBy("video_id", "b").agg(last_named.alias("left"))
     across = Window.partitionBy("video_id").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     carried = every.select("video_id", "b", F.last("left", ignorenulls=True).over(across).alias("carried"))
     own = rows.withColumn("own", F.last("named", ignorenulls=True).over(inside))
@@ -275,8 +277,7 @@ def numbered(rows: DataFrame) -> DataFrame:
 def stretches(rows: DataFrame) -> DataFrame:
     """(video_id, b, stretch, speaker, first, last, turn): turn is equal for stretches that blocks cut apart."""
     s = rows.groupBy("video_id", "b", "stretch").agg(F.first("speaker").alias("speaker"), F.min("segment_index").alias("first"), F.max("segment_index").alias("last"))
-    counts = s.groupBy("video_id", "b").agg(F.max("stretch").alias("n"))
-    s = s.join(counts, ["video_id", "b"])
+    s = cut(s.withColumn("n", F.max("stretch").over(Window.partitionBy("video_id", "b"))))
     edge = (F.col("stretch") == 1) | (F.col("stretch") == F.col("n"))
     own = F.struct("b", "stretch")
     order = Window.partitionBy("video_id").orderBy("b", "stretch")
