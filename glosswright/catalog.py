@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from glosswright.functions import hashing, parsing, text
 from glosswright.operators import dedup, generate, rules, sequences, tables
 from glosswright.plans.config import BRIEFS, STAGES, Edit, Filter, Talk
-from glosswright.runtime import table
+from glosswright.runtime import cut, table
 from glosswright.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,20 +139,20 @@ def op_m6_similarity(spark, sf):
 
 @query(f"with {_PROFILE} select doc_id, word_count, kinds as unique_word_count, round(unique_ratio, 6) as unique_ratio, round(hapax_ratio, 6) as hapax_ratio, round(avg_word_length, 6) as avg_word_length, round(long_word_ratio, 6) as long_word_ratio from prof where text is not null")
 def op_m8_lexical(spark, sf):
-    lex = docs(spark, sf).where("text is not null").select("doc_id", text.lexical(F.col("text")).alias("m"))
+    lex = text.with_sums(docs(spark, sf).where("text is not null"), "text").select("doc_id", text.lexical(F.col("__sums")).alias("m"))
     return lex.select("doc_id", "m.word_count", "m.unique_word_count", *[r6(F.col(f"m.{c}")).alias(c) for c in ("unique_ratio", "hapax_ratio", "avg_word_length", "long_word_ratio")])
 
 
-@query(f"with {_PROFILE} select doc_id, round(ease, 6) as ease, round(ari, 6) as ari, round(fog, 6) as fog, round(coalesce(greatest(0, least(1, ease / 100)), 0.5), 6) as ease_unit from prof where text is not null")
+@query(f"with {_PROFILE} select doc_id, round(ease, 6) as ease, round(ari, 6) as ari, round(fog, 6) as fog, round(coalesce(greatest(0, least(1, ease / 100)), 0.5), 10) as ease_unit from prof where text is not null")
 def op_m9_m10_readability(spark, sf):
-    m = docs(spark, sf).where("text is not null").select("doc_id", text.readability(F.col("text")).alias("m"))
+    m = text.with_sums(docs(spark, sf).where("text is not null"), "text").select("doc_id", text.readability(F.col("__sums"), F.col("__sentences")).alias("m"))
     ease = F.col("m.flesch_reading_ease")
-    return m.select("doc_id", r6(ease).alias("ease"), r6(F.col("m.automated_readability_index")).alias("ari"), r6(F.col("m.gunning_fog")).alias("fog"), r6(text.ease_to_unit(ease)).alias("ease_unit"))
+    return m.select("doc_id", r6(ease).alias("ease"), r6(F.col("m.automated_readability_index")).alias("ari"), r6(F.col("m.gunning_fog")).alias("fog"), F.round(text.ease_to_unit(ease), 10).alias("ease_unit"))
 
 
 @query(f"with {_PROFILE} select doc_id, {_language_sql('ws')} as language, token_count, word_count, sentence_count, round(word_count / greatest(1, sentence_count), 6) as avg_words_per_sentence, round(quality_score, 6) as quality_score from scored where text is not null")
 def op_m11_m12_m13_profile(spark, sf):
-    p = docs(spark, sf).where("text is not null").select("doc_id", *text.profile(F.col("text")))
+    p = text.with_profile(docs(spark, sf).where("text is not null"), "text")
     return p.select("doc_id", "language", "token_count", "word_count", "sentence_count", r6(F.col("avg_words_per_sentence")).alias("avg_words_per_sentence"), r6(F.col("quality_score")).alias("quality_score"))
 
 
@@ -171,7 +171,7 @@ _EXCERPTS = """excerpts as (select a.video_id, a.chunk_index, b.text, a.normaliz
 @query(f"""with {_EXCERPTS}, n as (select video_id, chunk_index, length(text) as sc, length(norm) as nc, {_tokens('text')} as st, {_tokens('norm')} as nt, len({_words('text')}) as sw, len({_words('norm')}) as nw from excerpts)
 select video_id, chunk_index, nc - sc as chars_delta, nt - st as tokens_delta, nw - sw as words_delta, round({_ratio('nc', 'sc')}, 6) as chars_ratio, round({_ratio('nt', 'st')}, 6) as tokens_ratio, round({_ratio('nw', 'sw')}, 6) as words_ratio from n""")
 def op_m5_m14_change(spark, sf):
-    m = _excerpt_pairs(spark, sf).select("video_id", "chunk_index", *text.change_block(F.col("text"), F.col("normalized_excerpt")))
+    m = text.with_change(_excerpt_pairs(spark, sf), "text", "normalized_excerpt")
     return m.select("video_id", "chunk_index", "chars_delta", "tokens_delta", "words_delta", *[r6(F.col(f"{c}_ratio")).alias(f"{c}_ratio") for c in ("chars", "tokens", "words")])
 
 
@@ -265,11 +265,10 @@ FILTER = Filter(language_allowlist=("en", "fr", "de", "es"), min_words=60, min_t
 
 def _profiled(spark, sf):
     """Documents as normalized transcripts: their profile, and what squeezing white space changed."""
-    t = F.col("text")
-    squeezed = text.squeeze_spaces(t)
-    return docs(spark, sf).where("text is not null").select(
-        "doc_id", *[c for c in text.profile(t)], text.ratio(text.approx_token_count(squeezed), text.approx_token_count(t)).alias("normalize_token_ratio"),
-        text.ratio(F.length(squeezed), F.length(t)).alias("normalize_length_ratio"), F.lit(None).cast("double").alias("normalize_similarity"),
+    p = text.with_profile(docs(spark, sf).where("text is not null"), "text").withColumn("__squeezed", text.squeeze_spaces(F.col("text")))
+    return p.select(
+        *[c for c in p.columns if c not in ("text", "__squeezed")], text.ratio(text.approx_token_count(F.col("__squeezed")), F.col("token_count")).alias("normalize_token_ratio"),
+        text.ratio(F.length("__squeezed"), F.length("text")).alias("normalize_length_ratio"), F.lit(None).cast("double").alias("normalize_similarity"),
     )
 
 
@@ -285,8 +284,6 @@ def op_p7_p8_cascade(spark, sf):
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Profile, ordered rules, then near-duplicates among the survivors: one decision per document."""
-    from glosswright.runtime import cut
-
     judged = cut(rules.decide(_profiled(spark, sf), rules.quality_rules(FILTER)).select("doc_id", "language", "word_count", "token_count", r6(F.col("quality_score")).alias("quality_score"), "reason"))
     alive = docs(spark, sf).join(judged.where("reason is null").select("doc_id"), "doc_id", "left_semi")
     near = dedup.near_duplicates(dedup.signatures(alive, "doc_id", "text", K), "doc_id", K, THRESHOLD)
@@ -305,7 +302,8 @@ def op_filter_decisions(spark, sf):
 
 @query(f"with {_PROFILE}, {_CASCADE} select reason, count(*) as n from judged where reason is not null group by reason")
 def op_a5_reasons(spark, sf):
-    return rules.reason_counts(rules.decide(_profiled(spark, sf), rules.quality_rules(FILTER)))
+    # a filter on a computed column would be pushed below it and compute its folds again: cut first
+    return rules.reason_counts(cut(rules.decide(_profiled(spark, sf), rules.quality_rules(FILTER)).select("reason")))
 
 
 @query("select distinct video_id, status from transcripts where status = 'ready'")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,46 +75,49 @@ def approx_token_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(APPROX_TOKEN)).cast("bigint")
 
 
-def lexical(text: Column) -> Column:
-    """M8 as one struct, by one fold over the sorted words: no explode and no shuffle."""
-    ws = F.sort_array(words(text))
-    start = F.struct(
-        F.lit(None).cast("string").alias("last"), F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("n"),
-        F.lit(0).cast("bigint").alias("kinds"), F.lit(0).cast("bigint").alias("once"), F.lit(0).cast("bigint").alias("chars"), F.lit(0).cast("bigint").alias("long"),
-    )
+_FOLD = ("n", "kinds", "once", "chars", "long", "syllables", "hard")
+
+
+def word_sums(ws: Column) -> Column:
+    """One fold over the words for M8 and M9: counts of words, kinds, words that occur once, letters, long words, syllables, hard words.
+
+    The words come sorted, so kinds and single words need no table, no explode and no shuffle.
+    A struct is used many times over: put it into a column of its own (``with_sums``), as
+    higher-order functions run again wherever their expression is written.
+    """
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(F.lit(None).cast("string").alias("last"), zero.alias("run"), *[zero.alias(c) for c in _FOLD])
 
     def step(acc: Column, w: Column) -> Column:
         same = F.coalesce(acc["last"] == w, F.lit(False))
+        spoken = F.greatest(F.lit(1), F.regexp_count(w, F.lit(VOWELS)))
         return F.struct(
             w.alias("last"), F.when(same, acc["run"] + 1).otherwise(F.lit(1).cast("bigint")).alias("run"), (acc["n"] + 1).alias("n"),
             (acc["kinds"] + F.when(same, 0).otherwise(1)).alias("kinds"),
             # a word counts as occurring once until it comes a second time
             (acc["once"] + F.when(~same, 1).when(acc["run"] == 1, -1).otherwise(0)).alias("once"),
             (acc["chars"] + F.length(w)).alias("chars"), (acc["long"] + F.when(F.length(w) >= LONG_WORD, 1).otherwise(0)).alias("long"),
+            (acc["syllables"] + spoken).alias("syllables"), (acc["hard"] + F.when(spoken >= 3, 1).otherwise(0)).alias("hard"),
         )
 
-    def finish(acc: Column) -> Column:
-        return F.struct(
-            acc["n"].alias("word_count"), acc["kinds"].alias("unique_word_count"), ratio(acc["kinds"], acc["n"]).alias("unique_ratio"),
-            ratio(acc["once"], acc["n"]).alias("hapax_ratio"), ratio(acc["chars"], acc["n"]).alias("avg_word_length"), ratio(acc["long"], acc["n"]).alias("long_word_ratio"),
-        )
-
-    return F.aggregate(ws, start, step, finish)
+    return F.aggregate(F.sort_array(ws), start, step, lambda acc: F.struct(*[acc[c].alias(c) for c in _FOLD]))
 
 
-def readability(text: Column) -> Column:
-    """M9 by the published formulas: Flesch reading ease, automated readability, Gunning fog; null for wordless text."""
-    ws = words(text)
-    syllables = lambda w: F.greatest(F.lit(1), F.regexp_count(w, F.lit(VOWELS)))
-    start = F.struct(*[F.lit(0).cast("bigint").alias(c) for c in ("n", "chars", "syllables", "hard")])
-    sums = F.aggregate(
-        ws, start,
-        lambda a, w: F.struct((a["n"] + 1).alias("n"), (a["chars"] + F.length(w)).alias("chars"), (a["syllables"] + syllables(w)).alias("syllables"), (a["hard"] + F.when(syllables(w) >= 3, 1).otherwise(0)).alias("hard")),
+def lexical(sums: Column) -> Column:
+    """M8 from word_sums; zeros without words."""
+    n = sums["n"]
+    return F.struct(
+        n.alias("word_count"), sums["kinds"].alias("unique_word_count"), ratio(sums["kinds"], n).alias("unique_ratio"), ratio(sums["once"], n).alias("hapax_ratio"),
+        ratio(sums["chars"], n).alias("avg_word_length"), ratio(sums["long"], n).alias("long_word_ratio"),
     )
-    n, sentences = sums["n"], F.greatest(F.lit(1), sentence_count(text))
-    ease = 206.835 - 1.015 * (n / sentences) - 84.6 * (sums["syllables"] / n)
-    automated = 4.71 * (sums["chars"] / n) + 0.5 * (n / sentences) - 21.43
-    fog = 0.4 * (n / sentences + 100 * (sums["hard"] / n))
+
+
+def readability(sums: Column, sentences: Column) -> Column:
+    """M9 from word_sums by the published formulas: Flesch reading ease, automated readability, Gunning fog; null for wordless text."""
+    n, s = sums["n"], F.greatest(F.lit(1), sentences)
+    ease = 206.835 - 1.015 * (n / s) - 84.6 * (sums["syllables"] / n)
+    automated = 4.71 * (sums["chars"] / n) + 0.5 * (n / s) - 21.43
+    fog = 0.4 * (n / s + 100 * (sums["hard"] / n))
     some = n > 0
     return F.struct(F.when(some, ease).alias("flesch_reading_ease"), F.when(some, automated).alias("automated_readability_index"), F.when(some, fog).alias("gunning_fog"))
 
@@ -147,15 +150,17 @@ STOP_WORDS = {
 }
 
 
-def detect_language(text: Column) -> Column:
-    """Language with the most stop words, the first in order on ties; unknown without any."""
-    ws = words(text)
+def language_scores(ws: Column) -> Column:
+    """Stop words of each language among the words: struct<n, k, code> of the best, the first in order on ties."""
 
     def hits(stop: list[str]) -> Column:
         return F.size(F.filter(ws, lambda w: w.isin(stop)))
 
-    scores = [F.struct(hits(stop).alias("n"), F.lit(-k).alias("k"), F.lit(code).alias("code")) for k, (code, stop) in enumerate(STOP_WORDS.items())]
-    best = F.greatest(*scores)
+    return F.greatest(*[F.struct(hits(stop).alias("n"), F.lit(-k).alias("k"), F.lit(code).alias("code")) for k, (code, stop) in enumerate(STOP_WORDS.items())])
+
+
+def detect_language(best: Column) -> Column:
+    """M13 from language_scores; unknown without any stop word."""
     return F.when(best["n"] > 0, best["code"]).otherwise("unknown")
 
 
@@ -182,29 +187,41 @@ def novel_ratio(candidate: Column, source: Column) -> Column:
     return ratio(F.size(F.filter(ws, lambda w: ~F.array_contains(known, w))), F.size(ws))
 
 
-def profile(text: Column, tokens: Column | None = None) -> list[Column]:
-    """The analysis block (M2 to M13) as flat columns."""
-    lex, read = lexical(text), readability(text)
-    n, sentences = lex["word_count"], sentence_count(text)
-    ease = read["flesch_reading_ease"]
-    return [
-        detect_language(text).alias("language"), (tokens if tokens is not None else approx_token_count(text)).alias("token_count"), n.alias("word_count"), sentences.alias("sentence_count"),
-        lex["unique_ratio"].alias("unique_ratio"), lex["hapax_ratio"].alias("hapax_ratio"), lex["avg_word_length"].alias("avg_word_length"), lex["long_word_ratio"].alias("long_word_ratio"),
-        ease.alias("flesch_reading_ease"), read["automated_readability_index"].alias("automated_readability_index"), read["gunning_fog"].alias("gunning_fog"),
-        words_per_sentence(n, sentences).alias("avg_words_per_sentence"), quality_score(n, lex["unique_ratio"], lex["hapax_ratio"], sentences, ease, lex["long_word_ratio"]).alias("quality_score"),
-    ]
-
-
-def change_block(source: Column, result: Column) -> list[Column]:
-    """M14 without similarity: counts of both sides, deltas and ratios."""
-    out = []
-    measures = {"chars": lambda t: F.length(t).cast("bigint"), "tokens": approx_token_count, "words": word_count, "sentences": sentence_count}
-    for name, f in measures.items():
-        a, b = f(source), f(result)
+def with_sums(df: DataFrame, text: str, prefix: str = "") -> DataFrame:
+    """Adds columns of intermediate results, each computed once per row.
+
+    Do not filter on what follows from them in the same plan: the optimizer moves the filter
+    below and writes the folds out again. Cut the lineage first.
+    """
+    df = df.withColumn(f"__{prefix}words", words(F.col(text)))
+    return df.withColumn(f"__{prefix}sums", word_sums(F.col(f"__{prefix}words"))).withColumn(f"__{prefix}sentences", sentence_count(F.col(text)))
+
+
+def with_profile(df: DataFrame, text: str, tokens: Column | None = None) -> DataFrame:
+    """The analysis block (M2 to M13) as further columns."""
+    kept = df.columns
+    df = with_sums(df, text).withColumn("__best", language_scores(F.col("__words"))).withColumn("__tokens", tokens if tokens is not None else approx_token_count(F.col(text)))
+    sums, sentences = F.col("__sums"), F.col("__sentences")
+    df = df.withColumn("__lex", lexical(sums)).withColumn("__read", readability(sums, sentences))
+    n, lex, read = F.col("__lex.word_count"), F.col("__lex"), F.col("__read")
+    return df.select(
+        *kept, detect_language(F.col("__best")).alias("language"), F.col("__tokens").alias("token_count"), n.alias("word_count"), sentences.alias("sentence_count"),
+        *[lex[c].alias(c) for c in ("unique_ratio", "hapax_ratio", "avg_word_length", "long_word_ratio")], *[read[c].alias(c) for c in ("flesch_reading_ease", "automated_readability_index", "gunning_fog")],
+        words_per_sentence(n, sentences).alias("avg_words_per_sentence"), quality_score(n, lex["unique_ratio"], lex["hapax_ratio"], sentences, read["flesch_reading_ease"], lex["long_word_ratio"]).alias("quality_score"),
+    )
+
+
+def with_change(df: DataFrame, source: str, result: str) -> DataFrame:
+    """M14 without similarity: counts of both sides, deltas and ratios, lexical and readability values per side."""
+    kept = df.columns
+    for prefix, column in (("source_", source), ("normalized_", result)):
+        df = with_sums(df, column, prefix).withColumn(f"__{prefix}tokens", approx_token_count(F.col(column))).withColumn(f"__{prefix}chars", F.length(column).cast("bigint"))
+        df = df.withColumn(f"__{prefix}lex", lexical(F.col(f"__{prefix}sums"))).withColumn(f"__{prefix}read", readability(F.col(f"__{prefix}sums"), F.col(f"__{prefix}sentences")))
+    out = [F.col(c) for c in kept]
+    for name in ("chars", "tokens", "words", "sentences"):
+        a, b = [F.col(f"__{side}lex.word_count") if name == "words" else F.col(f"__{side}{name}") for side in ("source_", "normalized_")]
         out += [a.alias(f"source_{name}"), b.alias(f"normalized_{name}"), (b - a).alias(f"{name}_delta"), ratio(b, a).alias(f"{name}_ratio")]
-    for side, t in (("source", source), ("normalized", result)):
-        lex = lexical(t)
-        out += [lex[k].alias(f"{side}_{k}") for k in ("unique_ratio", "hapax_ratio", "avg_word_length", "long_word_ratio")]
-        read = readability(t)
-        out += [read[k].alias(f"{side}_{k}") for k in ("flesch_reading_ease", "automated_readability_index", "gunning_fog")]
-    return out
+    for side in ("source_", "normalized_"):
+        out += [F.col(f"__{side}lex.{k}").alias(f"{side}{k}") for k in ("unique_ratio", "hapax_ratio", "avg_word_length", "long_word_ratio")]
+        out += [F.col(f"__{side}read.{k}").alias(f"{side}{k}") for k in ("flesch_reading_ease", "automated_readability_index", "gunning_fog")]
+    return df.select(*out)

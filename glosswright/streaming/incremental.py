@@ -16,7 +16,7 @@ def profile_stream(spark: SparkSession, source: str, schema: str, out: str, mani
     def batch(rows: DataFrame, number: int) -> None:
         items = rows.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("text"), hashing.text_hash(F.coalesce(F.col(text_col), F.lit(""))).alias("input_hash"))
         fresh = manifest.misses("analyze", items.dropDuplicates(["item_id"])).persist()
-        done = fresh.where("text is not null").select("item_id", *text.profile(F.col("text")))
+        done = text.with_profile(fresh.where("text is not null").select("item_id", "text"), "text").drop("text")
         done.write.mode("append").parquet(out)
         manifest.mark("analyze", fresh.select("item_id", F.when(F.col("text").isNull(), "skipped").otherwise("success").alias("status"), "input_hash", F.when(F.col("text").isNull(), "no_text").alias("reason")))
         fresh.unpersist()
