@@ -31,25 +31,32 @@ WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 ORDER = ("en", "fr", "de", "es")
 
 
-def hits(text: str) -> dict[str, int]:
-    """Function-word hits of each language in *text*."""
+def hits(words: list[str]) -> dict[str, int]:
+    """Function-word hits of each language among lower-case words, only words of a single language."""
     out = dict.fromkeys(ORDER, 0)
-    for w in WORD.findall(text.lower().replace("’", "'")):
-        owner = OWNER.get(w) or ("'" in w and OWNER.get(w.partition("'")[2]))
+    for w in words:
+        owner = OWNER.get(w)
         if owner:
             out[owner] += 1
+        elif "'" in w and (owner := OWNER.get(w.partition("'")[2])):
+            out[owner] += 1
     return out
 
 
-def guess(text: str, least: int = 2) -> str | None:
+def guess_words(words: list[str], least: int = 2) -> str | None:
     """Language with the most function words; None under *least* hits or on a tie."""
-    found = hits(text or "")
+    found = hits(words)
     best = sorted(found.values())
     if best[-1] < least or best[-1] == best[-2]:
         return None
     return max(found, key=found.get)
 
 
+def guess(text: str, least: int = 2) -> str | None:
+    """guess_words for a text."""
+    return guess_words(WORD.findall((text or "").lower().replace("’", "'")), least)
+
+
 def canonical(column: Column) -> Column:
     """Two-letter code of a language column; null for null, blank and unknown spellings."""
     head = F.regexp_extract(F.lower(F.trim(column)), r"^([^\s_-]+)", 1)
