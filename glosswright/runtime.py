@@ -7,6 +7,7 @@ import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,3 +46,8 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: lineage ends at files that survive the loss of any executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def if_small(keys: DataFrame, rows: int = 100_000) -> DataFrame:
+    """Marks a table of keys for broadcast after counting that it has at most *rows* of them; a larger one is left to a shuffle join."""
+    return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else keys
