@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glosswright.llm import bpe, lang
-from glosswright.runtime import spread
+from glosswright.runtime import cut, if_small, spread
 
 
 #: Characters that the pre-token pattern treats as white space.
@@ -127,10 +127,11 @@ def text_tokens(chunks: DataFrame, group: str, index: str, text: str, joint: str
     hit_names = [f"hits_{c}" for c in lang.ORDER]
     once = rows.groupBy("g", "i").agg(F.first(F.struct("alone", "joined", "ragged", *hit_names)).alias("p"))
     sums = once.groupBy("g").agg(
-        (F.sum("p.joined") - F.min_by(F.col("p.joined") - F.col("p.alone"), F.col("i"))).alias("sum_tokens"),
+        (F.sum("p.joined") - F.coalesce(F.min_by(F.col("p.joined") - F.col("p.alone"), F.col("i")), F.lit(0))).alias("sum_tokens"),
         F.max("p.ragged").alias("ragged"), *[F.sum(f"p.{h}").alias(h) for h in hit_names],
     )
-    hard = sums.where("ragged").select("g")
+    sums = cut(sums)  # a row per group, read twice
+    hard = if_small(sums.where("ragged").select("g"))
     source = chunks.select(F.col(group).alias("g"), F.col(index).alias("i"), F.col(text).alias("t")).where("t is not null")
     stream = source.join(hard, "g", "left_semi").repartition("g").sortWithinPartitions("g", "i")
     exact = _ragged_counts(stream, joint, ranks)
@@ -142,7 +143,7 @@ def untrusted_counts(metrics: DataFrame, tokens: DataFrame, factor: int = 3) ->
     true = F.coalesce(F.col("tokens"), F.lit(0))
     stored = F.col("token_count")
     wrong = stored.isNull() | (stored <= 0) | (stored > factor * true) | (stored * factor < true)
-    return metrics.join(tokens, "video_id", "left").where(wrong)
+    return metrics.select("video_id", "token_count").join(tokens.select("video_id", "tokens"), "video_id", "left").where(wrong)
 
 
 def video_languages(hit_prefix: str = "hits_") -> Column:
