@@ -150,6 +150,8 @@ def similar(a: str, b: str) -> bool:
     """Equal but for a slip: one edit or swap, two neighbouring ones in long words."""
     if a == b:
         return True
+    if a[0] != b[0] and a[-1] != b[-1]:
+        return False  # a single slip leaves one end as it is
     n, m = len(a), len(b)
     if abs(n - m) > 2 or min(n, m) < 3:
         return False
@@ -167,7 +169,7 @@ def similar(a: str, b: str) -> bool:
 
 def _garbled(a: str, b: str) -> bool:
     """Whether one word may be the other, badly misspelt: most letters agree, in order, from both ends."""
-    if min(len(a), len(b)) < 4 or abs(len(a) - len(b)) > 3:
+    if (a[0] != b[0] and a[-1] != b[-1]) or min(len(a), len(b)) < 4 or abs(len(a) - len(b)) > 3:
         return False
     i = 0
     while i < min(len(a), len(b)) and a[i] == b[i]:
@@ -187,7 +189,8 @@ def _extend_side(doc: list[str], item: list[str], d: int, i: int, step: int) ->
         i += step
         if not (0 <= d < nd and 0 <= i < ni):
             break
-        if doc[d] == item[i] or similar(doc[d], item[i]):
+        x, y = doc[d], item[i]
+        if x == y or ((x[0] == y[0] or x[-1] == y[-1]) and similar(x, y)):
             covered += 1 + pending
             pending, reached, run = 0, d, run + 1
             continue
@@ -195,13 +198,18 @@ def _extend_side(doc: list[str], item: list[str], d: int, i: int, step: int) ->
         if run < 2 or errors > 1 + (covered + run) // 5:
             break
         best = None
-        garbled = _garbled(doc[d], item[i])
+        garbled = (x[0] == y[0] or x[-1] == y[-1]) and _garbled(x, y)
         for skip_d, skip_i in ((0, 0), (1, 0), (0, 1), (2, 0), (0, 2)):
             # (0, 0): one word badly misspelt; else words added to the document or lost from the item.
             # A word in another's place is no slip: texts of one pattern differ in just that way.
             if skip_d == skip_i and not garbled:
                 continue
             a, b = (d + step, i + step) if (skip_d, skip_i) == (0, 0) else (d + skip_d * step, i + skip_i * step)
+            if not (0 <= a < nd and 0 <= b < ni):
+                continue
+            x, y = doc[a], item[b]
+            if x != y and x[0] != y[0] and x[-1] != y[-1]:
+                continue
             agree = 0
             while agree < 3 and 0 <= a < nd and 0 <= b < ni and (doc[a] == item[b] or similar(doc[a], item[b])):
                 agree, a, b = agree + 1, a + step, b + step
