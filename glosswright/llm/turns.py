@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from glosswright.llm.leaks import similar
 from glosswright.runtime import cut, spread
 
 BLOCK = 4_096
@@ -56,6 +55,17 @@ def _lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
+def _one_slip(a: str, b: str) -> bool:
+    """One letter lost, added, changed or swapped with its neighbour, in words of four letters or more."""
+    n, m = len(a), len(b)
+    if min(n, m) < 4 or abs(n - m) > 1:
+        return False
+    i = 0
+    while i < min(n, m) and a[i] == b[i]:
+        i += 1
+    return a[i + 1 :] == b[i + 1 :] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:] or (n == m and a[i + 2 :] == b[i + 2 :] and a[i : i + 2] == b[i : i + 2][::-1])
+
+
 class Labels:
     """All name forms of all speakers in one automaton."""
 
@@ -86,20 +96,21 @@ class Labels:
                 self.automaton.add_word(word, ("filler" if word not in SOUNDS else "sound", len(word), word))
         self.automaton.make_automaton()
         self.known: dict[str, list[int] | None] = {}
-        self.by_size: dict[int, list[str]] = {}
+        self.by_shape: dict[int, list[list[str]]] = {}
         for f in self.exact:
-            self.by_size.setdefault(len(f), []).append(f)
+            parts = f.split(" ")
+            self.by_shape.setdefault(len(parts), []).append(parts)
 
     def near(self, text: str) -> list[int] | None:
-        """Speakers with a name form one slip away from *text*."""
+        """Speakers with a name form of which one word of four letters or more has one slip in *text*."""
         found = self.known.get(text, 0)
         if found == 0:
             who: set[int] = set()
-            if len(text) >= 5:
-                for size in (len(text) - 1, len(text), len(text) + 1):
-                    for form in self.by_size.get(size, ()):
-                        if similar(form, text) and abs(len(form) - len(text)) <= 1:
-                            who.update(self.exact[form])
+            parts = text.split(" ")
+            for form in self.by_shape.get(len(parts), ()):
+                wrong = [(x, y) for x, y in zip(parts, form) if x != y]
+                if len(wrong) == 1 and _one_slip(*wrong[0]):
+                    who.update(self.exact[" ".join(form)])
             found = sorted(who) or None
             if len(self.known) < 200_000:
                 self.known[text] = found
@@ -118,6 +129,17 @@ class Labels:
             else:
                 fillers.append((a, b, what))
         labels = [x for a, b, who in names if (x := self._label(low, a, b, who))]
+        # the part of a name that has no slip is found first; the other part belongs to the label too
+        longer = []
+        for a, b, who in names:
+            if a and low[a - 1] == " " and any(c <= a and b <= d for c, d, _ in labels):
+                back = _LOOK_BACK.search(low, max(0, b - 40), b)
+                for k in (1, 2):
+                    c = back.start(k) if back else -1
+                    if 0 <= c < a and (c == 0 or not low[c - 1].isalnum()) and (more := self.near(low[c:b])) and (x := self._label(low, c, b, more)):
+                        longer.append(x)
+                        break
+        labels += longer
         taken = [(a, b) for a, b, _ in labels]
         for m in _DELIMITER.finditer(low):
             if any(a <= m.start() < b for a, b in taken):
