@@ -43,7 +43,6 @@ WORDS = re.compile(r"\b[\w']+\b")
 END = re.compile(r"[.!?…:;][\"'”’»)\]]*$")
 ITEM = re.compile(r"^\s*(?:[-–—*•·+]|\[[ xX]\]|\(?\d{1,3}[.)]|\(?[a-zA-Z][.)]|\d{1,2}:\d{2}(?::\d{2})?)\s+\S")
 CELLS = (re.compile(r"\|"), re.compile(r"\t"), re.compile(r";"), re.compile(r","), re.compile(r" {2,}"))
-MARKUP = re.compile(r"<[^<>]{1,200}>")
 SHORT_ITEM = 8
 
 
