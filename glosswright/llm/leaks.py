@@ -30,7 +30,7 @@ from glosswright.runtime import spread
 
 MIN_WORDS = 20
 #: A run of LONG words is an anchor; so is one of SHORT words that at most RARE places of the items share.
-LONG, SHORT, RARE = 8, 4, 8
+LONG, SHORT, RARE = 8, 5, 8
 MAX_ITEM_CHARS = 20_000_000
 
 #: Letters of other scripts that look like Latin ones.
