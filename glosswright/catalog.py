@@ -112,6 +112,9 @@ def _language_sql(ws: str) -> str:
     return f"case when {top} is null or {top} = 0 then 'unknown' {cases} end"
 
 
+_ENTRIES_FIRST = """e as (select entry_id, arg_min(edit_brief, created_at) filter (true) as brief, first(input_text order by created_at) as i, first(output_text order by created_at) as o from entries group by entry_id)"""
+
+
 # ---- M: text metrics ---------------------------------------------------------------------------
 
 
@@ -326,6 +329,18 @@ def op_p5_route(spark, sf):
     return table(spark, sf, "transcripts").select("video_id", route.alias("route")).distinct()
 
 
+@query(r"select doc_id, case when len(list_filter(list_transform(regexp_split_to_array(text, '\n\s*\n+'), lambda x: trim(x, E' \t\n\r\x0b\x0c')), lambda x: x <> '')) = 0 then 'empty_transcript' end as reason from documents where text is not null")
+def op_p6_empty_transcripts(spark, sf):
+    d = docs(spark, sf).where("text is not null").select("doc_id", readers.transcript_segments(F.to_json(F.struct(F.col("text")))).alias("segments"))
+    return d.select("doc_id", rules.first_failure([rules.empty_transcript(F.col("segments"))]).alias("reason"))
+
+
+@query(f"with {_ENTRIES_FIRST} select entry_id, case when o is null or i is null then 'missing_quality_metrics' else 'missing_metadata' end as reason from e where o is null or i is null or brief is null")
+def op_p13_unfit(spark, sf):
+    e = once(spark, sf, "entries", "entry_id").select("entry_id", "edit_brief", "input_text", "output_text")
+    return generate.unfit(generate.edit_metrics(e)).select("entry_id", "reason")
+
+
 @query(f"select distinct video_id, chunk_index, 'source_too_short' as reason from chunk_records where coalesce({_tokens('normalized_excerpt')} < 120, true)")
 def op_p10_too_short(spark, sf):
     return generate.too_short(table(spark, sf, "chunk_records"), 120).select("video_id", "chunk_index", "reason").distinct()

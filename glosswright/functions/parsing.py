@@ -95,6 +95,17 @@ def video_id_of_url(url: Column) -> Column:
     return F.coalesce(*[F.nullif(F.regexp_extract(url, p, 1), F.lit("")) for p in VIDEO_ID_IN_URL])
 
 
+def transcript(source: Column, language: Column, segments: Column) -> Column:
+    """A transcript as one struct; its text is that of its segments, one line each."""
+    spoken = F.filter(F.transform(segments, lambda s: F.trim(s["text"])), lambda t: t != "")
+    return F.struct(source.alias("source"), language.alias("language"), segments.alias("segments"), F.array_join(spoken, "\n").alias("text"))
+
+
+def stage_entry(status: Column, metrics: Column) -> Column:
+    """What a profile keeps of a stage; fails the query where the metrics are missing."""
+    return F.struct(F.coalesce(status, F.lit("unknown")).alias("status"), F.when(metrics.isNull(), F.raise_error(F.lit("stage without metrics"))).otherwise(metrics).alias("metrics"))
+
+
 def metrics_or_reason(status: Column, metrics: Column, reason: Column) -> Column:
     """K5: metrics as JSON; a row without any gives its reason."""
     return F.coalesce(F.to_json(metrics), F.when(status.isin("skipped", "failed"), F.to_json(F.struct(reason.alias("skip_reason")))))

@@ -57,6 +57,12 @@ def transcript_route(source: Column, n_segments: Column, language: Column, allow
     return F.coalesce(first_failure([*rules, ("language_filtered", outside)]), F.lit("ready"))
 
 
+def empty_transcript(segments: Column) -> Rule:
+    """No segment with text."""
+    real = F.filter(segments, lambda s: F.coalesce(F.trim(s["text"]) != "", F.lit(False)))
+    return "empty_transcript", F.coalesce(F.size(real) == 0, F.lit(True))
+
+
 def below(column: Column, bound: float | None) -> Column:
     return F.lit(False) if bound is None else column < F.lit(bound)
 
