@@ -85,9 +85,9 @@ def p5_pieces(spark: SparkSession, sf: str) -> DataFrame:
 
 def live_stream(spark: SparkSession, sf: str, share: float = 0.05) -> list[str]:
     """Ids of the live videos with at least *share* of all segments: at most 1 / share of them."""
-    sizes = table(spark, sf, "transcript_segments").groupBy("video_id").agg(F.count("*").alias("n"))
-    total = F.broadcast(sizes.agg(F.sum("n").alias("total")))
-    big = sizes.join(total, F.col("n") >= share * F.col("total")).select("video_id")
+    segments = table(spark, sf, "transcript_segments").select("video_id")
+    least = share * segments.count()
+    big = segments.groupBy("video_id").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("video_id")
     v = table(spark, sf, "videos")
     live = v.where((F.col("live_status") == "is_live") | F.col("metrics.is_live")).select("video_id")
     return [r.video_id for r in live.join(F.broadcast(big), "video_id", "left_semi").distinct().collect()]
