@@ -32,7 +32,7 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def video_channels(spark: SparkSession, sf: str) -> DataFrame:
     """(video_id, channel_id, channel, domain, main_language); a null channel_id is told by the channel's name."""
-    channels = F.broadcast(table(spark, sf, "channels"))  # 40 rows, fixed
+    channels = F.broadcast(table(spark, sf, "channels").select("channel_id", "channel", "domain", "main_language"))  # 40 rows, fixed
     v = table(spark, sf, "videos").groupBy("video_id").agg(F.max("channel_id").alias("cid"), F.max("channel").alias("cname"))
     by_name = channels.select(F.col("channel").alias("cname"), F.col("channel_id").alias("named_id"))
     v = v.join(by_name, "cname", "left").select("video_id", F.coalesce("cid", "named_id").alias("channel_id"))
@@ -65,7 +65,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_splits(spark: SparkSession, sf: str) -> DataFrame:
-    targets = [(r.split_name, r.share) for r in table(spark, sf, "split_targets").orderBy("split_name").collect()]  # a fixed handful
+    targets = [(r.split_name, r.share) for r in table(spark, sf, "split_targets").where("split_name is not null and share > 0").orderBy("split_name").collect()]  # a fixed handful
     return splits.assign(_entry_components(spark, sf), targets).select("entry_id", "component", "split")
 
 

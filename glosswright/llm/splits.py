@@ -73,6 +73,8 @@ def group_components(records: DataFrame, record: str, entities: str) -> DataFram
 
 def assign(components_of: DataFrame, targets: list[tuple[str, float]]) -> DataFrame:
     """Adds ``split``: the component's hash as a number in [0, 1) against cumulated shares, by split name."""
+    if not targets:
+        return components_of.withColumn("split", F.lit(None).cast("string"))
     point = F.conv(F.substring(F.sha2("component", 256), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
     total, bounds = sum(s for _, s in targets), []
     for name, share in sorted(targets):

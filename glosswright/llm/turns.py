@@ -243,7 +243,7 @@ def fragments(segments: DataFrame, speakers: DataFrame, with_text: bool = False)
 
     *speakers* is a small table of fixed size (checked); every worker holds its automaton.
     """
-    people = tuple(sorted((r.speaker_id, r.full_name or "") for r in speakers.select("speaker_id", "full_name").distinct().limit(200_001).collect()))
+    people = tuple(sorted((r.speaker_id, r.full_name or "") for r in speakers.where("speaker_id is not null").select("speaker_id", "full_name").distinct().limit(200_001).collect()))
     if len(people) > 200_000:
         raise ValueError("too many speakers for one automaton; split them by channel")
     data = spread(segments.select("video_id", "segment_index", "text").where("text is not null"))
