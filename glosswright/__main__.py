@@ -1,27 +1,47 @@
-"""python -m glosswright QUERY DATA_DIR [OUT_DIR]: run a registered core query."""
+"""Command line.
+
+    python -m glosswright query NAME DATA_DIR [OUT_DIR]   run a registered core query
+    python -m glosswright list                            names of the queries
+    python -m glosswright status RUNS_DIR                 the newest run and its stages
+"""
 
 from __future__ import annotations
 
 import argparse
-
-from pyspark.sql import SparkSession
+import json
+import sys
 
 from glosswright import catalog
+from glosswright.plans.pipeline import Run
 
 
-def main() -> None:
+def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="glosswright")
-    parser.add_argument("query", choices=sorted(catalog.queries()))
-    parser.add_argument("data")
-    parser.add_argument("out", nargs="?")
-    args = parser.parse_args()
+    commands = parser.add_subparsers(dest="command", required=True)
+    run = commands.add_parser("query")
+    run.add_argument("name", choices=sorted(catalog.queries()))
+    run.add_argument("data")
+    run.add_argument("out", nargs="?")
+    commands.add_parser("list")
+    commands.add_parser("status").add_argument("runs")
+    args = parser.parse_args(argv)
+    if args.command == "list":
+        print("\n".join(sorted(catalog.queries())))
+        return 0
+    if args.command == "status":
+        record = Run.find(args.runs)
+        print(json.dumps(record, indent=2) if record else "no run yet")
+        return 0 if record else 1
+    from pyspark.sql import SparkSession
+
     spark = SparkSession.builder.appName("glosswright").getOrCreate()
-    result = catalog.queries()[args.query](spark, args.data)
+    result = catalog.queries()[args.name](spark, args.data)
     if args.out:
         result.write.mode("overwrite").parquet(args.out)
     else:
         result.show(20, truncate=60)
+    return 0
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(main())

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from glosswright.functions import hashing, parsing, text
 from glosswright.operators import dedup, generate, rules, sequences, tables
 from glosswright.plans.config import BRIEFS, STAGES, Edit, Filter, Talk
-from glosswright.runtime import cut, table
+from glosswright.runtime import cut, spread, table
 from glosswright.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -142,20 +142,20 @@ def op_m6_similarity(spark, sf):
 
 @query(f"with {_PROFILE} select doc_id, word_count, kinds as unique_word_count, round(unique_ratio, 6) as unique_ratio, round(hapax_ratio, 6) as hapax_ratio, round(avg_word_length, 6) as avg_word_length, round(long_word_ratio, 6) as long_word_ratio from prof where text is not null")
 def op_m8_lexical(spark, sf):
-    lex = text.with_sums(docs(spark, sf).where("text is not null"), "text").select("doc_id", text.lexical(F.col("__sums")).alias("m"))
+    lex = text.with_sums(spread(docs(spark, sf)).where("text is not null"), "text").select("doc_id", text.lexical(F.col("__sums")).alias("m"))
     return lex.select("doc_id", "m.word_count", "m.unique_word_count", *[r6(F.col(f"m.{c}")).alias(c) for c in ("unique_ratio", "hapax_ratio", "avg_word_length", "long_word_ratio")])
 
 
 @query(f"with {_PROFILE} select doc_id, round(ease, 6) as ease, round(ari, 6) as ari, round(fog, 6) as fog, round(coalesce(greatest(0, least(1, ease / 100)), 0.5), 10) as ease_unit from prof where text is not null")
 def op_m9_m10_readability(spark, sf):
-    m = text.with_sums(docs(spark, sf).where("text is not null"), "text").select("doc_id", text.readability(F.col("__sums"), F.col("__sentences")).alias("m"))
+    m = text.with_sums(spread(docs(spark, sf)).where("text is not null"), "text").select("doc_id", text.readability(F.col("__sums"), F.col("__sentences")).alias("m"))
     ease = F.col("m.flesch_reading_ease")
     return m.select("doc_id", r6(ease).alias("ease"), r6(F.col("m.automated_readability_index")).alias("ari"), r6(F.col("m.gunning_fog")).alias("fog"), F.round(text.ease_to_unit(ease), 10).alias("ease_unit"))
 
 
 @query(f"with {_PROFILE} select doc_id, {_language_sql('ws')} as language, token_count, word_count, sentence_count, round(word_count / greatest(1, sentence_count), 6) as avg_words_per_sentence, round(quality_score, 6) as quality_score from scored where text is not null")
 def op_m11_m12_m13_profile(spark, sf):
-    p = text.with_profile(docs(spark, sf).where("text is not null"), "text")
+    p = text.with_profile(spread(docs(spark, sf)).where("text is not null"), "text")
     return p.select("doc_id", "language", "token_count", "word_count", "sentence_count", r6(F.col("avg_words_per_sentence")).alias("avg_words_per_sentence"), r6(F.col("quality_score")).alias("quality_score"))
 
 
@@ -258,7 +258,7 @@ fate as (select nb.rk, list_min(list_intersect(nb.ns, (select arg_max(kept, rk)
 @query(f"""with recursive {_COEFFICIENTS}, {_SIGNED}, candidates as (select doc_id, s from signed), {_GREEDY}
 select r.doc_id, d.doc_id::varchar as duplicate_of from ranked r join fate on fate.rk = r.rk left join ranked d on d.rk = fate.dup""")
 def op_j4_o6_near_duplicates(spark, sf):
-    return dedup.near_duplicates(dedup.signatures(table(spark, sf, "documents"), "doc_id", "text", K), "doc_id", K, THRESHOLD)
+    return dedup.near_duplicates(cut(dedup.signatures(table(spark, sf, "documents"), "doc_id", "text", K)), "doc_id", K, THRESHOLD)
 
 
 # ---- P: rules ----------------------------------------------------------------------------------
@@ -266,9 +266,9 @@ def op_j4_o6_near_duplicates(spark, sf):
 FILTER = Filter(language_allowlist=("en", "fr", "de", "es"), min_words=60, min_tokens=80, normalize_min_similarity=None)
 
 
-def _profiled(spark, sf):
+def _profiled(documents):
     """Documents as normalized transcripts: their profile, and what squeezing white space changed."""
-    p = text.with_profile(docs(spark, sf).where("text is not null"), "text").withColumn("__squeezed", text.squeeze_spaces(F.col("text")))
+    p = text.with_profile(documents.where("text is not null"), "text").withColumn("__squeezed", text.squeeze_spaces(F.col("text")))
     return p.select(
         *[c for c in p.columns if c not in ("text", "__squeezed")], text.ratio(text.approx_token_count(F.col("__squeezed")), F.col("token_count")).alias("normalize_token_ratio"),
         text.ratio(F.length("__squeezed"), F.length("text")).alias("normalize_length_ratio"), F.lit(None).cast("double").alias("normalize_similarity"),
@@ -282,14 +282,16 @@ judged as (select *, case when language not in ('en', 'fr', 'de', 'es') then 'la
 
 @query(f"with {_PROFILE}, {_CASCADE} select doc_id, coalesce(reason, 'kept') as outcome from judged")
 def op_p7_p8_cascade(spark, sf):
-    return rules.decide(_profiled(spark, sf), rules.quality_rules(FILTER)).select("doc_id", F.coalesce("reason", "status").alias("outcome"))
+    return rules.decide(_profiled(spread(docs(spark, sf))), rules.quality_rules(FILTER)).select("doc_id", F.coalesce("reason", "status").alias("outcome"))
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Profile, ordered rules, then near-duplicates among the survivors: one decision per document."""
-    judged = cut(rules.decide(_profiled(spark, sf), rules.quality_rules(FILTER)).select("doc_id", "language", "word_count", "token_count", r6(F.col("quality_score")).alias("quality_score"), "reason"))
-    alive = docs(spark, sf).join(judged.where("reason is null").select("doc_id"), "doc_id", "left_semi")
-    near = dedup.near_duplicates(dedup.signatures(alive, "doc_id", "text", K), "doc_id", K, THRESHOLD)
+    # one pass: the signature is made while the text is at hand, and the text goes no further
+    d = dedup.signatures(docs(spark, sf).where("text is not null"), "doc_id", "text", K, keep=("text",))
+    judged = rules.decide(_profiled(d), rules.quality_rules(FILTER))
+    judged = cut(judged.select("doc_id", "language", "word_count", "token_count", r6(F.col("quality_score")).alias("quality_score"), "reason", F.when(F.col("reason").isNull(), F.col("signature")).alias("signature")))
+    near = dedup.near_duplicates(judged.where("reason is null").select("doc_id", "signature"), "doc_id", K, THRESHOLD)
     out = judged.join(near, "doc_id", "left")
     reason = F.coalesce("reason", F.concat(F.lit("dedup:"), "duplicate_of"))
     return out.select("doc_id", F.when(reason.isNull(), "kept").otherwise("dropped").alias("status"), reason.alias("reason"), "language", "word_count", "token_count", "quality_score", "duplicate_of")
@@ -306,7 +308,7 @@ def op_filter_decisions(spark, sf):
 @query(f"with {_PROFILE}, {_CASCADE} select reason, count(*) as n from judged where reason is not null group by reason")
 def op_a5_reasons(spark, sf):
     # a filter on a computed column would be pushed below it and compute its folds again: cut first
-    return rules.reason_counts(cut(rules.decide(_profiled(spark, sf), rules.quality_rules(FILTER)).select("reason")))
+    return rules.reason_counts(cut(rules.decide(_profiled(spread(docs(spark, sf))), rules.quality_rules(FILTER)).select("reason")))
 
 
 @query("select distinct video_id, status from transcripts where status = 'ready'")

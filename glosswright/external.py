@@ -61,6 +61,37 @@ def complete(rows: DataFrame, system: str, user: str, model: Callable[[], Model]
     return data.mapInArrow(run, schema)
 
 
+SEGMENTS = "array<struct<start:double,end:double,text:string>>"
+
+
+def transcribe(rows: DataFrame, media: str, model: Callable[[], Callable[[str], tuple[str | None, list[tuple[float, float, str]]]]]) -> DataFrame:
+    """Adds ``language``, ``segments`` and ``error``. *model* loads the recogniser once per worker, when the first file comes."""
+    schema = T.StructType([*rows.schema, T.StructField("language", T.StringType()), T.StructField("segments", T._parse_datatype_string(SEGMENTS)), T.StructField("error", T.StringType())])
+    place = rows.columns.index(media)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        recognise, kind = None, to_arrow_type(schema["segments"].dataType)
+        for batch in batches:
+            languages, segments, errors = [], [], []
+            for path in batch.column(place).to_pylist():
+                language, heard, error = None, None, "no media"
+                if path:
+                    try:
+                        recognise = recognise or model()
+                        language, parts = recognise(path)
+                        heard, error = [{"start": a, "end": b, "text": t.strip()} for a, b, t in parts if t and t.strip()], None
+                    except Exception as problem:  # one bad file must not end the job
+                        error = type(problem).__name__
+                languages.append(language)
+                segments.append(heard)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(languages, type=pa.string()), pa.array(segments, type=kind), pa.array(errors, type=pa.string())], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def pick_backend(name: str, backends: dict[str, Callable]) -> Callable:
     """S8."""
     if name not in backends:

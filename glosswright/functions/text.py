@@ -75,32 +75,29 @@ def approx_token_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(APPROX_TOKEN)).cast("bigint")
 
 
-_FOLD = ("n", "kinds", "once", "chars", "long", "syllables", "hard")
+_START, _STOP = r"(?<![^ ])", r"(?![^ ])"
 
 
-def word_sums(ws: Column) -> Column:
-    """One fold over the words for M8 and M9: counts of words, kinds, words that occur once, letters, long words, syllables, hard words.
+def _count(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern)).cast("bigint")
 
-    The words come sorted, so kinds and single words need no table, no explode and no shuffle.
-    A struct is used many times over: put it into a column of its own (``with_sums``), as
-    higher-order functions run again wherever their expression is written.
-    """
-    zero = F.lit(0).cast("bigint")
-    start = F.struct(F.lit(None).cast("string").alias("last"), zero.alias("run"), *[zero.alias(c) for c in _FOLD])
 
-    def step(acc: Column, w: Column) -> Column:
-        same = F.coalesce(acc["last"] == w, F.lit(False))
-        spoken = F.greatest(F.lit(1), F.regexp_count(w, F.lit(VOWELS)))
-        return F.struct(
-            w.alias("last"), F.when(same, acc["run"] + 1).otherwise(F.lit(1).cast("bigint")).alias("run"), (acc["n"] + 1).alias("n"),
-            (acc["kinds"] + F.when(same, 0).otherwise(1)).alias("kinds"),
-            # a word counts as occurring once until it comes a second time
-            (acc["once"] + F.when(~same, 1).when(acc["run"] == 1, -1).otherwise(0)).alias("once"),
-            (acc["chars"] + F.length(w)).alias("chars"), (acc["long"] + F.when(F.length(w) >= LONG_WORD, 1).otherwise(0)).alias("long"),
-            (acc["syllables"] + spoken).alias("syllables"), (acc["hard"] + F.when(spoken >= 3, 1).otherwise(0)).alias("hard"),
-        )
+def word_sums(ws: Column, joined: Column, in_order: Column) -> Column:
+    """Sums over the words for M8 and M9: words, kinds, words that occur once, letters, long words, syllables, hard words.
 
-    return F.aggregate(F.sort_array(ws), start, step, lambda acc: F.struct(*[acc[c].alias(c) for c in _FOLD]))
+    *joined* holds the words with a space between them and *in_order* the same, sorted, so
+    that every sum is one regular expression or array function in generated code: no
+    explode, no shuffle, no interpreted fold.
+    """
+    kinds = F.size(F.array_distinct(ws)).cast("bigint")
+    several = _count(in_order, rf"{_START}([^ ]+)(?: \1)+{_STOP}")
+    n = F.size(ws).cast("bigint")
+    return F.struct(
+        n.alias("n"), kinds.alias("kinds"), (kinds - several).alias("once"), F.greatest(F.lit(0), F.length(joined) - (n - 1)).cast("bigint").alias("chars"), _count(joined, rf"[^ ]{{{LONG_WORD},}}").alias("long"),
+        # a word without a vowel group counts one syllable
+        (_count(joined, VOWELS) + _count(joined, rf"{_START}[^ aeiouy]+{_STOP}")).alias("syllables"),
+        _count(joined, rf"{_START}[^ aeiouy]*[aeiouy]+[^ aeiouy]+[aeiouy]+[^ aeiouy]+[aeiouy][^ ]*").alias("hard"),
+    )
 
 
 def lexical(sums: Column) -> Column:
@@ -150,13 +147,10 @@ STOP_WORDS = {
 }
 
 
-def language_scores(ws: Column) -> Column:
+def language_scores(joined: Column) -> Column:
     """Stop words of each language among the words: struct<n, k, code> of the best, the first in order on ties."""
-
-    def hits(stop: list[str]) -> Column:
-        return F.size(F.filter(ws, lambda w: w.isin(stop)))
-
-    return F.greatest(*[F.struct(hits(stop).alias("n"), F.lit(-k).alias("k"), F.lit(code).alias("code")) for k, (code, stop) in enumerate(STOP_WORDS.items())])
+    hits = {code: _count(joined, f"{_START}(?:{'|'.join(stop)}){_STOP}") for code, stop in STOP_WORDS.items()}
+    return F.greatest(*[F.struct(n.alias("n"), F.lit(-k).alias("k"), F.lit(code).alias("code")) for k, (code, n) in enumerate(hits.items())])
 
 
 def detect_language(best: Column) -> Column:
@@ -191,16 +185,18 @@ def with_sums(df: DataFrame, text: str, prefix: str = "") -> DataFrame:
     """Adds columns of intermediate results, each computed once per row.
 
     Do not filter on what follows from them in the same plan: the optimizer moves the filter
-    below and writes the folds out again. Cut the lineage first.
+    below and writes the expressions out again. Cut the lineage first.
     """
-    df = df.withColumn(f"__{prefix}words", words(F.col(text)))
-    return df.withColumn(f"__{prefix}sums", word_sums(F.col(f"__{prefix}words"))).withColumn(f"__{prefix}sentences", sentence_count(F.col(text)))
+    ws, joined, in_order = (f"__{prefix}{c}" for c in ("words", "joined", "in_order"))
+    df = df.withColumn(ws, words(F.col(text)))
+    df = df.withColumn(joined, F.array_join(ws, " ")).withColumn(in_order, F.array_join(F.sort_array(ws), " "))
+    return df.withColumn(f"__{prefix}sums", word_sums(F.col(ws), F.col(joined), F.col(in_order))).withColumn(f"__{prefix}sentences", sentence_count(F.col(text)))
 
 
 def with_profile(df: DataFrame, text: str, tokens: Column | None = None) -> DataFrame:
     """The analysis block (M2 to M13) as further columns."""
     kept = df.columns
-    df = with_sums(df, text).withColumn("__best", language_scores(F.col("__words"))).withColumn("__tokens", tokens if tokens is not None else approx_token_count(F.col(text)))
+    df = with_sums(df, text).withColumn("__best", language_scores(F.col("__joined"))).withColumn("__tokens", tokens if tokens is not None else approx_token_count(F.col(text)))
     sums, sentences = F.col("__sums"), F.col("__sentences")
     df = df.withColumn("__lex", lexical(sums)).withColumn("__read", readability(sums, sentences))
     n, lex, read = F.col("__lex.word_count"), F.col("__lex"), F.col("__read")

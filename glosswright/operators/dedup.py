@@ -12,12 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glosswright.functions.text import WORD
-from glosswright.runtime import cut, spread
+from glosswright.runtime import cut, if_small, spread
 
 PRIME = (1 << 31) - 1
 
@@ -31,14 +31,15 @@ def permutations(k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(values[:k], dtype=np.int64), np.array(values[k:], dtype=np.int64)
 
 
-def signatures(documents: DataFrame, id_col: str, text_col: str, k: int = 128) -> DataFrame:
-    """(id, signature): k minima over the hashes of the lower-cased word set; PRIME where there is no word.
+def signatures(documents: DataFrame, id_col: str, text_col: str, k: int = 128, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, *keep, signature): k minima over the hashes of the lower-cased word set; PRIME where there is no word.
 
-    One narrow pass in vectorised batches: nothing is exploded or shuffled.
+    One narrow pass in vectorised batches: nothing is exploded or shuffled. Values are under
+    2**31, so they are kept in 32 bits.
     """
-    data = spread(documents.select(F.col(id_col), F.col(text_col).alias("__text")))
-    names = [id_col, "signature"]
-    schema = T.StructType([data.schema[0], T.StructField("signature", T.ArrayType(T.LongType(), False))])
+    data = spread(documents.select(F.col(id_col), *keep, F.col(text_col).alias("__text")))
+    names = [id_col, *keep, "signature"]
+    schema = T.StructType([*data.schema.fields[:-1], T.StructField("signature", T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -55,12 +56,12 @@ def signatures(documents: DataFrame, id_col: str, text_col: str, k: int = 128) -
 
         for batch in batches:
             out = np.full((batch.num_rows, k), PRIME, dtype=np.int64)
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 hashes = np.array([token(w) for w in {w.lower() for w in find(text or "")}], dtype=np.int64)
                 for part in range(0, len(hashes), 4096):  # bounds the product of a very long text
                     np.minimum(out[i], ((hashes[part : part + 4096, None] * a + b) % PRIME).min(0), out=out[i])
             ends = pa.array(np.arange(0, (batch.num_rows + 1) * k, k, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(out.ravel()))], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(out.ravel().astype(np.int32)))], names=names)
 
     return data.mapInArrow(run, schema)
 
@@ -70,28 +71,34 @@ def matches_needed(k: int, threshold: float) -> int:
     return next(m for m in range(k + 2) if m / k >= threshold or m > k)
 
 
-def similar_pairs(signed: DataFrame, rank: Column, k: int, threshold: float) -> DataFrame:
-    """(lo, hi): ranks of representatives whose signatures agree in enough places, lo < hi.
+def similar_pairs(signed: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(a, b): keys of different signatures that agree in enough places, a < b. signed: key, signature.
 
     If m of k places must agree, at most k - m differ, so of k - m + 1 bands one agrees
-    wholly: candidates come from equi-joins on bands and none is lost. Exactly equal
-    signatures must have been folded into one representative before.
+    wholly: candidates come from equi-joins on bands and none is lost. Rows of one key are
+    one signature, however many there are, and count once. Only hashes of bands are
+    shuffled; whole signatures are read again for the keys of candidates alone.
     """
     m = matches_needed(k, threshold)
     bands = k - m + 1
     if bands > k:
         raise ValueError("every pair would be a candidate")
     edges = [k * i // bands for i in range(bands + 1)]
-    keyed = signed.select(rank.alias("rank"), "signature")
-    pieces = F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(F.slice("signature", a + 1, b - a)).alias("h")) for i, (a, b) in enumerate(zip(edges, edges[1:]))])
-    banded = keyed.select("rank", F.explode(pieces).alias("x")).select("rank", "x.*")
-    # a bucket of one gives no pair: dropping it first leaves little to join
-    counts = banded.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1").select("band", "h")
-    left = banded.join(counts, ["band", "h"], "left_semi")
-    found = left.alias("a").join(left.alias("b"), ["band", "h"]).where("a.rank < b.rank").select(F.col("a.rank").alias("lo"), F.col("b.rank").alias("hi")).distinct()
-    one, two = keyed.select(F.col("rank").alias("lo"), F.col("signature").alias("s")), keyed.select(F.col("rank").alias("hi"), F.col("signature").alias("t"))
+    # the low bit of every place: rows that differ in more than k - m of these bits differ in more places
+    bits = [F.aggregate(F.slice("signature", i + 1, 64), F.lit(0).cast("bigint"), lambda a, x: F.shiftleft(a, 1).bitwiseOR(x.bitwiseAND(F.lit(1)).cast("bigint"))).alias(f"s{i // 64}") for i in range(0, k, 64)]
+    sketch = [f"s{i // 64}" for i in range(0, k, 64)]
+    pieces = F.array(*[F.struct(F.lit(i).cast("short").alias("band"), F.xxhash64(F.slice("signature", a + 1, b - a)).alias("h")) for i, (a, b) in enumerate(zip(edges, edges[1:]))])
+    banded = signed.select("key", F.explode(pieces).alias("x")).select("key", "x.*").groupBy("band", "h").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    # a bucket of one signature gives no pair; only the rows of the others are joined
+    busy = cut(banded.where("low <> high").select("band", "h"))
+    rows = signed.select("key", *bits, F.explode(pieces).alias("x")).select("key", *sketch, "x.*").join(if_small(busy), ["band", "h"], "left_semi").distinct()
+    near = sum((F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in sketch), F.lit(0)) <= k - m
+    found = cut(rows.alias("l").join(rows.alias("r"), ["band", "h"]).where(F.col("l.key") < F.col("r.key")).where(near).select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct())
+    wanted = if_small(found.select(F.col("a").alias("key")).unionByName(found.select(F.col("b").alias("key"))).distinct())
+    whole = cut(signed.select("key", "signature").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("signature").alias("s")))
     equal = F.aggregate(F.zip_with("s", "t", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, e: n + e)
-    return found.join(one, "lo").join(two, "hi").where(equal >= m).select("lo", "hi")
+    left, right = whole.select(F.col("key").alias("a"), "s"), whole.select(F.col("key").alias("b"), F.col("s").alias("t"))
+    return found.join(left, "a").join(right, "b").where(equal >= m).select("a", "b")
 
 
 def keep_first(pairs: DataFrame) -> DataFrame:
@@ -128,12 +135,16 @@ def near_duplicates(signed: DataFrame, id_col: str, k: int = 128, threshold: flo
     """(id, duplicate_of) for every row of (id, signature); duplicate_of is the first kept similar id or null.
 
     Rows with equal signatures form a class that stands or falls with its first member, so
-    copies, however many, never meet in pairs.
+    copies, however many, never meet in pairs. A class is named by 128 bits of hash. The
+    rows are read several times: give signatures that are cut or stored.
     """
     rank = F.col(id_col).cast("string")
-    first = signed.groupBy("signature").agg(F.min(rank).alias("first"))
-    first = cut(first)
-    decided = keep_first(similar_pairs(first, F.col("first"), k, threshold))
-    classes = signed.join(first, "signature").select(id_col, "first")
-    out = classes.join(decided, classes["first"] == decided["rank"], "left")
+    key = F.struct(F.xxhash64("signature").alias("x"), F.xxhash64(F.reverse("signature")).alias("y"))
+    signed = signed.select(F.col(id_col), key.alias("key"), "signature")
+    first = cut(signed.groupBy("key").agg(F.min(rank).alias("first")))
+    pairs = similar_pairs(signed, k, threshold)
+    names = lambda end: first.select(F.col("key").alias(end), F.col("first").alias(f"{end}_first"))
+    named = pairs.join(names("a"), "a").join(names("b"), "b").select(F.least("a_first", "b_first").alias("lo"), F.greatest("a_first", "b_first").alias("hi"))
+    decided = keep_first(named)
+    out = signed.select(id_col, "key").join(first, "key").join(decided, F.col("first") == F.col("rank"), "left")
     return out.select(id_col, F.coalesce("duplicate_of", F.when(rank != F.col("first"), F.col("first"))).alias("duplicate_of"))

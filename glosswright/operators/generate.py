@@ -98,3 +98,16 @@ def normalize_chunks(chunks: DataFrame, model=None, prompt: str = "{text}") -> D
     rows = parsed.withColumn("good", good).withColumn("normalized_excerpt", F.col("parsed.value"))
     ok = rows.groupBy("video_id").agg(F.bool_and("good").alias("ok"))
     return rows.join(ok, "video_id").select("video_id", "chunk_index", "normalized_excerpt", "ok")
+
+
+def training_text(messages: Column, end: str = "</s>") -> Column:
+    """A chat as one training string: roles in brackets, the end mark after each answer."""
+    turn = lambda m: F.concat(F.lit("["), m["role"], F.lit("] "), m["content"], F.when(m["role"] == "assistant", F.lit(end)).otherwise(F.lit("")))
+    return F.array_join(F.transform(messages, turn), "\n")
+
+
+def evaluation_prompts(rows: DataFrame, held_out: DataFrame, key: str, n: int, seed: int, *order: str) -> DataFrame:
+    """N rows of held-out groups with the prompt (all turns but the assistant's) and the expected last answer."""
+    chosen = tables.sample(tables.membership(rows, held_out, key, True), n, seed, *order)
+    prompt = F.filter("messages", lambda m: m["role"] != "assistant")
+    return chosen.select(*order, key, prompt.alias("prompt"), sequences.expected_answer(F.col("messages")).alias("expected")) if key not in order else chosen.select(*order, prompt.alias("prompt"), sequences.expected_answer(F.col("messages")).alias("expected"))

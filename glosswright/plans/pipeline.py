@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -66,6 +67,23 @@ class Run:
         run.save("running")
         return run
 
+    @classmethod
+    def find(cls, root: str | Path, settings: Settings | None = None) -> dict | None:
+        """The newest run's record; with settings the newest of these that has not completed."""
+        found = [json.loads(p.read_text("utf-8")) for p in Path(root).glob("*/run.json")]
+        if settings is not None:
+            found = [r for r in found if r["config_hash"] == settings.fingerprint() and r["status"] in ("running", "failed")]
+        return max(found, key=lambda r: (r["updated_at"], r["run_id"]), default=None)
+
+    @classmethod
+    def resolve(cls, root: str | Path, settings: Settings, run_id: str | None = None) -> Run:
+        """The named run, else one to resume, else a new one."""
+        if run_id is not None:
+            record = json.loads((Path(root) / run_id / "run.json").read_text("utf-8"))
+        else:
+            record = cls.find(root, settings)
+        return cls(Path(root), record["run_id"], settings, record["stage_status"]) if record else cls.create(root, settings)
+
     def stage_folder(self, stage: str) -> str:
         return str(self.root / self.run_id / "stages" / stage)
 

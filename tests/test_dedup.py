@@ -18,7 +18,7 @@ def greedy(signatures, threshold):
 
 
 def resolve(spark, signatures, k, threshold):
-    df = spark.createDataFrame(list(signatures.items()), "doc_id bigint, signature array<bigint>")
+    df = spark.createDataFrame(list(signatures.items()), "doc_id bigint, signature array<int>")
     return {r.doc_id: r.duplicate_of for r in dedup.near_duplicates(df, "doc_id", k, threshold).collect()}
 
 
@@ -59,6 +59,6 @@ def test_matches_needed():
 
 
 def test_low_threshold_is_refused(spark):
-    df = spark.createDataFrame([(1, [1, 2]), (2, [1, 3])], "doc_id bigint, signature array<bigint>")
+    df = spark.createDataFrame([(1, [1, 2]), (2, [1, 3])], "doc_id bigint, signature array<int>")
     with pytest.raises(ValueError):
         dedup.near_duplicates(df, "doc_id", 2, 0.0)

@@ -128,3 +128,38 @@ def test_checkpoint_folder_is_the_sessions(spark):
 
     assert cut(spark.range(5)).count() == 5 and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined()
     assert isinstance(dt.datetime.now(), dt.datetime)
+
+
+def test_runs_are_found_and_resumed(tmp_path, capsys):
+    from glosswright.__main__ import main
+
+    settings = Settings()
+    assert Run.find(tmp_path) is None and main(["status", str(tmp_path)]) == 1
+    first = Run.create(tmp_path, settings)
+    first.status["download"] = "failed"
+    first.save()
+    assert Run.resolve(tmp_path, settings).run_id == first.run_id and Run.resolve(tmp_path, settings).status == {"download": "failed"}
+    other = Run.resolve(tmp_path, Settings.from_dict({"filter": {"min_words": 5}}))
+    assert other.run_id != first.run_id and Run.resolve(tmp_path, settings, other.run_id).run_id == other.run_id
+    assert main(["status", str(tmp_path)]) == 0 and main(["list"]) == 0 and "op_o8_held_out" in capsys.readouterr().out
+
+
+def test_recognition_catalog_and_evaluation(spark, tmp_path):
+    def load():
+        def recognise(path):
+            if path == "bad":
+                raise OSError("no")
+            return "en", [(0.0, 1.0, " hi "), (1.0, 2.0, " ")]
+
+        return recognise
+
+    media = spark.createDataFrame([("a", "good"), ("b", "bad"), ("c", None)], "video_id string, media_path string")
+    got = {r.video_id: (r.language, r.segments and [tuple(s) for s in r.segments], r.error) for r in external.transcribe(media, "media_path", load).collect()}
+    assert got == {"a": ("en", [(0.0, 1.0, "hi")], None), "b": (None, None, "OSError"), "c": (None, None, "no media")}
+    (tmp_path / "c.jsonl").write_text('{"id": "x", "title": "t", "duration": 3}\n{"id": " "}\nbad')
+    assert [(r.id, r.duration) for r in readers.read_catalog(spark, str(tmp_path / "c.jsonl")).collect()] == [("x", 3.0)]
+    rows = spark.createDataFrame([(i, f"v{i % 3}", [("user", "q"), ("assistant", f"a{i}")]) for i in range(9)], "entry_id int, video_id string, messages array<struct<role:string,content:string>>")
+    held = spark.createDataFrame([("v1",)], "video_id string")
+    p = generate.evaluation_prompts(rows, held, "video_id", 2, 1, "entry_id").collect()
+    assert len(p) == 2 and all(r.video_id == "v1" and r.expected == f"a{r.entry_id}" and [m.role for m in r.prompt] == ["user"] for r in p)
+    assert rows.where("entry_id = 0").select(generate.training_text(F.col("messages"))).first()[0] == "[user] q\n[assistant] a0</s>"
