@@ -88,6 +88,18 @@ def _entities(t: str) -> str:
     return rf"list_distinct(list_filter(list_transform(regexp_extract_all({plain}, '\b(?:[A-Z][a-z]+(?:\s+[A-Z][a-z]+){{0,3}}|[A-Z]{{2,}}(?:\s+[A-Z]{{2,}})*)\b'), lambda x: trim(x)), lambda x: length(x) > 1))"
 
 
+def _strip_sql(t: str) -> str:
+    return rf"trim({t}, E' \t\n\r\x0b\x0c')"
+
+
+def _lines_sql(t: str) -> str:
+    return rf"list_filter(list_transform(regexp_split_to_array({t}, '\r\n|[\n\r]'), lambda x: {_strip_sql('x')}), lambda x: x <> '')"
+
+
+def _spaced_sql(t: str) -> str:
+    return rf"list_filter(regexp_split_to_array({t}, '[\s\x0b]+'), lambda x: x <> '')"
+
+
 _PROFILE = rf"""
 base as (select doc_id, text, {_words("text")} as ws, len(regexp_extract_all(text, '[.!?]+')) as sents, {_tokens("text")} as toks from documents),
 lex as (select *, len(ws) as n, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) as chars,
@@ -573,7 +585,12 @@ def op_q2_overlapped_chunks(spark, sf):
     return d.select("doc_id", F.inline("c")).select("doc_id", "chunk_index", "start_segment_index", "end_segment_index", F.length("text").alias("chars"))
 
 
-@query(None)
+@query(rf"""with c as (select video_id, chunk_index, coalesce(first(normalized_excerpt order by ingested_at), '') as t from chunk_records group by all),
+j as (select c.*, coalesce(p.t, '') as p from c left join c p on p.video_id = c.video_id and p.chunk_index = c.chunk_index - 1),
+parts as (select *, {_strip_sql('t')} as whole, {_lines_sql('p')} as a, {_lines_sql('t')} as b, {_spaced_sql('p')} as x, {_spaced_sql('t')} as y from j),
+sizes as (select *, coalesce(list_max(list_filter(range(1, least(len(a), len(b), 3) + 1), lambda k: a[len(a) - k + 1:] = b[:k])), 0) as n,
+  coalesce(list_max(list_filter(range(11, least(len(x), len(y), 80) + 1), lambda k: x[len(x) - k + 1:] = y[:k])), 0) as m from parts)
+select video_id, chunk_index, case when {_strip_sql('p')} = '' or whole = '' then whole when n > 0 then coalesce(array_to_string(b[n + 1:], E'\n'), '') when m > 0 then coalesce(array_to_string(y[m + 1:], ' '), '') else whole end as text from sizes""")
 def op_q3_trim_repeats(spark, sf):
     """Each excerpt without what repeats the end of the one before it, by an equi-join on neighbouring numbers."""
     c = once(spark, sf, "chunk_records", "video_id", "chunk_index").select("video_id", "chunk_index", F.coalesce("normalized_excerpt", F.lit("")).alias("t"))
@@ -585,7 +602,7 @@ def op_q3_trim_repeats(spark, sf):
 @query(None)
 def op_q4_merge(spark, sf):
     """Paragraphs of each document merged, with repeats at their seams removed."""
-    return docs(spark, sf).where("text is not null").select("doc_id", sequences.merge_chunks(parsing.paragraphs(F.col("text"))).alias("merged"))
+    return spread(docs(spark, sf)).where("text is not null").select("doc_id", sequences.merge_chunks(parsing.paragraphs(F.col("text"))).alias("merged"))
 
 
 @query("select entry_id, o as expected from (select entry_id, arg_min(output_text, created_at) filter (true) as o, arg_min(input_text, created_at) as i from entries group by 1) where o is not null and i is not null")

@@ -10,6 +10,11 @@ SEGMENT = "struct<start:double,end:double,text:string>"
 CHUNK = "array<struct<chunk_index:bigint,start_segment_index:bigint,end_segment_index:bigint,start_time:double,end_time:double,text:string>>"
 
 
+def strip(text: Column) -> Column:
+    """Without white space at both ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def chunk_numbers(texts: Column, target: int, hard_max: int) -> Column:
     """Q1 without overlap: the chunk number of each segment, by one fold.
 
@@ -19,7 +24,7 @@ def chunk_numbers(texts: Column, target: int, hard_max: int) -> Column:
     start = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("bigint").alias("chunk"), F.lit(0).alias("chars"), F.lit(0).alias("taken"))
 
     def step(acc: Column, text: Column) -> Column:
-        size = F.length(F.trim(F.coalesce(text, F.lit(""))))
+        size = F.length(strip(F.coalesce(text, F.lit(""))))
         grown = acc["chars"] + size + F.when(acc["chars"] > 0, 1).otherwise(0)
         close = (size > 0) & (acc["taken"] > 0) & ((acc["chars"] >= target) | (grown > hard_max))
         number = acc["chunk"] + F.when(close, 1).otherwise(0)
@@ -92,31 +97,40 @@ def last_end(position: Column, end: Column) -> Column:
 
 
 def _lines(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, r"\r\n|[\n\r]"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, r"\r\n|[\n\r]"), strip), lambda x: x != "")
 
 
 def _spaced(text: Column) -> Column:
-    return F.filter(F.split(F.trim(text), r"\s+"), lambda x: x != "")
+    return F.filter(F.split(text, r"\s+"), lambda x: x != "")
 
 
 def _longest_shared(left: Column, right: Column, longest: Column, shortest: int) -> Column:
     """Largest n with shortest <= n <= longest whose last n of left are the first n of right, else 0."""
     top = F.least(F.size(left), F.size(right), longest)
     sizes = F.when(top >= shortest, F.sequence(F.lit(shortest), top)).otherwise(F.array().cast("array<int>"))
-    fits = F.filter(sizes, lambda n: F.slice(left, -n, n) == F.slice(right, F.lit(1), n))
+    # the cheap test first: the last word of left stands at place n of right
+    fits = F.filter(sizes, lambda n: (F.get(right, n - 1) == F.element_at(left, -1)) & (F.slice(left, -n, n) == F.slice(right, F.lit(1), n)))
     return F.coalesce(F.array_max(fits), F.lit(0))
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once, also inside other higher-order functions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def trim_repeat(previous: Column, current: Column) -> Column:
     """Q3: *current* without what repeats the end of *previous*: up to 3 lines, else 11 to 80 words."""
-    a, b = _lines(previous), _lines(current)
-    n = _longest_shared(a, b, F.lit(3), 1)
-    c, d = _spaced(previous), _spaced(current)
-    m = _longest_shared(c, d, F.lit(80), 11)
-    by_lines = F.array_join(F.slice(b, n + 1, F.greatest(F.size(b), F.lit(1))), "\n")
-    by_words = F.array_join(F.slice(d, m + 1, F.greatest(F.size(d), F.lit(1))), " ")
-    whole = F.trim(current)
-    return F.when(F.trim(previous) == "", whole).when(whole == "", F.lit("")).when(n > 0, by_lines).when(m > 0, by_words).otherwise(whole)
+    from_place = lambda items, n, joint: F.array_join(F.slice(items, n + 1, F.greatest(F.size(items), F.lit(1))), joint)
+
+    def by_words(w: Column) -> Column:
+        return _let(_longest_shared(w["a"], w["b"], F.lit(80), 11), lambda m: F.when(m > 0, from_place(w["b"], m, " ")).otherwise(strip(current)))
+
+    def by_lines(v: Column) -> Column:
+        words = F.struct(_spaced(previous).alias("a"), _spaced(current).alias("b"))
+        return _let(_longest_shared(v["a"], v["b"], F.lit(3), 1), lambda n: F.when(n > 0, from_place(v["b"], n, "\n")).otherwise(_let(words, by_words)))
+
+    lines = F.struct(_lines(previous).alias("a"), _lines(current).alias("b"))
+    return F.when(strip(previous) == "", strip(current)).when(strip(current) == "", F.lit("")).otherwise(_let(lines, by_lines))
 
 
 def merge_chunks(texts: Column) -> Column:
@@ -124,8 +138,11 @@ def merge_chunks(texts: Column) -> Column:
     start = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("last"))
 
     def step(acc: Column, text: Column) -> Column:
-        fresh = trim_repeat(acc["last"], F.coalesce(text, F.lit("")))
-        return F.struct(F.when(fresh == "", acc["out"]).otherwise(F.concat(acc["out"], F.array(fresh))).alias("out"), F.when(fresh == "", acc["last"]).otherwise(fresh).alias("last"))
+        def keep(fresh: Column) -> Column:
+            more = F.struct(F.concat(acc["out"], F.array(fresh)).alias("out"), fresh.alias("last"))
+            return F.when(fresh == "", acc).otherwise(more)
+
+        return _let(trim_repeat(acc["last"], F.coalesce(text, F.lit(""))), keep)
 
     return F.aggregate(texts, start, step, lambda acc: F.array_join(acc["out"], "\n\n"))
 

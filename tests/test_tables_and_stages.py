@@ -163,3 +163,28 @@ def test_recognition_catalog_and_evaluation(spark, tmp_path):
     p = generate.evaluation_prompts(rows, held, "video_id", 2, 1, "entry_id").collect()
     assert len(p) == 2 and all(r.video_id == "v1" and r.expected == f"a{r.entry_id}" and [m.role for m in r.prompt] == ["user"] for r in p)
     assert rows.where("entry_id = 0").select(generate.training_text(F.col("messages"))).first()[0] == "[user] q\n[assistant] a0</s>"
+
+
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([(f"v{i:03}", "kept" if i % 3 else "dropped", i) for i in range(90)], "video_id string, status string, n int").repartition(5)
+    writers.write_sorted(rows, str(tmp_path / "sorted"), "video_id")
+    assert [r.video_id for r in spark.read.parquet(str(tmp_path / "sorted")).orderBy("video_id").collect()] == [f"v{i:03}" for i in range(90)]
+    writers.write_decisions(rows, str(tmp_path / "d"))
+    assert [spark.read.parquet(str(tmp_path / "d" / k)).count() for k in ("decisions", "kept", "dropped")] == [90, 60, 30]
+    writers.write_json_lines(rows, str(tmp_path / "lines"), partition_by=["status"])
+    writers.write_json_lines(rows, str(tmp_path / "lines"), append=True, partition_by=["status"])
+    assert spark.read.json(str(tmp_path / "lines")).count() == 180
+    for name, size in (("a.wav", 5), ("a.mp4", 9), ("b.wav", 0)):
+        (tmp_path / "media" / name).parent.mkdir(exist_ok=True)
+        (tmp_path / "media" / name).write_bytes(b"x" * size)
+    media = readers.largest_media(spark, str(tmp_path / "media"))
+    assert [(r.video_id, r.media_path.rsplit("/", 1)[1], r.media_size_bytes) for r in media.collect()] == [("a", "a.mp4", 9)]
+    have = spark.createDataFrame([("a", None), ("c", "mine")], "video_id string, media_path string")
+    assert {r.video_id: r.media_path and r.media_path.rsplit("/", 1)[-1] for r in readers.with_media(have, media).collect()} == {"a": "a.mp4", "c": "mine"}
+
+
+def test_metric_rows_and_addresses(spark):
+    rows = spark.createDataFrame([("a", "t", "ready", (1,), None), ("b", "t", "skipped", None, "short_excluded"), ("c", "t", "ready", None, None)], "video_id string, title string, status string, metrics struct<n:int>, skip_reason string")
+    assert [r.metrics for r in writers.metric_rows(rows).orderBy("video_id").collect()] == ['{"n":1}', '{"skip_reason":"short_excluded"}', None]
+    lines = spark.createDataFrame([(" u1 ",), ("# no",), ("",), ("u2",)], "value string")
+    assert [r.url for r in readers.address_lines(lines).collect()] == ["u1", "u2"]
