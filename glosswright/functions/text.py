@@ -23,6 +23,11 @@ APPROX_TOKEN = r"\p{L}+|\p{N}{1,3}|[^\s\x0b\p{L}\p{N}]+"
 ENTITY = r"\b(?:[A-Z][a-z]+(?:\s+[A-Z][a-z]+){0,3}|[A-Z]{2,}(?:\s+[A-Z]{2,})*)\b"
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, also inside other higher-order functions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def squeeze_spaces(text: Column) -> Column:
     """M1: runs of white space become one space, ends are trimmed."""
     return F.trim(F.regexp_replace(text, r"[\s\p{Z}\x1c-\x1f\x85]+", " "))
@@ -65,9 +70,12 @@ def sequence_similarity(left: pd.Series, right: pd.Series) -> pd.Series:
 
 def token_jaccard(left: Column, right: Column) -> Column:
     """Overlap of word sets: a similarity that SQL can state. 1.0 for two empty texts."""
-    a, b = F.array_distinct(words(left)), F.array_distinct(words(right))
-    union = F.size(F.array_union(a, b))
-    return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
+
+    def share(p: Column) -> Column:
+        union = F.size(F.array_union(p["a"], p["b"]))
+        return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(p["a"], p["b"])) / union)
+
+    return F.when(left.isNotNull() & right.isNotNull(), let(F.struct(words(left).alias("a"), words(right).alias("b")), share))
 
 
 def approx_token_count(text: Column) -> Column:
@@ -177,8 +185,12 @@ def new_entities(source: Column, result: Column) -> Column:
 
 def novel_ratio(candidate: Column, source: Column) -> Column:
     """Share of the candidate's words, with repeats, outside the source's vocabulary."""
-    ws, known = words(candidate), F.array_distinct(words(source))
-    return ratio(F.size(F.filter(ws, lambda w: ~F.array_contains(known, w))), F.size(ws))
+
+    def share(p: Column) -> Column:
+        # set difference by hash first, then only the few novel words are looked up
+        return let(F.array_except(p["a"], p["b"]), lambda novel: ratio(F.size(F.filter(p["a"], lambda w: F.array_contains(novel, w))), F.size(p["a"])))
+
+    return F.when(candidate.isNotNull() & source.isNotNull(), let(F.struct(words(candidate).alias("a"), words(source).alias("b")), share))
 
 
 def with_sums(df: DataFrame, text: str, prefix: str = "") -> DataFrame:

@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from glosswright.functions.text import let
+
 SEGMENT = "struct<start:double,end:double,text:string>"
 CHUNK = "array<struct<chunk_index:bigint,start_segment_index:bigint,end_segment_index:bigint,start_time:double,end_time:double,text:string>>"
 
@@ -113,24 +115,19 @@ def _longest_shared(left: Column, right: Column, longest: Column, shortest: int)
     return F.coalesce(F.array_max(fits), F.lit(0))
 
 
-def _let(value: Column, body) -> Column:
-    """body(value) with the value computed once, also inside other higher-order functions."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def trim_repeat(previous: Column, current: Column) -> Column:
     """Q3: *current* without what repeats the end of *previous*: up to 3 lines, else 11 to 80 words."""
     from_place = lambda items, n, joint: F.array_join(F.slice(items, n + 1, F.greatest(F.size(items), F.lit(1))), joint)
 
     def by_words(w: Column) -> Column:
-        return _let(_longest_shared(w["a"], w["b"], F.lit(80), 11), lambda m: F.when(m > 0, from_place(w["b"], m, " ")).otherwise(strip(current)))
+        return let(_longest_shared(w["a"], w["b"], F.lit(80), 11), lambda m: F.when(m > 0, from_place(w["b"], m, " ")).otherwise(strip(current)))
 
     def by_lines(v: Column) -> Column:
         words = F.struct(_spaced(previous).alias("a"), _spaced(current).alias("b"))
-        return _let(_longest_shared(v["a"], v["b"], F.lit(3), 1), lambda n: F.when(n > 0, from_place(v["b"], n, "\n")).otherwise(_let(words, by_words)))
+        return let(_longest_shared(v["a"], v["b"], F.lit(3), 1), lambda n: F.when(n > 0, from_place(v["b"], n, "\n")).otherwise(let(words, by_words)))
 
     lines = F.struct(_lines(previous).alias("a"), _lines(current).alias("b"))
-    return F.when(strip(previous) == "", strip(current)).when(strip(current) == "", F.lit("")).otherwise(_let(lines, by_lines))
+    return F.when(strip(previous) == "", strip(current)).when(strip(current) == "", F.lit("")).otherwise(let(lines, by_lines))
 
 
 def merge_chunks(texts: Column) -> Column:
@@ -142,7 +139,7 @@ def merge_chunks(texts: Column) -> Column:
             more = F.struct(F.concat(acc["out"], F.array(fresh)).alias("out"), fresh.alias("last"))
             return F.when(fresh == "", acc).otherwise(more)
 
-        return _let(trim_repeat(acc["last"], F.coalesce(text, F.lit(""))), keep)
+        return let(trim_repeat(acc["last"], F.coalesce(text, F.lit(""))), keep)
 
     return F.aggregate(texts, start, step, lambda acc: F.array_join(acc["out"], "\n\n"))
 
