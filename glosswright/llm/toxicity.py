@@ -28,7 +28,7 @@ from glosswright.runtime import spread
 
 CATEGORIES = ("abuse", "hate", "sexual")
 MAX_LABELS = 5_000
-SEVERE = 1.2
+SEVERE = 1.3
 REACH = 12
 #: Words of another sense (a clinic, a farm) count only this close, as any text may hold them.
 CLOSE = 5
@@ -38,11 +38,11 @@ INSULTS = set(
     "asshole arsehole assholes bitch bitches bastard cretin cunt dickhead dipshit dirtbag douchebag dumbass dumbfuck fuckwit fucker fuckface halfwit jackass jerk "
     "moron motherfucker nitwit pieceofshit prick scumbag shithead shit slut sonofabitch twat wanker whore imbecile imbecil imbeciles scum loser lowlife "
     "connard connasse enfoire abruti salaud salope encule batard ordure pourriture debile cretine crevard petasse putain fumier "
-    "arschloch wichser drecksack missgeburt schwachkopf hurensohn dreckskerl vollidiot miststuck schlampe fotze arsch trottel depp scheisskerl penner mistkerl spast vollpfosten dummkopf "
+    "arschloch wichser drecksack missgeburt schwachkopf hurensohn dreckskerl vollidiot miststuck schlampe fotze arsch trottel depp scheisskerl mistkerl spast vollpfosten dummkopf "
     "gilipollas cabron cabrona hijodeputa hijoputa puta maricon pendejo capullo mamon subnormal zorra malparido gilipolla cretino idiota estupido".split()
 )
 #: Words that insult only when aimed at someone.
-MILD = set("retard clown idiot idiots idiote parasite pig pigs swine rat fool dumb stupid miserable worthless pathetic moronic ass coward schwein sau affe ratte esel dumme dummer blode bloder erbarmliche erbarmlicher payaso cerdo burro inutil asqueroso asquerosa maldito maldita basura porc cochon ane clochard minable pauvre crapule raclure parasit parasito parasita idioten".split())
+MILD = set("penner retard clown idiot idiots idiote parasite pig pigs swine fool dumb stupid miserable worthless pathetic moronic ass coward schwein sau affe ratte esel dumme dummer blode bloder erbarmliche erbarmlicher payaso cerdo burro inutil asqueroso asquerosa maldito maldita basura porc cochon ane clochard minable pauvre crapule raclure parasit parasito parasita idioten".split())
 #: Explicit words of sex, and words that may be.
 EXPLICIT = set(
     "blowjob blowjobs handjob porn porno pornos porns pornographie pornografia xxx tits titties pussies pussy cocks cum cumshot dildo horny milf gangbang orgasm orgasmed camgirl sexcam sexcams uncensored "
@@ -50,7 +50,7 @@ EXPLICIT = set(
     "ficken fickt fickte gefickt titten muschi schwanz wichsen geile geil geilen nacktbilder nacktfotos bumsen vogeln hoschen "
     "follar follaban follando follada follo polla coño cono tetas mamada corrida cachonda cachondas".split()
 )
-SUGGESTIVE = set("sex sexual naked nude nudes nudity breast breasts cock ass bodies moaned moaning moan panties escort hot webcam cam nackt nackte nackten stohnte stohnen nue nues nu nus gemissait gemissaient seins desnuda desnudas desnudo desnudos gemia gemian pechos sexo sexe hard begged hotel fuck fucked fucking strip stripped".split())
+SUGGESTIVE = set("sex sexual naked nude nudes nudity breast breasts cock ass bodies moaned moaning moan panties escort hot webcam cam nackt nackte nackten stohnte stohnen nue nues nu nus gemissait gemissaient seins desnuda desnudas desnudo desnudos gemia gemian pechos sexo sexe hard begged hotel strip stripped".split())
 #: Words that call a group less than human or want it gone.
 DEHUMANISING = set(
     "subhuman subhumans vermin filthy disease plague inferior breed thieves parasites scum savages cockroaches animals deported exterminated "
@@ -59,7 +59,7 @@ DEHUMANISING = set(
     "plaga ladrones inferior inferiores escoria alimañas alimanas subhumanos parasitos cucarachas".split()
 )
 #: Words at which the phrases below are looked for.
-TRIGGERS = set("legs choke dead dropped die drop kill live lives rock rid driven disappeared disappear burn vote belong trust send hell lost shut throat hang habites jambes gueule casser disparaissent brulez chasser toi ecouter crever tuer wohnst prugel fresse verpiss gejagt weg sauber halts stirb umbringen vives piernas romper matar echarlos acabar callate muere muerete cierra".split())
+TRIGGERS = set("fuck fucked fucking legs choke dead dropped die drop kill live lives rock rid driven disappeared disappear burn vote belong trust send hell lost shut throat hang habites jambes gueule casser disparaissent brulez chasser toi ecouter crever tuer wohnst prugel fresse verpiss gejagt weg sauber halts stirb umbringen vives piernas romper matar echarlos acabar callate muere muerete cierra".split())
 LEXICON = INSULTS | MILD | EXPLICIT | SUGGESTIVE | DEHUMANISING
 LONG_WORDS = sorted((w for w in INSULTS | EXPLICIT | DEHUMANISING | {"panties", "clown", "idiot", "parasite", "moron"} if len(w) >= 4), key=lambda w: -len(w))
 
@@ -186,27 +186,28 @@ PHRASES = {
 }
 PRIOR = {
     "abuse:insult": 2.2, "abuse:mild": 0.3, "abuse:aimed": 3.6, "abuse:threat": 4.6, "abuse:dismiss": 2.2, "abuse:you": 0.8, "abuse:self": -3.5, "abuse:technical": -3.0, "abuse:disguised": 1.6,
-    "hate:dehumanising": 0.8, "hate:group_is": 3.2, "hate:expel": 3.4, "hate:race": 2.8, "hate:against": -5.5, "hate:natural": -2.0, "hate:disguised": 1.5, "hate:strong": 1.5,
+    "hate:dehumanising": 0.8, "hate:group_is": 3.2, "hate:expel": 3.4, "hate:race": 2.8, "hate:against": -5.5, "hate:natural": -1.2, "hate:disguised": 1.5, "hate:strong": 1.5,
     "sexual:explicit": 2.6, "sexual:suggestive": 0.7, "sexual:act": 3.2, "sexual:offer": 1.6, "sexual:technical": -3.6, "sexual:disguised": 1.4, "sexual:several": 1.0,
 }
 THRESHOLDS = [1.0, 3.6]
 
 
-def windows(text: str, units: dict) -> Iterator[tuple[list[str], bool, str]]:
-    """(words, whether one was disguised, the words close by as text) around each word that may matter."""
+def windows(text: str, units: dict) -> Iterator[tuple[list[str], set[str], str]]:
+    """(words, those that were disguised, the words close by as text) around each word that may matter."""
     if SEPARATED.search(text):
         text = SEPARATED.sub(_join_separated, text)
     if not text.isascii():
         text = INVISIBLE.sub("", text)
     words: list[str] = []
     places: list[int] = []
-    hidden: list[int] = []
+    hidden: list[tuple[int, str]] = []
     for unit in text.split():
         found, matters, disguised = units[unit]
         if matters:
-            places += [len(words) + k for k, w in enumerate(found) if w in LEXICON or w in TRIGGERS]
+            at = [(len(words) + k, w) for k, w in enumerate(found) if w in LEXICON or w in TRIGGERS]
+            places += [k for k, _ in at]
             if disguised or unit[-1] == REVEALED:
-                hidden.append(len(words))
+                hidden += at
         words += found
     k = 0
     while k < len(places):
@@ -215,37 +216,41 @@ def windows(text: str, units: dict) -> Iterator[tuple[list[str], bool, str]]:
             last += 1
         a, b = max(0, places[k] - REACH), places[last] + REACH + 1
         close = words[max(0, places[k] - CLOSE) : places[last] + CLOSE + 1]
-        yield words[a:b], any(places[k] <= h <= places[last] for h in hidden), " ".join(close)
+        yield words[a:b], {w for h, w in hidden if places[k] <= h <= places[last]}, " ".join(close)
         k = last + 1
 
 
-def features(words: list[str], disguised: bool, close: str) -> dict[str, dict[str, float]]:
+def features(words: list[str], disguised: set[str], close: str) -> dict[str, dict[str, float]]:
     """Category -> sparse features of a window, for categories with any sign of their own."""
     text, out = " ".join(words), {}
-    insults, mild = [w for w in words if w in INSULTS], [w for w in words if w in MILD]
+    insults = [w for w in words if w in INSULTS]
+    # "en retard" is French for late
+    mild = [w for before, w in zip(["", *words], words) if w in MILD and not (w == "retard" and before in ("en", "de", "du", "le", "un", "ce"))]
     explicit, suggestive = [w for w in words if w in EXPLICIT], [w for w in words if w in SUGGESTIVE]
     low = [w for w in words if w in DEHUMANISING]
     for category, phrases in PHRASES.items():
         body = text
         if category == "abuse" and (insults or mild):
-            body = " ".join("<insult>" if w in INSULTS or w in MILD else w for w in words)
+            body = " ".join("<insult>" if w in INSULTS or w in mild else w for w in words)
             body = body.replace("piece of <insult>", "<insult>").replace("<insult> <insult>", "<insult>").replace("hijo de <insult>", "<insult>")
         found = {name for name, p in phrases.items() if p.search(body if name == "aimed" else close if name in ("technical", "natural", "self") else text)}
+        if category == "sexual" and found & {"act", "offer"}:
+            found.discard("technical")  # an open phrase has one sense only, whatever stands near
         x: dict[str, float] = {f"{category}:{name}": 1.0 for name in found}
         if category == "abuse":
             signs = bool(insults or mild or found & {"threat", "dismiss"})
             x |= {"abuse:insult": float(bool(insults)), "abuse:mild": float(bool(mild))}
             if signs and re.search(rf"\b{YOU}\b", text):
                 x["abuse:you"] = 1.0
-            hidden = disguised and bool(insults or mild)
+            hidden = not disguised.isdisjoint(INSULTS | MILD)
         elif category == "hate":
             signs = bool(low or found & {"expel", "race"})
             x |= {"hate:dehumanising": float(bool(low)), "hate:strong": float(any(w in ("subhuman", "subhumans", "vermin", "vermine", "ungeziefer", "untermenschen") for w in low))}
-            hidden = disguised and bool(low)
+            hidden = not disguised.isdisjoint(DEHUMANISING)
         else:
             signs = bool(explicit or suggestive or found & {"act"})
             x |= {"sexual:explicit": float(bool(explicit)), "sexual:suggestive": float(bool(suggestive)), "sexual:several": float(len(set(explicit)) > 1)}
-            hidden = disguised and bool(explicit or suggestive)
+            hidden = not disguised.isdisjoint(EXPLICIT | SUGGESTIVE)
         if signs:
             x[f"{category}:disguised"] = float(hidden)
             out[category] = {k: v for k, v in x.items() if v}
@@ -268,18 +273,20 @@ def train(documents: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS)
     texts = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id")
     schema = "doc_id bigint, share double, window bigint, category string, features map<string,double>"
 
+    prior = OrdinalModel(PRIOR, THRESHOLDS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = _Units()
         for batch in batches:
             rows = []
             for doc, text, share in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "share"))):
-                for k, window in enumerate(windows(text, units)):
-                    rows += [(doc, share, k, c, list(x.items())) for c, x in features(*window).items()]
+                signs = [(-prior.severity(x), k, c, list(x.items())) for k, window in enumerate(windows(text, units)) for c, x in features(*window).items()]
+                # the worst three are all that the fit uses of a document
+                rows += [(doc, share, k, c, x) for _, k, c, x in sorted(signs, key=lambda s: s[:3])[:3]]
             cols = list(zip(*rows)) if rows else [()] * 5
             kinds = [pa.int64(), pa.float64(), pa.int64(), pa.string(), pa.map_(pa.string(), pa.float64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, kinds)], names=["doc_id", "share", "window", "category", "features"])
 
-    prior = OrdinalModel(PRIOR, THRESHOLDS)
     signs: dict[int, list[tuple[float, dict[str, float]]]] = {}
     toxic: dict[int, bool] = {}
     # windows with signs of at most max_labels documents; in a fixed order, so that fits repeat exactly
