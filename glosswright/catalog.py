@@ -567,15 +567,33 @@ def op_u5_vocabulary(spark, sf):
     return d.select("doc_id", F.array_join(F.array_distinct(text.words(F.col("text"))), " ").alias("vocabulary"))
 
 
+def _trim_sql(p: str, t: str) -> str:
+    """SQL of sequences.trim_repeat for two expressions."""
+    a, b, x, y = _lines_sql(p), _lines_sql(t), _spaced_sql(p), _spaced_sql(t)
+    n = f"coalesce(list_max(list_filter(range(1, least(len({a}), len({b}), 3) + 1), lambda k: ({a})[len({a}) - k + 1:] = ({b})[:k])), 0)"
+    m = f"coalesce(list_max(list_filter(range(11, least(len({x}), len({y}), 80) + 1), lambda k: ({x})[len({x}) - k + 1:] = ({y})[:k])), 0)"
+    return rf"case when {_strip_sql(p)} = '' or {_strip_sql(t)} = '' then {_strip_sql(t)} when {n} > 0 then coalesce(array_to_string(({b})[{n} + 1:], E'\n'), '') when {m} > 0 then coalesce(array_to_string(({y})[{m} + 1:], ' '), '') else {_strip_sql(t)} end"
+
+
+_FOLDED = "{'size': 0, 'chunk': 0, 'chars': 0, 'taken': 0, 'out': []::int[]}"
+_GREEDY_CHUNKS = rf"""l as (select doc_id, string_split(text, E'\n') as lines from documents where text is not null),
+f as (select doc_id, lines, list_reduce(list_transform(lines, lambda x: {{'size': length({_strip_sql('x')}), 'chunk': 0, 'chars': 0, 'taken': 0, 'out': []::int[]}}),
+  lambda a, e: case when e.size > 0 and a.taken > 0 and (a.chars >= 400 or a.chars + e.size + (a.chars > 0)::int > 550)
+    then {{'size': 0, 'chunk': a.chunk + 1, 'chars': e.size, 'taken': 1, 'out': list_append(a.out, a.chunk + 1)}}
+    else {{'size': 0, 'chunk': a.chunk, 'chars': case when e.size > 0 then a.chars + e.size + (a.chars > 0)::int else a.chars end, 'taken': a.taken + 1, 'out': list_append(a.out, a.chunk)}} end, {_FOLDED}).out as chunk from l),
+x as (select doc_id, unnest(lines) as line, unnest(chunk) as chunk from f)"""
+_PARAGRAPHS = rf"list_filter(list_transform(regexp_split_to_array(text, '\n\s*\n+'), lambda x: {_strip_sql('x')}), lambda x: x <> '')"
+
+
 # ---- Q: sequences ------------------------------------------------------------------------------
 
 
-@query(None)
+@query(f"with {_GREEDY_CHUNKS} select doc_id, chunk::bigint as chunk, count(*) as lines, sum(length({_strip_sql('line')}))::bigint as chars from x group by doc_id, chunk")
 def op_q1_chunks(spark, sf):
     """Lines of each document gathered greedily to 400 characters, 550 at most."""
     lines = F.split("text", "\n")
     d = docs(spark, sf).where("text is not null").select("doc_id", lines.alias("lines"), sequences.chunk_numbers(lines, 400, 550).alias("chunk"))
-    return d.select("doc_id", F.explode(F.arrays_zip("lines", "chunk")).alias("x")).groupBy("doc_id", "x.chunk").agg(F.count("*").alias("lines"), F.sum(F.length(F.trim("x.lines"))).alias("chars"))
+    return d.select("doc_id", F.explode(F.arrays_zip("lines", "chunk")).alias("x")).groupBy("doc_id", "x.chunk").agg(F.count("*").alias("lines"), F.sum(F.length(sequences.strip(F.col("x.lines")))).alias("chars"))
 
 
 @query(None)
@@ -599,7 +617,10 @@ def op_q3_trim_repeats(spark, sf):
     return j.select("video_id", "chunk_index", sequences.trim_repeat(F.coalesce("p", F.lit("")), F.col("t")).alias("text"))
 
 
-@query(None)
+@query(f"""with p as (select doc_id, {_PARAGRAPHS} as ps from documents where text is not null),
+f as (select doc_id, list_reduce(list_transform(ps, lambda x: {{'last': x, 'out': []::varchar[]}}), lambda acc, e: case when ({_trim_sql('acc.last', 'e.last')}) = '' then acc
+  else {{'last': {_trim_sql('acc.last', 'e.last')}, 'out': list_append(acc.out, {_trim_sql('acc.last', 'e.last')})}} end, {{'last': '', 'out': []::varchar[]}}) as r from p)
+select doc_id, coalesce(array_to_string(r.out, E'\\n\\n'), '') as merged from f""")
 def op_q4_merge(spark, sf):
     """Paragraphs of each document merged, with repeats at their seams removed."""
     return spread(docs(spark, sf)).where("text is not null").select("doc_id", sequences.merge_chunks(parsing.paragraphs(F.col("text"))).alias("merged"))
