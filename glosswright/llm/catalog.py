@@ -99,7 +99,8 @@ def p6_shares(spark: SparkSession, sf: str) -> DataFrame:
     segments = table(spark, sf, "transcript_segments").select("video_id", "segment_index", "text")
     segments = segments.where(~F.col("video_id").isin(live_stream(spark, sf)))
     whole = repetition.sequence_repetition(segments, "video_id", "segment_index", "text")
-    return excerpts.unionByName(whole.withColumn("chunk_index", F.lit(-1).cast("long")))
+    shares = excerpts.unionByName(whole.withColumn("chunk_index", F.lit(-1).cast("long")))
+    return shares.withColumn("share", F.round("share", 9))
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -194,7 +195,27 @@ keyed as (
         regexp_replace(metadata.video_id, '^[\s"'']+|[\s"'']+$', '', 'g') as plain from entries)
 )"""
 
+_REPEATED_SQL = r"""
+live as (select video_id from (select video_id, count(*) as n from transcript_segments group by 1) where n >= 0.05 * (select count(*) from transcript_segments)
+  and video_id in (select video_id from videos where live_status = 'is_live' or metrics.is_live)),
+segs as (select video_id, segment_index, arg_min(text, ingested_at) as text from transcript_segments where text is not null and video_id not in (select video_id from live) group by all),
+units as (select video_id, chunk_index, first(normalized_excerpt order by ingested_at) as text from chunk_records group by all
+  union all select video_id, -1, string_agg(text, ' ' order by segment_index) from segs group by video_id),
+listed as (select video_id, chunk_index, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') as ws from units),
+placed as (select video_id, chunk_index, unnest(ws) as w, generate_subscripts(ws, 1) as p from listed),
+grams as (select video_id, chunk_index, p, string_agg(w, ' ') over g as gram, count(*) over g as n from placed window g as (partition by video_id, chunk_index order by p rows between current row and 5 following)),
+later as (select *, min(p) over (partition by video_id, chunk_index, gram) as first_p from grams where n = 6),
+covered as (select video_id, chunk_index, count(distinct p + k) as c from (select video_id, chunk_index, p, unnest(range(6)) as k from later where p > first_p) group by all),
+shares as (select l.video_id, l.chunk_index, len(ws) as words, coalesce(c, 0) as repeated, case when len(ws) = 0 then 0.0 else coalesce(c, 0) / len(ws) end as share from listed l left join covered using (video_id, chunk_index))"""
+
 ORACLE = {
+    "p2_words": r"""
+with m as (select video_id, arg_min(word_count, updated_at) filter (true) as stored from analyze_metrics group by 1),
+e as (select video_id, chunk_index, first(normalized_excerpt order by ingested_at) as t from chunk_records group by all),
+c as (select video_id, sum(len(regexp_extract_all(t, '[\p{L}\p{N}_]+(?:''+[\p{L}\p{N}_]+)*')))::bigint as counted from e where t is not null group by 1)
+select m.video_id, stored, coalesce(counted, 0) as counted, coalesce(stored = coalesce(counted, 0), false) as agrees from m left join c using (video_id)""",
+    "p6_shares": "with" + _REPEATED_SQL + " select video_id, chunk_index, words, repeated, round(share, 9) as share from shares where not (chunk_index = -1 and words = 0)",
+    "p6_found": "with" + _REPEATED_SQL + " select video_id, chunk_index from shares where share >= 0.4",
     "p4_found": "with" + _VIDEO_SQL + """
 select distinct entry_id from keyed where video in
   (select video from keyed where video is not null group by video having count(distinct prev_split) > 1)""",
