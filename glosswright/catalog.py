@@ -592,7 +592,7 @@ _PARAGRAPHS = rf"list_filter(list_transform(regexp_split_to_array(text, '\n\s*\n
 def op_q1_chunks(spark, sf):
     """Lines of each document gathered greedily to 400 characters, 550 at most."""
     lines = F.split("text", "\n")
-    d = docs(spark, sf).where("text is not null").select("doc_id", lines.alias("lines"), sequences.chunk_numbers(lines, 400, 550).alias("chunk"))
+    d = spread(docs(spark, sf)).where("text is not null").select("doc_id", lines.alias("lines"), sequences.chunk_numbers(lines, 400, 550).alias("chunk"))
     return d.select("doc_id", F.explode(F.arrays_zip("lines", "chunk")).alias("x")).groupBy("doc_id", "x.chunk").agg(F.count("*").alias("lines"), F.sum(F.length(sequences.strip(F.col("x.lines")))).alias("chars"))
 
 

@@ -25,8 +25,9 @@ def chunk_numbers(texts: Column, target: int, hard_max: int) -> Column:
     """
     start = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("bigint").alias("chunk"), F.lit(0).alias("chars"), F.lit(0).alias("taken"))
 
-    def step(acc: Column, text: Column) -> Column:
-        size = F.length(strip(F.coalesce(text, F.lit(""))))
+    sizes = F.transform(texts, lambda t: F.length(strip(F.coalesce(t, F.lit("")))))  # once each, not at every use in the fold
+
+    def step(acc: Column, size: Column) -> Column:
         grown = acc["chars"] + size + F.when(acc["chars"] > 0, 1).otherwise(0)
         close = (size > 0) & (acc["taken"] > 0) & ((acc["chars"] >= target) | (grown > hard_max))
         number = acc["chunk"] + F.when(close, 1).otherwise(0)
@@ -35,7 +36,7 @@ def chunk_numbers(texts: Column, target: int, hard_max: int) -> Column:
             F.when(close, size).when(size > 0, grown).otherwise(acc["chars"]).alias("chars"), F.when(close, 1).otherwise(acc["taken"] + 1).alias("taken"),
         )
 
-    return F.aggregate(texts, start, step, lambda acc: acc["out"])
+    return F.aggregate(sizes, start, step, lambda acc: acc["out"])
 
 
 def plan_chunks(sizes: list[int], target: int, hard_max: int, overlap: int) -> list[tuple[int, int]]:
