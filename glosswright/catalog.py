@@ -352,7 +352,7 @@ def op_p6_empty_transcripts(spark, sf):
 @query(f"with {_ENTRIES_FIRST} select entry_id, case when o is null or i is null then 'missing_quality_metrics' else 'missing_metadata' end as reason from e where o is null or i is null or brief is null")
 def op_p13_unfit(spark, sf):
     e = once(spark, sf, "entries", "entry_id").select("entry_id", "edit_brief", "input_text", "output_text")
-    return generate.unfit(generate.edit_metrics(e)).select("entry_id", "reason")
+    return generate.unfit(generate.edit_metrics(e, text.token_jaccard)).select("entry_id", "reason")
 
 
 @query(f"select distinct video_id, chunk_index, 'source_too_short' as reason from chunk_records where coalesce({_tokens('normalized_excerpt')} < 120, true)")
@@ -360,6 +360,10 @@ def op_p10_too_short(spark, sf):
     return generate.too_short(table(spark, sf, "chunk_records"), 120).select("video_id", "chunk_index", "reason").distinct()
 
 
+def _talk_gates(d):
+    return d.select("entry_id", r6(F.col("copy_similarity_to_source")).alias("copy_similarity"), r6(F.col("novel_token_ratio")).alias("novelty"), "reason")
+
+
 def _talks(spark, sf):
     """Entries as one-turn chats about their input."""
     e = once(spark, sf, "entries", "entry_id").where("output_text is not null and input_text is not null")
@@ -374,13 +378,28 @@ _ENTRIES = """e as (select entry_id, arg_min(edit_brief, created_at) as brief, a
 select entry_id, copy_similarity, novelty, case when copy_similarity > 0.8 then 'copy_similarity' when novelty < 0.18 then 'novel_token_ratio' end as reason from m""")
 def op_p11_u2_talk_gates(spark, sf):
     cfg = Talk(clarifying_question_probability=0.0)
-    d = generate.talk_decisions(_talks(spark, sf), cfg)
-    return d.select("entry_id", r6(F.col("copy_similarity_to_source")).alias("copy_similarity"), r6(F.col("novel_token_ratio")).alias("novelty"), "reason")
+    return _talk_gates(generate.talk_decisions(_talks(spark, sf), cfg, text.token_jaccard))
+
 
+@query(None)
+def op_p11_u2_talk_gates_sequence(spark, sf):
+    """The gates by the matching-blocks ratio that their bounds are made for; no SQL form."""
+    return _talk_gates(generate.talk_decisions(_talks(spark, sf), Talk(clarifying_question_probability=0.0)))
 
-def _candidates(spark, sf):
+
+def _candidates(spark, sf, similarity=text.sequence_similarity):
     e = once(spark, sf, "entries", "entry_id").where("output_text is not null and input_text is not null")
-    return generate.edit_metrics(e.select("entry_id", "edit_brief", "input_text", "output_text", F.col("metadata.video_id").alias("video_id")))
+    return generate.edit_metrics(e.select("entry_id", "edit_brief", "input_text", "output_text", F.col("metadata.video_id").alias("video_id")), similarity)
+
+
+def _edit_gates(candidates):
+    d = generate.edit_decisions(candidates, Edit())
+    return d.select("entry_id", "status", "reason", r6(F.col("copy_similarity_to_input")).alias("similarity"), r6(F.col("output_to_input_token_ratio")).alias("length_ratio"), F.col("new_named_entities").alias("new_entities"))
+
+
+def _edit_summary(candidates):
+    s = tables.summary(generate.edit_decisions(candidates, Edit()), "edit_brief", ["copy_similarity_to_input", "output_to_input_token_ratio"])
+    return s.select("edit_brief", "attempted", "entries", "dropped", r6(F.col("copy_similarity_to_input_avg")).alias("similarity_avg"), r6(F.col("output_to_input_token_ratio_avg")).alias("ratio_avg"))
 
 
 _GATES = f"""m as (select entry_id, brief, {_jaccard('o', 'i')} as sim, {_ratio(_tokens('o'), _tokens('i'))} as ratio, len(list_filter({_entities('o')}, lambda x: not list_contains({_entities('i')}, x))) as news from e where o is not null and i is not null),
@@ -392,15 +411,24 @@ d as (select *, case when brief = 'cleanup_filler' and sim < 0.45 then 'cleanup_
 
 @query(f"with {_ENTRIES}, {_GATES} select entry_id, case when reason is null then 'accepted' else 'rejected' end as status, reason, round(sim, 6) as similarity, round(ratio, 6) as length_ratio, news as new_entities from d")
 def op_p12_u1_e5_edit_gates(spark, sf):
-    d = generate.edit_decisions(_candidates(spark, sf), Edit())
-    return d.select("entry_id", "status", "reason", r6(F.col("copy_similarity_to_input")).alias("similarity"), r6(F.col("output_to_input_token_ratio")).alias("length_ratio"), F.col("new_named_entities").alias("new_entities"))
+    return _edit_gates(_candidates(spark, sf, text.token_jaccard))
+
+
+@query(None)
+def op_p12_u1_e5_edit_gates_sequence(spark, sf):
+    """The gates by the matching-blocks ratio that their bounds are made for; no SQL form."""
+    return _edit_gates(_candidates(spark, sf))
 
 
 @query(f"with {_ENTRIES}, {_GATES} select brief as edit_brief, count(*) as attempted, count(*) filter (reason is null) as entries, count(*) filter (reason is not null) as dropped, round(coalesce(avg(sim) filter (reason is null), 0), 6) as similarity_avg, round(coalesce(avg(ratio) filter (reason is null), 0), 6) as ratio_avg from d group by brief")
 def op_a3_a4_summary(spark, sf):
-    d = generate.edit_decisions(_candidates(spark, sf), Edit())
-    s = tables.summary(d, "edit_brief", ["copy_similarity_to_input", "output_to_input_token_ratio"])
-    return s.select("edit_brief", "attempted", "entries", "dropped", r6(F.col("copy_similarity_to_input_avg")).alias("similarity_avg"), r6(F.col("output_to_input_token_ratio_avg")).alias("ratio_avg"))
+    return _edit_summary(_candidates(spark, sf, text.token_jaccard))
+
+
+@query(None)
+def op_a3_a4_summary_sequence(spark, sf):
+    """The summary of op_p12_u1_e5_edit_gates_sequence."""
+    return _edit_summary(_candidates(spark, sf))
 
 
 @query("select doc_id, case when lower(text) like '%here is the cleaned transcript%' then 'here is the cleaned transcript' when lower(text) like '%here’s the cleaned transcript%' then 'here’s the cleaned transcript' when lower(text) like '%cleaned transcript:%' then 'cleaned transcript:' when lower(text) like '%---%' then '---' when lower(text) like '%note:%' then 'note:' end as phrase from documents")

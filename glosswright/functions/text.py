@@ -68,6 +68,10 @@ def sequence_similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([_similarity(a, b) for a, b in zip(left, right)], dtype="float64")
 
 
+#: So that a filter on a similarity is not pushed below it and every pair matched twice.
+sequence_similarity = sequence_similarity.asNondeterministic()
+
+
 def token_jaccard(left: Column, right: Column) -> Column:
     """Overlap of word sets: a similarity that SQL can state. 1.0 for two empty texts."""
 

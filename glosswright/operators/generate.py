@@ -28,7 +28,7 @@ def too_short(chunks: DataFrame, min_source_tokens: int, source: str = "normaliz
     return chunks.where(F.coalesce(text.approx_token_count(F.col(source)) < min_source_tokens, F.lit(True))).withColumn("reason", F.lit("source_too_short"))
 
 
-def edit_metrics(rows: DataFrame, similarity: Similarity = text.token_jaccard) -> DataFrame:
+def edit_metrics(rows: DataFrame, similarity: Similarity = text.sequence_similarity) -> DataFrame:
     """Adds similarity, length ratio, counts and new entities of output_text against input_text."""
     a, b = text.approx_token_count(F.col("input_text")), text.approx_token_count(F.col("output_text"))
     return rows.select(
@@ -50,7 +50,7 @@ def unfit(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("reason", missing).where("reason is not null")
 
 
-def run_edits(chunks: DataFrame, cfg: Edit, model=None, similarity: Similarity = text.token_jaccard) -> DataFrame:
+def run_edits(chunks: DataFrame, cfg: Edit, model=None, similarity: Similarity = text.sequence_similarity) -> DataFrame:
     """E4 and E5 in one: requests, answers, parsing and gates. A failed answer drops its example only."""
     asked = edit_requests(chunks, cfg).withColumn("system", F.lit(""))
     answered = complete(asked, "system", "input_text", model).withColumn("parsed", parsing.between(F.col("answer"), *parsing.MARKS["edit"]))
@@ -71,7 +71,7 @@ def must_ask(cfg: Talk, video_id: Column, chunk_index: Column) -> Column:
     return hashing.chosen(cfg.clarifying_question_probability, chunk_index=chunk_index, salt=F.lit("clarify"), video_id=video_id)
 
 
-def talk_decisions(chats: DataFrame, cfg: Talk, similarity: Similarity = text.token_jaccard) -> DataFrame:
+def talk_decisions(chats: DataFrame, cfg: Talk, similarity: Similarity = text.sequence_similarity) -> DataFrame:
     """Chats (video_id, chunk_index, source_text, messages) judged against their source."""
     answer = sequences.assistant_text(F.col("messages"))
     m = chats.withColumn("assistant_text", answer)
