@@ -1,6 +1,8 @@
 """Command line.
 
     python -m glosswright query NAME DATA_DIR [OUT_DIR]   run a registered core query
+    python -m glosswright run RUNS_DIR [STAGE ...]        run all stages, or the named ones
+        --settings FILE --catalog FILE.jsonl --transcripts DIR --services MODULE:NAME --run-id ID
     python -m glosswright list                            names of the queries
     python -m glosswright status RUNS_DIR                 the newest run and its stages
 """
@@ -8,11 +10,35 @@
 from __future__ import annotations
 
 import argparse
+import dataclasses
+import importlib
 import json
 import sys
 
 from glosswright import catalog
-from glosswright.plans.pipeline import Run
+from glosswright.plans.config import STAGES, Settings
+from glosswright.plans.pipeline import Manifest, Run, run_stages
+from glosswright.plans.stages import Services, staged
+
+
+def run_command(args: argparse.Namespace, parser: argparse.ArgumentParser) -> int:
+    from pyspark.sql import SparkSession
+
+    if set(args.stages) - set(STAGES):
+        parser.error(f"the stages are {', '.join(STAGES)}")
+    if bool(args.catalog) != bool(args.transcripts):
+        parser.error("--catalog and --transcripts belong together")
+    settings, services = Settings.load(args.settings) if args.settings else Settings(), Services()
+    if args.services:
+        module, _, name = args.services.partition(":")
+        services = getattr(importlib.import_module(module), name or "SERVICES")
+    if args.catalog:
+        services = dataclasses.replace(services, **staged(args.catalog, args.transcripts))
+    spark = SparkSession.builder.appName("glosswright").getOrCreate()
+    run = Run.resolve(args.runs, settings, args.run_id)
+    manifest = Manifest(spark, f"{run.root}/{run.run_id}/manifest")
+    print(json.dumps(run_stages(spark, run, manifest, names=tuple(n for n in STAGES if n in args.stages) or STAGES, services=services), indent=2))
+    return 0
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -24,7 +50,14 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("out", nargs="?")
     commands.add_parser("list")
     commands.add_parser("status").add_argument("runs")
+    stages = commands.add_parser("run")
+    stages.add_argument("runs")
+    stages.add_argument("stages", nargs="*", metavar="STAGE", help=", ".join(STAGES))
+    for option in ("--settings", "--catalog", "--transcripts", "--services", "--run-id"):
+        stages.add_argument(option)
     args = parser.parse_args(argv)
+    if args.command == "run":
+        return run_command(args, parser)
     if args.command == "list":
         print("\n".join(sorted(catalog.queries())))
         return 0

@@ -11,6 +11,7 @@ from glosswright.external import complete
 from glosswright.functions import hashing, parsing, text
 from glosswright.operators import rules, sequences, tables
 from glosswright.plans.config import BRIEFS, Edit, Talk
+from glosswright.runtime import cut
 
 Similarity = Callable[[Column, Column], Column]
 
@@ -52,8 +53,8 @@ def unfit(candidates: DataFrame) -> DataFrame:
 
 def run_edits(chunks: DataFrame, cfg: Edit, model=None, similarity: Similarity = text.sequence_similarity) -> DataFrame:
     """E4 and E5 in one: requests, answers, parsing and gates. A failed answer drops its example only."""
-    asked = edit_requests(chunks, cfg).withColumn("system", F.lit(""))
-    answered = complete(asked, "system", "input_text", model).withColumn("parsed", parsing.between(F.col("answer"), *parsing.MARKS["edit"]))
+    asked = edit_requests(chunks, cfg)
+    answered = complete(asked, "instruction", "input_text", model).withColumn("parsed", parsing.between(F.col("answer"), *parsing.MARKS["edit"]))
     measured = edit_metrics(answered.withColumn("output_text", F.col("parsed.value")), similarity)
     fail = F.when(F.col("error").isNotNull() | F.col("parsed.error").isNotNull(), "llm_or_parse_error")
     judged = edit_decisions(measured.where(fail.isNull()), cfg)
@@ -82,6 +83,22 @@ def talk_decisions(chats: DataFrame, cfg: Talk, similarity: Similarity = text.se
     return rules.decide(m, gates, "accepted", "rejected")
 
 
+def run_talks(chunks: DataFrame, cfg: Talk, model=None, prompt: str = "{source_excerpt}", source: str = "normalized_excerpt", similarity: Similarity = text.sequence_similarity) -> DataFrame:
+    """E3 in one: prompts, answers, parsing and gates for chunks that are long enough."""
+    text_of = F.col(source)
+    asked = chunks.where(text.approx_token_count(text_of) >= cfg.min_source_tokens).withColumn("source_text", text_of)
+    clarify = F.when(must_ask(cfg, F.col("video_id"), F.col("chunk_index")), "yes").otherwise("no")
+    values = {"title": F.col("title"), "video_id": F.col("video_id"), "chunk_index": F.col("chunk_index"), "source_excerpt": text_of, "topic_hint": text.topic_hint(text_of), "turn_pairs": F.lit(cfg.turn_pairs)}
+    values |= {"target_tokens_per_assistant_turn": F.lit(cfg.target_tokens_per_assistant_turn), "requires_clarifying_question": clarify}
+    asked = asked.withColumn("system", F.lit("")).withColumn("prompt", parsing.fill(prompt, **values))
+    answered = cut(complete(asked, "system", "prompt", model)).withColumn("block", parsing.between(F.col("answer"), *parsing.MARKS["talk"]))
+    parsed = answered.withColumn("chat", parsing.chat_messages(F.col("block.value"), cfg.turn_pairs)).withColumn("messages", F.col("chat.messages"))
+    good = F.col("error").isNull() & F.col("messages").isNotNull()
+    judged = talk_decisions(parsed.where(good), cfg, similarity)
+    lost = parsed.where(~good).withColumn("reason", F.lit("llm_or_parse_error")).withColumn("status", F.lit("rejected"))
+    return judged.unionByName(lost, allowMissingColumns=True)
+
+
 def metadata(generator: str, version: str, template: str) -> Column:
     """X5."""
     names = ("video_id", "title", "chunk_index", "segment_start_idx", "segment_end_idx", "start_time", "end_time")
@@ -91,8 +108,8 @@ def metadata(generator: str, version: str, template: str) -> Column:
 
 def normalize_chunks(chunks: DataFrame, model=None, prompt: str = "{text}") -> DataFrame:
     """Cleaned chunks; one failed chunk fails its whole item (``ok`` is per item)."""
-    asked = chunks.withColumn("system", F.lit("")).withColumn("prompt", parsing.fill(prompt, text=F.col("text"), title=F.col("video_id")))
-    answered = complete(asked, "system", "prompt", model)
+    asked = chunks.withColumn("system", F.lit("")).withColumn("prompt", parsing.fill(prompt, text=F.col("text"), title=F.col("title" if "title" in chunks.columns else "video_id"), video_id=F.col("video_id"), chunk_index=F.col("chunk_index")))
+    answered = cut(complete(asked, "system", "prompt", model))  # read twice below
     parsed = answered.withColumn("parsed", parsing.between(F.col("answer"), *parsing.MARKS["normalize"]))
     good = F.col("error").isNull() & F.col("parsed.error").isNull() & parsing.banned_phrase(F.col("parsed.value")).isNull()
     rows = parsed.withColumn("good", good).withColumn("normalized_excerpt", F.col("parsed.value"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from glosswright.operators import tables
 from glosswright.plans.config import STAGES, Settings
+from glosswright.plans.stages import Services, stage_functions
 from glosswright.sources.writers import write_json
 
 MANIFEST = "stage string, item_id string, status string, input_hash string, updated_at timestamp, reason string"
@@ -100,10 +101,11 @@ class Run:
 Stage = Callable[[SparkSession, Run, Manifest], None]
 
 
-def run_stages(spark: SparkSession, run: Run, manifest: Manifest, stages: dict[str, Stage], names: tuple[str, ...] = STAGES) -> dict[str, dict]:
-    """C4: the named stages in order. A disabled stage completes with nothing; a stage that fails,
+def run_stages(spark: SparkSession, run: Run, manifest: Manifest, stages: dict[str, Stage] | None = None, names: tuple[str, ...] = STAGES, services: Services | None = None) -> dict[str, dict]:
+    """C4: the named stages in order, those of plans/stages unless given. A disabled stage completes with nothing; a stage that fails,
     or fails for too many items, ends the run (P15, P16)."""
     reports: dict[str, dict] = {}
+    stages = {**stage_functions(services), **(stages or {})}
     for name in names:
         if not run.settings.enabled(name):
             run.status[name], reports[name] = "completed", {"total": 0, "success": 0, "failed": 0, "skipped": 0}
