@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LIMIT, OVERLAP = 1200, 120
+#: Items over more indexes are looked up by blocks of segments, not index by index.
+WIDE, BLOCK = 100_000, 4_096
 LEVELS = ("segment", "paragraph", "sentence", "word", "none")
 #: Where a span of each level may be cut: the cut is the end of the match.
 SEPARATORS = {"paragraph": re.compile(r"\n\s*\n\s*"), "sentence": re.compile(r"[.!?…]\s+"), "word": re.compile(r"\s+")}
@@ -88,6 +90,22 @@ def cut_text(text: str, lengths: list[int] | None = None, limit: int = LIMIT, ov
         start = end - overlap
 
 
+def _wide(items: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(video_id, chunk_index, segment_index, n) of items that span many indexes: by the blocks of segments that exist.
+
+    Where the blocks that lie wholly inside hold more characters than the text, the bounds
+    cannot be right and nothing is given, so an item never collects much more than its text.
+    """
+    numbered = lengths.withColumn("b", F.floor(F.col("segment_index") / BLOCK))
+    a, z = F.floor(F.col("start_segment_index") / BLOCK), F.floor(F.col("end_segment_index") / BLOCK)
+    keys = items.select("video_id", "chunk_index", "start_segment_index", "end_segment_index", F.length("text").alias("size"))
+    spans = keys.join(numbered.groupBy("video_id", "b").agg(F.sum("n").alias("chars")), "video_id").where(F.col("b").between(a, z))
+    inside = F.sum(F.when((F.col("b") > a) & (F.col("b") < z), F.col("chars")).otherwise(0))
+    fit = spans.groupBy("video_id", "chunk_index").agg(inside.alias("inside"), F.first("size").alias("size")).where("inside <= size").select("video_id", "chunk_index")
+    some = spans.join(fit, ["video_id", "chunk_index"], "left_semi").drop("chars", "size")
+    return some.join(numbered, ["video_id", "b"]).where(F.col("segment_index").between(F.col("start_segment_index"), F.col("end_segment_index"))).select("video_id", "chunk_index", "segment_index", "n")
+
+
 def oversized(items: DataFrame, segments: DataFrame, limit: int = LIMIT) -> DataFrame:
     """(video_id, chunk_index, text, lengths): items over *limit* with the lengths of their non-blank segments.
 
@@ -97,12 +115,14 @@ def oversized(items: DataFrame, segments: DataFrame, limit: int = LIMIT) -> Data
     big = items.where(F.length("text") > limit).groupBy("video_id", "chunk_index").agg(F.first(F.struct("text", "start_segment_index", "end_segment_index")).alias("i"))
     big = big.select("video_id", "chunk_index", "i.*")
     ok = F.col("start_segment_index") <= F.col("end_segment_index")
-    # a bound far beyond the text's length cannot be right: each segment gives at least two characters of it
-    near = F.col("end_segment_index") - F.col("start_segment_index") <= 100_000
+    near = F.col("end_segment_index") - F.col("start_segment_index") <= WIDE
     want = big.where(ok & near).select("video_id", "chunk_index", F.explode(F.sequence("start_segment_index", "end_segment_index")).alias("segment_index"))
     stripped = F.regexp_replace("text", f"^{BLANKS}+|{BLANKS}+$", "")
     lengths = segments.select("video_id", "segment_index", F.length(stripped).alias("n")).where("n > 0").groupBy("video_id", "segment_index").agg(F.max("n").alias("n"))
-    listed = want.join(lengths, ["video_id", "segment_index"]).groupBy("video_id", "chunk_index").agg(F.array_sort(F.collect_list(F.struct("segment_index", "n"))).alias("s"))
+    found = want.join(lengths, ["video_id", "segment_index"])
+    if not items.where(ok & ~near).isEmpty():
+        found = found.unionByName(_wide(big.where(ok & ~near), lengths).select(*found.columns))
+    listed = found.groupBy("video_id", "chunk_index").agg(F.array_sort(F.collect_list(F.struct("segment_index", "n"))).alias("s"))
     return big.join(listed, ["video_id", "chunk_index"], "left").select("video_id", "chunk_index", "text", F.col("s.n").alias("lengths"))
 
 
