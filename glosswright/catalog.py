@@ -6,6 +6,7 @@ transcripts (their lines for segments); the transcript tables stand for themselv
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -287,6 +288,18 @@ def _profiled(documents):
     )
 
 
+@query(None)
+def op_p7_excerpt_cascade(spark, sf):
+    """All nine rules, with the default bounds of change, on excerpts: their source and normalized text really differ."""
+    changed = text.with_change(_excerpt_pairs(spark, sf), "text", "normalized_excerpt").select(
+        "video_id", "chunk_index", "normalized_excerpt", F.col("tokens_ratio").alias("normalize_token_ratio"), F.col("chars_ratio").alias("normalize_length_ratio"),
+        text.sequence_similarity(F.col("text"), F.col("normalized_excerpt")).alias("normalize_similarity"),
+    )
+    cfg = dataclasses.replace(FILTER, normalize_min_similarity=Filter.normalize_min_similarity)
+    d = rules.decide(text.with_profile(changed, "normalized_excerpt"), rules.quality_rules(cfg))
+    return d.select("video_id", "chunk_index", r6(F.col("normalize_similarity")).alias("normalize_similarity"), F.coalesce("reason", "status").alias("outcome"))
+
+
 _CASCADE = f"""ready as (select *, {_language_sql('ws')} as language, {_ratio(_tokens(_squeezed('text')), 'token_count')} as tr, {_ratio('length(' + _squeezed('text') + ')', 'length(text)')} as lr from scored where text is not null),
 judged as (select *, case when language not in ('en', 'fr', 'de', 'es') then 'language' when token_count < 80 then 'min_tokens' when word_count < 60 then 'min_words' when quality_score < 0.2 then 'quality'
   when tr < 0.7 then 'normalize_token_ratio_low' when tr > 1.35 then 'normalize_token_ratio_high' when lr < 0.7 then 'normalize_length_ratio_low' when lr > 1.35 then 'normalize_length_ratio_high' end as reason from ready)"""
@@ -387,6 +400,12 @@ def op_p11_u2_talk_gates_sequence(spark, sf):
     return _talk_gates(generate.talk_decisions(_talks(spark, sf), Talk(clarifying_question_probability=0.0)))
 
 
+@query(None)
+def op_p11_h3_talk_gates_asking(spark, sf):
+    """All three gates with the default probability: chats that must ask and hold no question are rejected."""
+    return _talk_gates(generate.talk_decisions(_talks(spark, sf), Talk()))
+
+
 def _candidates(spark, sf, similarity=text.sequence_similarity):
     e = once(spark, sf, "entries", "entry_id").where("output_text is not null and input_text is not null")
     return generate.edit_metrics(e.select("entry_id", "edit_brief", "input_text", "output_text", F.col("metadata.video_id").alias("video_id")), similarity)

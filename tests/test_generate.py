@@ -41,3 +41,11 @@ def test_registered_gates_use_the_ratio(spark):
     assert {r.entry_id: r.similarity for r in edit.collect()} == {k: pytest.approx(s, abs=1e-6) for k, (b, s) in want.items() if b}
     summary = catalog.queries()["op_a3_a4_summary_sequence"](spark, SF)
     assert summary.agg(F.sum("entries")).first()[0] == edit.where("status = 'accepted'").count()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data here")
+def test_queries_reach_every_gate(spark):
+    asked = catalog.queries()["op_p11_h3_talk_gates_asking"](spark, SF)
+    assert asked.where("reason = 'missing_clarifying_question'").count() > 0
+    cascade = catalog.queries()["op_p7_excerpt_cascade"](spark, SF)
+    assert cascade.where("normalize_similarity is null").count() == 0 and cascade.where("outcome = 'normalize_similarity'").count() > 0
