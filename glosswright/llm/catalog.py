@@ -201,7 +201,7 @@ live as (select video_id from (select video_id, count(*) as n from transcript_se
 segs as (select video_id, segment_index, arg_min(text, ingested_at) as text from transcript_segments where text is not null and video_id not in (select video_id from live) group by all),
 units as (select video_id, chunk_index, first(normalized_excerpt order by ingested_at) as text from chunk_records group by all
   union all select video_id, -1, string_agg(text, ' ' order by segment_index) from segs group by video_id),
-listed as (select video_id, chunk_index, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') as ws from units),
+listed as (select video_id, chunk_index, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as ws from units),
 placed as (select video_id, chunk_index, unnest(ws) as w, generate_subscripts(ws, 1) as p from listed),
 grams as (select video_id, chunk_index, p, string_agg(w, ' ') over g as gram, count(*) over g as n from placed window g as (partition by video_id, chunk_index order by p rows between current row and 5 following)),
 later as (select *, min(p) over (partition by video_id, chunk_index, gram) as first_p from grams where n = 6),
