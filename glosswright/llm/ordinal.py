@@ -1,8 +1,8 @@
-"""Cumulative-link (proportional odds) regression on sparse features.
+"""Cumulative-link (proportional odds) regression on hashed sparse features, several outcomes at once.
 
-P(y >= k) = sigmoid(x·w - b_k): one weight vector shared by all thresholds b_1 < b_2 < ...
-Fitted by maximum a posteriori around prior weights, so that few or noisy labels move the
-model only as far as they agree.
+P(y >= k) = sigmoid(x·w - b_k): one weight vector per outcome, shared by all of its thresholds
+b_1 < b_2. Fitted by maximum a posteriori around prior weights. A row may be known only up to
+an interval of grades, and a row whose grade is doubted pulls less the less the model believes it.
 """
 
 from __future__ import annotations
@@ -12,61 +12,65 @@ from dataclasses import dataclass
 import numpy as np
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
+def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
 @dataclass
 class OrdinalModel:
-    weights: dict[str, float]
-    thresholds: list[float]
+    #: features x outcomes, and outcomes x thresholds
+    weights: np.ndarray
+    thresholds: np.ndarray
 
-    def eta(self, features: dict[str, float]) -> float:
-        get = self.weights.get
-        return sum(v * get(k, 0.0) for k, v in features.items())
+    def severity(self, eta: np.ndarray) -> np.ndarray:
+        """Expected grade of each outcome for etas (..., outcomes)."""
+        return sigmoid(eta[..., None] - self.thresholds).sum(-1)
 
-    def severity(self, features: dict[str, float]) -> float:
-        """Expected grade."""
-        eta = self.eta(features)
-        return float(sum(_sigmoid(np.array(eta - b)) for b in self.thresholds))
+
+@dataclass
+class Rows:
+    """Sparse rows: features *index* with *value*, row after row; *start* is where each begins.
+
+    low and high (rows x outcomes) bound the grade; doubt is 0 for rows that are sure.
+    """
+
+    index: np.ndarray
+    value: np.ndarray
+    start: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    doubt: np.ndarray
 
 
-def fit(rows: list[tuple[dict[str, float], int]], prior: dict[str, float], thresholds: list[float], strength: float = 4.0, steps: int = 300, rate: float = 0.05) -> OrdinalModel:
-    """*rows* are (features, grade); *strength* is the precision of the prior around *prior*."""
-    names = sorted(set(prior) | {k for x, _ in rows for k in x})
-    at = {k: i for i, k in enumerate(names)}
-    w0 = np.array([prior.get(k, 0.0) for k in names])
-    b0 = np.array(thresholds, dtype=float)
-    if not rows:
-        return OrdinalModel(dict(zip(names, w0)), list(b0))
-    index = [np.array([at[k] for k in x], dtype=int) for x, _ in rows]
-    value = [np.array(list(x.values())) for x, _ in rows]
-    row = np.repeat(np.arange(len(rows)), [len(i) for i in index])
-    col, val = np.concatenate(index), np.concatenate(value)
-    y = np.array([g for _, g in rows])
-    w, gaps = w0.copy(), np.concatenate([b0[:1], np.log(np.diff(b0))])
-    start = gaps.copy()
-    m, v = np.zeros(len(w) + len(gaps)), np.zeros(len(w) + len(gaps))
+def fit(rows: Rows, prior: OrdinalModel, strength: float = 1.0, steps: int = 40, rate: float = 0.12, begin: OrdinalModel | None = None) -> OrdinalModel:
+    """Maximum a posteriori with Adam; *strength* is the precision around *prior*, *begin* where to start."""
+    used, col = np.unique(rows.index, return_inverse=True)
+    # outcomes come first in every array, so that sums run over contiguous memory
+    low, high = np.ascontiguousarray(rows.low.T), np.ascontiguousarray(rows.high.T)
+    n_out = len(low)
+    order = np.argsort(col, kind="stable")  # the rows again by feature, for the gradient
+    by_row = np.repeat(np.arange(len(rows.low)), np.diff(np.append(rows.start, len(rows.index))))[order]
+    by_value, by_start = rows.value[order], np.searchsorted(col[order], np.arange(len(used)))
+    w0 = np.ascontiguousarray(prior.weights[used].T, dtype=float)
+    w = np.array((begin or prior).weights[used].T, dtype=float, order="C")
+    gaps, start = (np.column_stack([t[:, :1], np.log(np.diff(t, axis=1))]) for t in ((begin or prior).thresholds, prior.thresholds))
+    m, v = [np.zeros_like(w), np.zeros_like(gaps)], [np.zeros_like(w), np.zeros_like(gaps)]
+    out = np.arange(n_out)[:, None]
     for step in range(1, steps + 1):
-        b = np.concatenate([gaps[:1], gaps[0] + np.cumsum(np.exp(gaps[1:]))])
-        eta = np.bincount(row, weights=val * w[col], minlength=len(rows))
-        upper = np.concatenate([b, [np.inf]])[y]  # grade g lies between b_g-1 and b_g
-        lower = np.concatenate([[-np.inf], b])[y]
-        hi = np.where(np.isinf(upper), 1.0, _sigmoid(np.where(np.isinf(upper), 0, upper) - eta))
-        lo = np.where(np.isinf(lower), 0.0, _sigmoid(np.where(np.isinf(lower), 0, lower) - eta))
+        b = np.column_stack([gaps[:, :1], gaps[:, :1] + np.cumsum(np.exp(gaps[:, 1:]), axis=1)])
+        edges = np.column_stack([np.full(n_out, -np.inf), b, np.full(n_out, np.inf)])
+        eta = np.stack([np.add.reduceat(x[col] * rows.value, rows.start) for x in w])
+        hi, lo = (np.where(np.isinf(e), e > 0, sigmoid(np.nan_to_num(e, posinf=0, neginf=0) - eta)) for e in (edges[out, high + 1], edges[out, low]))
         p = np.maximum(hi - lo, 1e-9)
-        # derivatives of log p; a share of wrong labels bounds what one row can pull
-        trust = p / (p + 0.02)
+        trust = p / (p + rows.doubt)
         d_hi, d_lo = hi * (1 - hi) / p * trust, lo * (1 - lo) / p * trust
-        d_hi = np.where(np.isinf(upper), 0.0, d_hi)
-        d_lo = np.where(np.isinf(lower), 0.0, d_lo)
-        g_eta = d_lo - d_hi
-        g_w = np.bincount(col, weights=val * g_eta[row], minlength=len(w)) - strength * (w - w0)
-        g_b = np.array([d_hi[y == k].sum() - d_lo[y == k + 1].sum() for k in range(len(b))])
-        g_gap = np.array([g_b.sum(), *[np.exp(gaps[k]) * g_b[k:].sum() for k in range(1, len(b))]]) - strength * (gaps - start)
-        grad = np.concatenate([g_w, g_gap])
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        w, gaps = w + move[: len(w)], gaps + move[len(w) :]
-    b = np.concatenate([gaps[:1], gaps[0] + np.cumsum(np.exp(gaps[1:]))])
-    return OrdinalModel(dict(zip(names, w)), list(b))
+        g_w = np.stack([np.add.reduceat(d[by_row] * by_value, by_start) for d in d_lo - d_hi]) - strength * (w - w0)
+        g_b = np.stack([(d_hi * (high == k)).sum(1) - (d_lo * (low == k + 1)).sum(1) for k in range(b.shape[1])], axis=1)
+        g_gap = np.column_stack([g_b.sum(1), *[np.exp(gaps[:, k]) * g_b[:, k:].sum(1) for k in range(1, b.shape[1])]]) - 4.0 * strength * (gaps - start)
+        for k, (x, g) in enumerate(((w, g_w), (gaps, g_gap))):
+            m[k] = 0.9 * m[k] + 0.1 * g
+            v[k] = 0.999 * v[k] + 0.001 * g**2
+            x += rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+    weights = prior.weights.copy()
+    weights[used] = w.T
+    return OrdinalModel(weights, np.column_stack([gaps[:, :1], gaps[:, :1] + np.cumsum(np.exp(gaps[:, 1:]), axis=1)]))

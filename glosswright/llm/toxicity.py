@@ -1,14 +1,22 @@
 """Problem 10: abusive, hateful and sexual content, scored by severity.
 
 Words are freed from disguise (look-alikes, digits for letters, stretched or separated
-letters). Around every word that may matter, a window of words gives sparse features per
-category; a cumulative-link regression turns them into an expected severity from 0 (none)
-over 1 (a word of that kind in another sense) to 2 (severe). A document's score is that of
-its worst window. The regression starts from prior weights and is fitted to the labelled
-sample (at most MAX_LABELS documents); labels are doubted, as some are wrong.
+letters). A window of REACH words has sparse features: its words, their runs of letters,
+pairs and triples of words, and the words around it, all hashed, so that any word can count;
+one more feature per category is membership in a word list. A cumulative-link regression per
+category turns them into an expected severity from 0 (none) over 1 (a word of that kind in
+another sense) to 2 (severe). A document's score is that of its worst window.
+
+The regression starts from made sentences (toxic_seeds) and learns from the labelled
+documents, at most MAX_LABELS of them. A label is of a whole document, so each document
+counts by its worst windows, searched among all of its windows anew in each of ROUNDS rounds
+and kept; runs of words that toxic documents hold far oftener than clean ones help the
+search. A toxic label without any such sign is doubted and not used, nor are windows of clean
+documents with such runs, and labels pull less the less the model believes them.
 
 Defined results: null and empty texts have severity 0 in every category; labels that are
-null or contradict each other are not used; whole texts are scanned.
+null or contradict each other are not used; whole texts are scanned; without labels the made
+sentences alone decide.
 """
 
 from __future__ import annotations
@@ -16,117 +24,89 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from glosswright.llm import toxic_seeds
 from glosswright.llm.leaks import INVISIBLE, LOOK_ALIKES
-from glosswright.llm.ordinal import OrdinalModel, fit
-from glosswright.runtime import spread
+from glosswright.llm.ordinal import OrdinalModel, Rows, fit
+from glosswright.llm.toxic_seeds import LEXICON, LISTS
+from glosswright.runtime import cut, spread
 
 CATEGORIES = ("abuse", "hate", "sexual")
+#: Labelled documents of the fit: the least hashes of their ids.
 MAX_LABELS = 5_000
-SEVERE = 1.3
-REACH = 12
-#: Words of another sense (a clinic, a farm) count only this close, as any text may hold them.
-CLOSE = 5
-
-#: Nouns that insult whoever they are said of, without accents.
-INSULTS = set(
-    "asshole arsehole assholes bitch bitches bastard cretin cunt dickhead dipshit dirtbag douchebag dumbass dumbfuck fuckwit fucker fuckface halfwit jackass jerk "
-    "moron motherfucker nitwit pieceofshit prick scumbag shithead shit slut sonofabitch twat wanker whore imbecile imbecil imbeciles scum loser lowlife "
-    "connard connasse enfoire abruti salaud salope encule batard ordure pourriture debile cretine crevard petasse putain fumier "
-    "arschloch wichser drecksack missgeburt schwachkopf hurensohn dreckskerl vollidiot miststuck schlampe fotze arsch trottel depp scheisskerl mistkerl spast vollpfosten dummkopf "
-    "gilipollas cabron cabrona hijodeputa hijoputa puta maricon pendejo capullo mamon subnormal zorra malparido gilipolla cretino idiota estupido".split()
-)
-#: Words that insult only when aimed at someone.
-MILD = set("penner retard clown idiot idiots idiote parasite pig pigs swine fool dumb stupid miserable worthless pathetic moronic ass coward schwein sau affe ratte esel dumme dummer blode bloder erbarmliche erbarmlicher payaso cerdo burro inutil asqueroso asquerosa maldito maldita basura porc cochon ane clochard minable pauvre crapule raclure parasit parasito parasita idioten".split())
-#: Explicit words of sex, and words that may be.
-EXPLICIT = set(
-    "blowjob blowjobs handjob porn porno pornos porns pornographie pornografia xxx tits titties pussies pussy cocks cum cumshot dildo horny milf gangbang orgasm orgasmed camgirl sexcam sexcams uncensored "
-    "baiser baisaient baise bite chatte nichons fellation sucait jouissait bander "
-    "ficken fickt fickte gefickt titten muschi schwanz wichsen geile geil geilen nacktbilder nacktfotos bumsen vogeln hoschen "
-    "follar follaban follando follada follo polla coño cono tetas mamada corrida cachonda cachondas".split()
-)
-SUGGESTIVE = set("sex sexual naked nude nudes nudity breast breasts cock ass bodies moaned moaning moan panties escort hot webcam cam nackt nackte nackten stohnte stohnen nue nues nu nus gemissait gemissaient seins desnuda desnudas desnudo desnudos gemia gemian pechos sexo sexe hard begged hotel strip stripped".split())
-#: Words that call a group less than human or want it gone.
-DEHUMANISING = set(
-    "subhuman subhumans vermin filthy disease plague inferior breed thieves parasites scum savages cockroaches animals deported exterminated "
-    "vermine voleurs inferieure inferieurs sousrace soushommes parasites nuisibles cafards "
-    "ungeziefer minderwertig minderwertige dreckige diebe untermenschen abschaum pack parasiten schmarotzer "
-    "plaga ladrones inferior inferiores escoria alimañas alimanas subhumanos parasitos cucarachas".split()
-)
-#: Words at which the phrases below are looked for.
-TRIGGERS = set("fuck fucked fucking legs choke dead dropped die drop kill live lives rock rid driven disappeared disappear burn vote belong trust send hell lost shut throat hang habites jambes gueule casser disparaissent brulez chasser toi ecouter crever tuer wohnst prugel fresse verpiss gejagt weg sauber halts stirb umbringen vives piernas romper matar echarlos acabar callate muere muerete cierra".split())
-LEXICON = INSULTS | MILD | EXPLICIT | SUGGESTIVE | DEHUMANISING
-LONG_WORDS = sorted((w for w in INSULTS | EXPLICIT | DEHUMANISING | {"panties", "clown", "idiot", "parasite", "moron"} if len(w) >= 4), key=lambda w: -len(w))
+SEVERE = 1.0
+#: Words of a window, and words before and after it that count as its surroundings.
+REACH, AROUND = 10, 7
+ROUNDS = 3
+STEPS = 40
+#: Severity from which a window of a toxic document may be why it was called so.
+EVIDENT = 1.0
+#: The category of a window is clear if its evidence is so many times that of the next one.
+CLEAR = 2.0
+#: How far labels are doubted: a row whose grade the model gives less than this pulls less than half.
+WRONG_TOXIC, WRONG_CLEAN = 0.02, 0.003
+#: Hashed features; the list features come after them.
+BITS = 18
+SIZE = 1 << BITS
+GRAM = 4
+LIST_PRIOR, THRESHOLDS = 2.0, (2.0, 4.5)
 
 #: Stands after a word that was put together from separated letters.
 REVEALED = "\ue000"
+#: Marks a word that was disguised.
+HIDDEN = "\ue001"
 LEET = str.maketrans("0134578@$€!|+", "oieastbaseilt")
 LEET_L = str.maketrans("0134578@$€!|+", "oleastbaselit")
 TOKEN = re.compile(r"[@$€]?[^\W_]+(?:[@$€*!|+]+[^\W_]+)*[@$€]?|\*[^\W_]{3,}|[^\W_]{2,}\*+[^\W_]*")
 SEPARATED = re.compile(r"(?<![^\W_])(?:[^\W\d_]([ .\-_*·~/]))(?:[^\W\d_]\1){2,}[^\W\d_](?![^\W_])")
 _RUN = re.compile(r"(.)\1+")
+LONG_WORDS = sorted((w for w in LEXICON | {"fuck", "fucking"} if len(w) >= 4), key=lambda w: (-len(w), w))
 
 
 def _squeeze(word: str) -> str:
     return _RUN.sub(r"\1", word)
 
 
-_SQUEEZED = {_squeeze(w): w for w in sorted(LEXICON, key=len) if len(w) >= 4}
+_SQUEEZED = {_squeeze(w): w for w in sorted(LONG_WORDS, key=lambda w: (len(w), w))}
 _BY_LENGTH: dict[int, list[str]] = {}
-for _w in INSULTS | EXPLICIT | DEHUMANISING | {"clown", "idiot", "parasite", "panties"}:
+for _w in LONG_WORDS:
     _BY_LENGTH.setdefault(len(_w), []).append(_w)
 
 
-def _reveal(word: str) -> tuple[str, bool]:
-    """(the word without disguise, whether it was disguised)."""
+def _reveal(word: str) -> str:
+    """The word of the lists that *word* disguises, marked; else the word, with digits among letters read as letters."""
+    if word in LEXICON or word.isdigit():
+        return word
     if word.isalpha():
-        if word in LEXICON or word in TRIGGERS:
-            return word, False
-        if _RUN.search(word):
-            known = _SQUEEZED.get(_squeeze(word))
-            if known and len(word) > len(known):
-                return known, True
+        if _RUN.search(word) and (known := _SQUEEZED.get(_squeeze(word))) and len(word) > len(known):
+            return known + HIDDEN
         if "v" in word and (w := word.replace("v", "u")) in LEXICON:
-            return w, True
-        return word, False
-    if word.isdigit():
-        return word, False
+            return w + HIDDEN
+        return word
     for table in (LEET, LEET_L):
         w = word.translate(table)
         for x in (w, w.replace("v", "u")):
             if x in LEXICON:
-                return x, True
-            known = _SQUEEZED.get(_squeeze(x))
-            if known:
-                return known, True
+                return x + HIDDEN
+            if known := _SQUEEZED.get(_squeeze(x)):
+                return known + HIDDEN
             if "*" in x:
-                for size in {len(x), len(x) - 1} if x.count("*") > 1 else {len(x)}:
-                    shape = re.compile(re.escape(x).replace(r"\*", "."))
+                shape = re.compile(re.escape(x).replace(r"\*", "."))
+                for size in (len(x), len(x) - 1) if x.count("*") > 1 else (len(x),):
                     for candidate in _BY_LENGTH.get(size, ()):
                         if shape.fullmatch(candidate):
-                            return candidate, True
-    return word, False
-
-
-class _Units(dict):
-    """Text without spaces -> (its words, whether one matters, whether one was disguised)."""
-
-    def __missing__(self, unit: str):
-        text = unit
-        if not text.isascii():
-            text = unicodedata.normalize("NFKD", INVISIBLE.sub("", text)).translate(LOOK_ALIKES)
-            text = "".join(c for c in text if not unicodedata.combining(c)).replace("ß", "ss")
-        pairs = [_reveal(w) for w in TOKEN.findall(text.lower())]
-        words = tuple(w for w, _ in pairs)
-        value = (words, any(w in LEXICON or w in TRIGGERS for w in words), any(d for _, d in pairs))
-        if len(unit) <= 40 and len(self) < 400_000:
-            self[unit] = value
-        return value
+                            return candidate + HIDDEN
+    w = word.translate(LEET)
+    return w if w.isalpha() and sum(map(str.isalpha, word)) * 2 > len(word) else word
 
 
 def _join_separated(match: re.Match) -> str:
@@ -138,178 +118,350 @@ def _join_separated(match: re.Match) -> str:
     return match.group()
 
 
-_P = re.compile
-YOU = r"(?:you|your|yourself|u|du|dich|dir|dein\w*|euch|tu|te|toi|ton|ta|tes|t|vous|ti|tus|eres|usted)"
-#: feature -> pattern over a window's words, by category.
-PHRASES = {
-    "abuse": {
-        "threat": _P(
-            r"\b(?:break your (?:legs|neck|arms|face|bones)|hope you (?:choke|die|rot|burn|suffer)|(?:if|when) you dropped dead|dropped dead|just die|go die|kill (?:you|yourself)|come over there|find you and|know where you live|beat you up|"
-            r"casser (?:les|la|tes|ta) \w+|ou tu habites|te (?:tuer|crever|frapper|buter)|(?:va )?creve[rz]?|wo du wohnst|gibt es prugel|(?:bring\w*|mach\w*|schlag\w*) dich (?:um|fertig|kaputt|tot)|dich um(?:bringen|zubringen)|stirb|"
-            r"romper (?:las|la|los) \w+|donde vives|(?:te voy a|voy a) (?:matar\w*|romper\w*|pegar\w*)|muerete|ojala te)\b"
-        ),
-        "dismiss": _P(
-            r"\b(?:fuck off|shut (?:up|your)|get lost|go to hell|crawl back|nobody (?:wants to hear|would miss|likes) you|people like you|make me sick|piss off|ferme (?:la|ta)|ta gueule|casse toi|va te faire|personne ne (?:veut|t)|degage|"
-            r"verpiss dich|halt\w* (?:endlich )?(?:die|deine|dein|das) (?:fresse|klappe|maul|schnauze)|niemand will dich|hau ab|leck mich|callate|cierra la boca|vete (?:a la mierda|al infierno)|nadie te|que te (?:jodan|den))\b"
-        ),
-        "aimed": _P(
-            rf"\b(?:{YOU}(?: (?:are|re|r|bist|es|eres|seid|etes|sind))?(?: (?:such|so|a|an|the|complete|total|real|fucking|bloody|stupid|dumb|miserable|worthless|pathetic|little|ein|eine|einen|kein|un|une|sale|gros|grosse|pauvre|petit|pedazo|de|puto|puta|maldito|asqueroso|erbarmlich\w*|dumm\w*|elend\w*|verdammt\w*|mies\w*|klein\w*)){{0,4}} <insult>"
-            r"|espece de(?: \w+)? <insult>|quel(?:le)? <insult>|pedazo de <insult>|(?:a|an|un|une|ein|eine|einen) <insult> (?:like|comme|wie|como) (?:you|toi|du|tu|dich|vous)|<insult> (?:get lost|shut up|nobody)|(?:listen|hell|off|dich|toi) <insult>"
-            r"|(?:is|are|s|est|ist|es) (?:a|an|such a|un|une|ein|eine) (?:fucking |total |complete |real |bloody )<insult>|(?:toi|dich|fuck off|shut up)(?: \w+){0,2} <insult>|what kind of <insult>)"
-        ),
-        "self": _P(r"\b(?:i (?:was|am|felt|feel|m|called myself)|myself|laughed at|j etais|moi meme|ich war|mich selbst|yo era|fui|me rei)\b"),
-        "technical": _P(r"\b(?:word|term|law|greek|latin|tool|file|locksmith|animal|puppies|animals|process|terminal|dog|dogs|kennel|species|farm|clever|barn|stable|tier|kluges|listo|intelligent|mot|wort|palabra|begriff|ferkel|welpen|chiots|cachorros|circus|cirque|zirkus|circo|donkey|novel|dictionary|worterbuch)\b"),
-    },
-    "hate": {
-        "expel": _P(
-            r"\b(?:driven out|send (?:them|em)(?: all)? back|get rid of (?:the|these|those|all|them)|kick (?:them|em) out|burn down the|should (?:not |never |ever )*be allowed|better off if every|wiped out|don t (?:deserve|belong)|do not deserve|"
-            r"chasser (?:du|de)|il faut les|brulez (?:les|leurs)|qu ils (?:disparaissent|crevent|partent)|dehors les|aus dem land|weg mit (?:dem|den|diesem|diesen|ihnen) (?:pack|gesindel|abschaum|viechern|leuten)|raus mit (?:dem|den|diesem|diesen|ihnen)|gehoren (?:aus|weg|vergast|eingesperrt)|ohne die \w+ (?:ware|waren|ist|wird)|echarlos|hay que echar|acabar con (?:los|las|ellos)|fuera los|quemad|quemar las casas)\b"
-        ),
-        "group_is": _P(
-            r"\b(?:are|is|sont|sind|son|ist|all|alle|todos|todas|tous|toutes|they)\b(?: \w+){0,4} (?:subhumans?|vermin|filthy|disease|plague|inferior\w*|thieves|parasites|scum|savages|cockroaches|animals|vermine|voleurs|inferieur\w*|nuisibles|cafards|ungeziefer|minderwertig\w*|dreckige\w*|diebe|untermenschen|abschaum|parasiten|schmarotzer|plaga|ladrones|escoria|alimanas|subhumanos|parasitos|cucarachas)\b"
-        ),
-        "race": _P(r"\b(?:inferior breed|inferior race|race inferieure|raza inferior|minderwertige rasse|a disease on|never trust the|trust the \w+ they)\b"),
-        "against": _P(r"\b(?:wrong (?:and|to|that)|cruel to say|it is a lie|is a lie|against hate|nobody should say|hateful to|condemn\w*|prejudice|faux de dire|cruel de dire|mal de dire|falsch|grausam|gemein zu sagen|es (?:falso|cruel|injusto)|esta mal decir|injuste)\b"),
-        "natural": _P(r"\b(?:rats?|mice|insects?|crops?|garden|medical|doctor|patients?|clinic|virus|heart|liver|lung|quality|product|court|police|arrested|bank|stole|museum|zoo|farm)\b"),
-    },
-    "sexual": {
-        "act": _P(
-            r"\b(?:rough sex|had sex (?:against|with|in)|to fuck (?:her|him|me)|fuck (?:her|him|me) (?:hard|now)?|fucked (?:her|him)|went down on|bare (?:tits|breasts|ass)|moaned (?:for|as|while)|while (?:she|he) moaned|tore off her|hard and horny|hot naked|naked (?:women|girls|men|teens)|nude (?:pics|pictures|photos)|sex ?cam|live sex|"
-            r"pendant qu ils baisaient|elle gemissait|femmes nues|filles nues|photos? de nus?|contre le mur|stohnte (?:beim|wahrend)|hoschen runter|nackte (?:frauen|madchen|manner)|heisse (?:nackte|frauen|madchen)|ella gemia|mientras follaban|mujeres desnudas|chicas desnudas|fotos de desnud\w+|calientes te)\b"
-        ),
-        "offer": _P(r"\b(?:click here|adults only|for adults|free clips|no registration|watch (?:hot|naked|live)|uncensored|all free|nur fur erwachsene|warten live|gratis|reserve aux adultes|en direct|gratuits?|solo para adultos|te esperan|t attendent)\b"),
-        "technical": _P(
-            r"\b(?:cancer|screening|clinic|education|teacher|health|consent|plants?|gene|botanist|museum|painter|painting|sculpt\w+|naked eye|comet|telescope|crowed|barn|rooster|hen|biolog\w+|medical|doctor|nurse said|species|chicken|gallery|exhibition|"
-            r"depistage|cliniqu?e|musee|peintre|oeil nu|sein|brustkrebs|klinik|museum|maler|aktbild|bloss\w+ auge|museo|pintor|epoca|simple vista|mama|cancer de|animal|biologie|unterricht|schule|ecole|escuela|salud)\b"
-        ),
-    },
-}
-PRIOR = {
-    "abuse:insult": 2.2, "abuse:mild": 0.3, "abuse:aimed": 3.6, "abuse:threat": 4.6, "abuse:dismiss": 2.2, "abuse:you": 0.8, "abuse:self": -3.5, "abuse:technical": -3.0, "abuse:disguised": 1.6,
-    "hate:dehumanising": 0.8, "hate:group_is": 3.2, "hate:expel": 3.4, "hate:race": 2.8, "hate:against": -5.5, "hate:natural": -1.2, "hate:disguised": 1.5, "hate:strong": 1.5,
-    "sexual:explicit": 2.6, "sexual:suggestive": 0.7, "sexual:act": 3.2, "sexual:offer": 1.6, "sexual:technical": -3.6, "sexual:disguised": 1.4, "sexual:several": 1.0,
-}
-THRESHOLDS = [1.0, 3.6]
-
-
-def windows(text: str, units: dict) -> Iterator[tuple[list[str], set[str], str]]:
-    """(words, those that were disguised, the words close by as text) around each word that may matter."""
+class _Units(dict):
+    """Text without spaces -> its words, freed from disguise."""
+
+    def __missing__(self, unit: str) -> tuple[str, ...]:
+        text = unit
+        if not text.isascii():
+            text = unicodedata.normalize("NFKD", INVISIBLE.sub("", text)).translate(LOOK_ALIKES)
+            text = "".join(c for c in text if not unicodedata.combining(c)).replace("ß", "ss")
+        words = tuple(map(_reveal, TOKEN.findall(text.lower())))
+        if words and REVEALED in unit and not words[-1].endswith(HIDDEN):
+            words = (*words[:-1], words[-1] + HIDDEN)
+        if len(unit) <= 40 and len(self) < 400_000:
+            self[unit] = words
+        return words
+
+
+def words_of(text: str, units: dict) -> list[str]:
+    """All words of *text*, freed from disguise; those that were disguised end in HIDDEN."""
     if SEPARATED.search(text):
         text = SEPARATED.sub(_join_separated, text)
     if not text.isascii():
         text = INVISIBLE.sub("", text)
-    words: list[str] = []
-    places: list[int] = []
-    hidden: list[tuple[int, str]] = []
-    for unit in text.split():
-        found, matters, disguised = units[unit]
-        if matters:
-            at = [(len(words) + k, w) for k, w in enumerate(found) if w in LEXICON or w in TRIGGERS]
-            places += [k for k, _ in at]
-            if disguised or unit[-1] == REVEALED:
-                hidden += at
-        words += found
-    k = 0
-    while k < len(places):
-        last = k
-        while last + 1 < len(places) and places[last + 1] - places[last] <= 4 and places[last + 1] - places[k] <= 30:
-            last += 1
-        a, b = max(0, places[k] - REACH), places[last] + REACH + 1
-        close = words[max(0, places[k] - CLOSE) : places[last] + CLOSE + 1]
-        yield words[a:b], {w for h, w in hidden if places[k] <= h <= places[last]}, " ".join(close)
-        k = last + 1
-
-
-def features(words: list[str], disguised: set[str], close: str) -> dict[str, dict[str, float]]:
-    """Category -> sparse features of a window, for categories with any sign of their own."""
-    text, out = " ".join(words), {}
-    insults = [w for w in words if w in INSULTS]
-    # "en retard" is French for late
-    mild = [w for before, w in zip(["", *words], words) if w in MILD and not (w == "retard" and before in ("en", "de", "du", "le", "un", "ce"))]
-    explicit, suggestive = [w for w in words if w in EXPLICIT], [w for w in words if w in SUGGESTIVE]
-    low = [w for w in words if w in DEHUMANISING]
-    for category, phrases in PHRASES.items():
-        body = text
-        if category == "abuse" and (insults or mild):
-            body = " ".join("<insult>" if w in INSULTS or w in mild else w for w in words)
-            body = body.replace("piece of <insult>", "<insult>").replace("<insult> <insult>", "<insult>").replace("hijo de <insult>", "<insult>")
-        found = {name for name, p in phrases.items() if p.search(body if name == "aimed" else close if name in ("technical", "natural", "self") else text)}
-        if category == "sexual" and found & {"act", "offer"}:
-            found.discard("technical")  # an open phrase has one sense only, whatever stands near
-        x: dict[str, float] = {f"{category}:{name}": 1.0 for name in found}
-        if category == "abuse":
-            signs = bool(insults or mild or found & {"threat", "dismiss"})
-            x |= {"abuse:insult": float(bool(insults)), "abuse:mild": float(bool(mild))}
-            if signs and re.search(rf"\b{YOU}\b", text):
-                x["abuse:you"] = 1.0
-            hidden = not disguised.isdisjoint(INSULTS | MILD)
-        elif category == "hate":
-            signs = bool(low or found & {"expel", "race"})
-            x |= {"hate:dehumanising": float(bool(low)), "hate:strong": float(any(w in ("subhuman", "subhumans", "vermin", "vermine", "ungeziefer", "untermenschen") for w in low))}
-            hidden = not disguised.isdisjoint(DEHUMANISING)
-        else:
-            signs = bool(explicit or suggestive or found & {"act"})
-            x |= {"sexual:explicit": float(bool(explicit)), "sexual:suggestive": float(bool(suggestive)), "sexual:several": float(len(set(explicit)) > 1)}
-            hidden = not disguised.isdisjoint(EXPLICIT | SUGGESTIVE)
-        if signs:
-            x[f"{category}:disguised"] = float(hidden)
-            out[category] = {k: v for k, v in x.items() if v}
+    return list(chain.from_iterable(map(units.__getitem__, text.split())))
+
+
+def _bucket(key: str) -> int:
+    return xxhash.xxh3_64_intdigest(key) >> (64 - BITS)
+
+
+@lru_cache(maxsize=200_000)
+def _word_features(word: str) -> tuple[tuple[int, ...], tuple[float, ...]]:
+    """Features of one word by itself: the word, its runs of letters, list membership, disguise."""
+    plain = word.removesuffix(HIDDEN)
+    index, value = [_bucket(f"w {plain}")], [1.0]
+    marked = f"<{plain}>"
+    grams = [marked[k : k + GRAM] for k in range(len(marked) - GRAM + 1)] if len(plain) >= 4 else []
+    index += [_bucket(f"c {g}") for g in grams]
+    value += [max(1, len(grams)) ** -0.5] * len(grams)
+    for k, c in enumerate(CATEGORIES):
+        strong, weak = LISTS[c]
+        if plain in strong or plain in weak:
+            index.append(SIZE + k)
+            value.append(1.0 if plain in strong else 0.4)
+            if plain != word:
+                index.append(SIZE + len(CATEGORIES) + k)
+                value.append(1.0)
+    return tuple(index), tuple(value)
+
+
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
+
+
+def _runs(h: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(places before the last word, feature) of word pairs, pairs with a gap and triples; h: hashes of the words."""
+    out, shift = [], np.uint64(64 - BITS)
+    with np.errstate(over="ignore"):
+        if len(h) > 1:
+            out.append((1, ((h[:-1] * _MIX[0] + h[1:]) * _MIX[1]) >> shift))
+        if len(h) > 2:
+            out.append((2, ((h[:-2] * _MIX[1] + h[2:]) * _MIX[2]) >> shift))
+            out.append((2, (((h[:-2] * _MIX[2] + h[1:-1]) * _MIX[0] + h[2:]) * _MIX[1]) >> shift))
     return out
 
 
-def severities(text: str | None, model: OrdinalModel, units: dict) -> dict[str, float]:
-    """Expected severity of the worst window per category."""
-    worst = dict.fromkeys(CATEGORIES, 0.0)
-    for window in windows(text or "", units):
-        for category, x in features(*window).items():
-            worst[category] = max(worst[category], model.severity(x))
-    return worst
+def _hash(word: str) -> int:
+    return xxhash.xxh3_64_intdigest(word.removesuffix(HIDDEN))
+
+
+def features(words: list[str], a: int, b: int) -> tuple[list[int], list[float]]:
+    """Features of the window words[a:b] with its surroundings."""
+    index: list[int] = []
+    value: list[float] = []
+    for w in words[a:b]:
+        i, v = _word_features(w)
+        index += i
+        value += v
+    h = np.array([_hash(w) for w in words[a:b]], dtype=np.uint64)
+    for _, found in _runs(h):
+        index += found.astype(np.int64).tolist()
+        value += [1.0] * len(found)
+    near = words[max(0, a - AROUND) : b + AROUND]
+    index += [_bucket(f"n {w.removesuffix(HIDDEN)}") for w in near]
+    value += [1.0] * len(near)
+    return index, value
+
+
+#: Words of a text that are scored at once; longer texts go in pieces that overlap by a window and its surroundings.
+PIECE = 50_000
+
+
+class Scorer:
+    """Etas of all windows of texts by one table of weights; words are looked up once per worker."""
+
+    def __init__(self, model: OrdinalModel):
+        self.model, self.units = model, _Units()
+        self.table = model.weights[:SIZE]
+        self.at: dict[str, int] = {}
+        self.own = np.zeros((1024, 2 * len(CATEGORIES)))
+        self.hashes = np.zeros(1024, dtype=np.uint64)
+
+    def _number(self, word: str) -> int:
+        k = len(self.at)
+        if k == len(self.own):
+            self.own, self.hashes = np.concatenate([self.own, np.zeros_like(self.own)]), np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+        index, value = _word_features(word)
+        self.own[k, : len(CATEGORIES)] = np.array(value) @ self.model.weights[list(index)]
+        self.own[k, len(CATEGORIES) :] = self.table[_bucket(f"n {word.removesuffix(HIDDEN)}")]
+        self.hashes[k] = _hash(word)
+        self.at[word] = k
+        return k
+
+    def etas(self, words: list[str], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(etas of the window of up to REACH words from each word on, hashes of the words); texts end at *ends*."""
+        c, n = len(CATEGORIES), len(words)
+        if len(self.at) > 500_000:  # memory stays bounded; results do not change
+            self.at.clear()
+        get, number = self.at.get, self._number
+        found = np.array([k if (k := get(w)) is not None else number(w) for w in words])
+        sizes = np.diff(ends, prepend=0)
+        first, last = np.repeat(ends - sizes, sizes), np.repeat(ends, sizes)
+        k = np.arange(n)
+        end = np.minimum(k + REACH, last)
+        sums = np.zeros((n + 1, 2 * c))
+        np.cumsum(self.own[found], axis=0, out=sums[1:])
+        out = sums[end, :c] - sums[:-1, :c]
+        hashes = self.hashes[found]
+        for back, run in _runs(hashes):
+            weight = self.table[run.astype(np.int64)]
+            weight[first[back:] != first[:-back]] = 0.0  # from one text into the next
+            total = np.zeros((n + 1, c))
+            np.cumsum(weight, axis=0, out=total[back + 1 :])
+            out += total[end] - total[np.minimum(k + back, end)]
+        out += sums[np.minimum(end + AROUND, last), c:] - sums[np.maximum(k - AROUND, first), c:]
+        return out, hashes
+
+    def pieces(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(text numbers, words, ends, etas, hashes, counted) of the texts in pieces of bounded size; only counted windows belong to the piece."""
+        margin = REACH + AROUND
+        numbers: list[int] = []
+        words: list[str] = []
+        ends: list[int] = []
+        cores: list[tuple[int, int]] = []
+
+        def done():
+            counted = np.zeros(len(words), dtype=bool)
+            for a, b in cores:
+                counted[a:b] = True
+            etas, hashes = self.etas(words, np.array(ends))
+            return np.array(numbers), words, np.array(ends), etas, hashes, counted
+
+        for number, text in enumerate(texts):
+            found = words_of(text, self.units) if text else []
+            for start in range(0, len(found), PIECE):
+                lead = min(start, AROUND)
+                part = found if len(found) <= PIECE else found[start - lead : start + PIECE + margin]
+                numbers.append(number)
+                cores.append((len(words) + lead, len(words) + lead + min(PIECE, len(found) - start)))
+                words += part
+                ends.append(len(words))
+                if len(words) >= PIECE:
+                    yield done()
+                    numbers, words, ends, cores = [], [], [], []
+        if words:
+            yield done()
+
+    def severities(self, texts: list[str | None]) -> np.ndarray:
+        """(texts, categories): expected severity of each text's worst window."""
+        worst = np.full((len(texts), len(CATEGORIES)), -np.inf)
+        for numbers, _, ends, etas, _, counted in self.pieces(texts):
+            etas[~counted] = -np.inf
+            np.maximum.at(worst, numbers, np.maximum.reduceat(etas, np.concatenate([[0], ends[:-1]]), axis=0))
+        out = self.model.severity(worst)
+        out[np.isneginf(worst)] = 0.0
+        return out
+
+
+def _rows(examples: list[tuple[list[str], int, int, np.ndarray, np.ndarray, float]]) -> Rows:
+    """Design of (words, window start, end, low, high, doubted) examples."""
+    index, value, start = [], [], []
+    for words, a, b, *_ in examples:
+        i, v = features(words, a, b)
+        start.append(len(index))
+        index += i
+        value += v
+    low, high, doubted = (np.array([e[k] for e in examples]) for k in (3, 4, 5))
+    return Rows(np.array(index, dtype=np.int64), np.array(value), np.array(start, dtype=np.int64), low, high, doubted)
+
+
+def prior() -> OrdinalModel:
+    """Hashed features weigh nothing; being in a category's list weighs LIST_PRIOR for that category."""
+    n = len(CATEGORIES)
+    weights = np.zeros((SIZE + 2 * n, n))
+    weights[SIZE : SIZE + n] = LIST_PRIOR * np.eye(n)
+    weights[SIZE + n :] = LIST_PRIOR * np.eye(n)
+    return OrdinalModel(weights, np.tile(np.array(THRESHOLDS), (n, 1)))
+
+
+def _made(without: frozenset[str] = frozenset()) -> list:
+    """Examples of the made sentences."""
+    units, out, n = _Units(), [], len(CATEGORIES)
+    for category, grade, sentence in dict.fromkeys(toxic_seeds.sentences(without)):
+        words = words_of(sentence, units)
+        low, high = np.zeros(n, dtype=int), np.full(n, 1 if grade else 0)
+        if category:
+            low[CATEGORIES.index(category)] = high[CATEGORIES.index(category)] = 2
+        out += [(words, 0, len(words), low, high, 0.0)] if words else []
+    return out
 
 
-def train(documents: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> OrdinalModel:
-    """Fit to labelled documents: grade 2 for the worst sign of a toxic one, 1 for signs in a clean one."""
-    votes = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.avg("toxic").alias("share")).where("share <> 0.5")
-    picked = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)  # bounded, so it is broadcast
-    texts = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id")
-    schema = "doc_id bigint, share double, window bigint, category string, features map<string,double>"
+@lru_cache(maxsize=4)
+def seed_model(without: frozenset[str] = frozenset()) -> OrdinalModel:
+    """The regression after the made sentences alone."""
+    return fit(_rows(_made(without)), prior(), steps=2 * STEPS)
+
+
+#: A run of words is a sign where its odds in toxic documents are beyond chance: likelihood ratio and least log odds.
+BEYOND_CHANCE, LOG_ODDS = 13.0, 2.0
 
-    prior = OrdinalModel(PRIOR, THRESHOLDS)
+
+def _signs(labelled: DataFrame) -> np.ndarray:
+    """Hashed word runs that toxic documents hold far oftener than clean ones (a bounded set: SIZE buckets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = _Units()
         for batch in batches:
-            rows = []
-            for doc, text, share in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "share"))):
-                signs = [(-prior.severity(x), k, c, list(x.items())) for k, window in enumerate(windows(text, units)) for c, x in features(*window).items()]
-                # the worst three are all that the fit uses of a document
-                rows += [(doc, share, k, c, x) for _, k, c, x in sorted(signs, key=lambda s: s[:3])[:3]]
-            cols = list(zip(*rows)) if rows else [()] * 5
-            kinds = [pa.int64(), pa.float64(), pa.int64(), pa.string(), pa.map_(pa.string(), pa.float64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, kinds)], names=["doc_id", "share", "window", "category", "features"])
-
-    signs: dict[int, list[tuple[float, dict[str, float]]]] = {}
-    toxic: dict[int, bool] = {}
-    # windows with signs of at most max_labels documents; in a fixed order, so that fits repeat exactly
-    for r in sorted(texts.mapInArrow(run, schema).collect(), key=lambda r: (r.doc_id, r.window, r.category)):
-        x = dict(r.features)
-        signs.setdefault(r.doc_id, []).append((prior.severity(x), x))
-        toxic[r.doc_id] = r.share > 0.5
-    rows = []
-    for doc, found in signs.items():
-        found.sort(key=lambda f: -f[0])
-        rows += [(found[0][1], 2)] if toxic[doc] else [(x, 1) for _, x in found[:3]]
-    return fit(rows, PRIOR, THRESHOLDS)
+            buckets, toxic = [], []
+            for text, share in zip(batch.column("text").to_pylist(), batch.column("share").to_pylist()):
+                h = np.array([_hash(w) for w in words_of(text, units)], dtype=np.uint64)
+                found = np.unique(np.concatenate([f for _, f in _runs(h)] or [np.zeros(0, dtype=np.uint64)]))
+                buckets.append(found.astype(np.int64))
+                toxic.append(np.full(len(found), int(share > 0.5)))
+            both = [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (buckets, toxic)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, type=pa.int64()) for x in both], names=["run", "toxic"])
+
+    totals = labelled.agg(F.sum((F.col("share") > 0.5).cast("long")).alias("t"), F.count("*").alias("n")).first()
+    if not totals.t or totals.t == totals.n:
+        return np.zeros(0, dtype=np.int64)
+    rate = totals.t / totals.n
+    counted = labelled.mapInArrow(run, "run bigint, toxic bigint").groupBy("run").agg(F.sum("toxic").cast("double").alias("t"), F.count("*").cast("double").alias("n")).where("t >= 3")
+    share = F.col("t") / F.col("n")
+    ratio = F.col("t") * F.log(share / rate) + F.when(share < 1, (F.col("n") - F.col("t")) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    odds = F.log((F.col("t") + 0.5) / (F.col("n") - F.col("t") + 0.5)) - float(np.log(rate / (1 - rate)))
+    return np.array(sorted(r.run for r in counted.where((ratio > BEYOND_CHANCE) & (odds > LOG_ODDS)).select("run").collect()), dtype=np.int64)
+
+
+def _worst_windows(labelled: DataFrame, model: OrdinalModel, signs: np.ndarray, with_toxic: bool) -> list:
+    """Examples of labelled documents: all windows of a toxic one with signs of being so, a clean one's worst of each category."""
+    schema = "doc_id bigint, category int, toxic boolean, words array<string>, a int, b int"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            docs, shares = batch.column("doc_id").to_pylist(), batch.column("share").to_pylist()
+            best: dict[tuple[int, int], tuple] = {}
+            for numbers, words, ends, etas, hashes, counted in scorer.pieces(batch.column("text").to_pylist()):
+                hit = np.zeros(len(words) + 1)
+                for back, found in _runs(hashes) if len(signs) else ():
+                    hit[back + 1 :] += np.isin(found.astype(np.int64), signs)
+                total, begin = hit.cumsum(), 0
+                for number, end in zip(numbers.tolist(), ends.tolist()):
+                    k = begin + np.flatnonzero(counted[begin:end])
+                    signed = total[np.minimum(k + REACH, end)] - total[k]
+                    if shares[number] > 0.5:
+                        found, rank = [], etas[k].max(1) + 2 * np.minimum(3.0, signed)
+                        # severe by the model, or marked by runs of words: else there is no sign that the label is right
+                        rank[(scorer.model.severity(etas[k]).max(1) < EVIDENT) & (signed < 2)] = -np.inf
+                        while with_toxic and (at := int(rank.argmax())) >= 0 and rank[at] > -np.inf:
+                            found.append((("severe", int(k[at])), k[at], int(etas[k[at]].argmax()), rank[at]))
+                            rank[max(0, at - REACH - AROUND) : at + REACH + AROUND] = -np.inf
+                    else:
+                        # runs of words of toxic documents contradict the label of a clean one
+                        found = [(c, k[at], c, etas[k[at], c]) for c, at in enumerate(np.where(signed[:, None] >= 2, -np.inf, etas[k]).argmax(0)) if signed[at] < 2]
+                    for slot, place, c, rank in found:
+                        if (old := best.get((number, slot))) is None or rank > old[0]:
+                            a, b = max(begin, place - AROUND), min(end, place + REACH)
+                            best[number, slot] = (rank, c, words[a : min(end, b + AROUND)], int(place - a), int(b - a))
+                    begin = end
+            rows = [(docs[n], c, shares[n] > 0.5, near, a, b) for (n, _), (_, c, near, a, b) in best.items()]
+            cols = list(zip(*rows)) if rows else [()] * 6
+            kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.string()), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, kinds)], names=["doc_id", "category", "toxic", "words", "a", "b"])
+
+    # short windows of at most MAX_LABELS documents; in a fixed order, so that fits repeat exactly
+    rows = sorted(labelled.mapInArrow(run, schema).collect(), key=lambda r: (r.doc_id, r.category, r.a))
+    kinds, out, n = _kinds([list(r.words) for r in rows if r.toxic], model, signs), [], len(CATEGORIES)
+    for r in rows:
+        low, high = np.zeros(n, dtype=int), np.full(n, 1)
+        if r.toxic:
+            k = next(kinds)
+            if k < 0:
+                continue
+            low[k] = high[k] = 2
+        out.append((list(r.words), r.a, r.b, low, high, WRONG_TOXIC if r.toxic else WRONG_CLEAN))
+    return out
+
+
+def _kinds(windows: list[list[str]], model: OrdinalModel, signs: np.ndarray) -> Iterator[int]:
+    """Category of each toxic window by its own severities and those of all windows that share its signs; -1 where that is not clear yet."""
+    if not windows:
+        return
+    scorer, known = Scorer(model), set(signs.tolist())
+    words, ends = list(chain.from_iterable(windows)), np.cumsum([len(w) for w in windows])
+    etas, _ = scorer.etas(words, ends)
+    own = model.severity(np.maximum.reduceat(etas, np.concatenate([[0], ends[:-1]]), axis=0))
+    runs = [known.intersection(*[np.concatenate([f for _, f in _runs(np.array([_hash(x) for x in w], dtype=np.uint64))] or [np.zeros(0)]).astype(np.int64).tolist()]) for w in windows]
+    votes: dict[int, np.ndarray] = {}
+    for found, severity in zip(runs, own):
+        for k in found:
+            votes[k] = votes.get(k, 0.0) + np.append(severity**2, 1.0)
+    for found, severity in zip(runs, own):
+        shared = sum((votes[k][:-1] / votes[k][-1] for k in sorted(found)), np.zeros(len(CATEGORIES)))
+        total = severity**2 + 2 * shared / max(1, len(found))
+        first, second = np.sort(total)[[-1, -2]]
+        yield int(total.argmax()) if first >= CLEAR * max(second, 0.1) else -1
+
+
+def train(documents: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> OrdinalModel:
+    """The regression fitted to made sentences and to labelled documents, each by its worst windows."""
+    votes = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.avg("toxic").alias("share")).where("share <> 0.5")
+    picked = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)  # bounded, so it is broadcast
+    labelled = cut(documents.select("doc_id", "text").where("text is not null").join(F.broadcast(picked), "doc_id"))
+    model = seed_model()
+    signs = _signs(labelled)
+    made, gathered = _made(), {}
+    for k in range(ROUNDS):
+        # first clean documents alone, so that what ordinary texts say is no sign of a toxic one
+        for e in _worst_windows(labelled, model, signs, with_toxic=k > 0):
+            gathered[(tuple(e[0]), e[1], tuple(e[3]), tuple(e[4]))] = e
+        if not gathered:
+            break
+        model = fit(_rows(made + list(gathered.values())), prior(), steps=STEPS, begin=model)
+    return model
 
 
 def score(documents: DataFrame, model: OrdinalModel) -> DataFrame:
     """(doc_id, source, abuse, hate, sexual): expected severities of every document."""
     data = spread(documents.select("doc_id", "source", "text"))
     schema = T.StructType([data.schema["doc_id"], data.schema["source"], *[T.StructField(c, T.DoubleType(), False) for c in CATEGORIES]])
+    light = OrdinalModel(model.weights.astype(np.float32), model.thresholds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = _Units()
+        scorer = Scorer(light)
         for batch in batches:
-            found = [severities(t, model, units) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([f[c] for f in found], type=pa.float64()) for c in CATEGORIES)], names=schema.names)
+            found = scorer.severities(batch.column(2).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c) for c in found.T)], names=schema.names)
 
     return data.mapInArrow(run, schema)
