@@ -54,8 +54,7 @@ def p7_budget(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _entry_components(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "entries").select("entry_id", splits.video_key(F.col("metadata")).alias("video"))
-    e = e.withColumn("entities", F.when(F.col("video").isNotNull(), F.array(F.concat(F.lit("video:"), "video"))))
+    e = table(spark, sf, "entries").select("entry_id", splits.entities(F.col("metadata")).alias("entities"))
     return splits.group_components(e, "entry_id", "entities")
 
 

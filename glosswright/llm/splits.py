@@ -95,10 +95,27 @@ def broken_groups(records: DataFrame, record: str, component: DataFrame, previou
 VIDEO_ID = r"(?:^|[=/:])([A-Za-z0-9_-]{11})(?:$|[?&#/])"
 
 
-def video_key(metadata: Column) -> Column:
-    """The video meant by metadata.video_id in any of its forms; else by the path of its excerpt; else null."""
+def _told(metadata: Column) -> Column:
+    """The video that metadata.video_id names in any of its forms, else null."""
     plain = F.regexp_replace(metadata["video_id"], r"^[\s\"']+|[\s\"']+$", "")
     by_parameter = F.regexp_extract(plain, r"[?&]v=([A-Za-z0-9_-]{11})(?:$|[&#])", 1)
     by_id = F.regexp_extract(plain, VIDEO_ID, 1)
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in (by_parameter, by_id)])
+
+
+def video_key(metadata: Column) -> Column:
+    """The video meant by metadata.video_id in any of its forms; else by the path of its excerpt; else null."""
     by_path = F.regexp_extract(metadata["source_excerpt_path"], r"(?:^|/)chunks/([A-Za-z0-9_-]{11})/", 1)
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in (by_parameter, by_id, by_path)])
+    return F.coalesce(_told(metadata), F.nullif(by_path, F.lit("")))
+
+
+def entities(metadata: Column) -> Column:
+    """All keys of an entry whose video can be told: the video, the form in which it is written, the folder of its excerpt; else an empty array.
+
+    A form counts only where it tells the video itself, a folder only where it is of the video meant. The video's key sorts first, so it names the component.
+    """
+    video = video_key(metadata)
+    written = F.when(_told(metadata).isNotNull(), metadata["video_id"])
+    folder = F.regexp_extract(metadata["source_excerpt_path"], r"^(.*(?:^|/)chunks/[A-Za-z0-9_-]{11}/)", 1)
+    keys = F.array(F.concat(F.lit("video:"), video), F.concat(F.lit("written:"), written), F.when(F.contains(folder, F.concat(F.lit("chunks/"), video, F.lit("/"))), F.concat(F.lit("within:"), folder)))
+    return F.when(video.isNotNull(), F.filter(keys, lambda k: k.isNotNull())).otherwise(F.array().cast("array<string>"))

@@ -55,3 +55,13 @@ def test_broken_groups(spark):
     e = spark.createDataFrame([(1, "train"), (2, "test"), (3, None), (4, "train"), (5, "train"), (5, "train")], "entry_id int, prev string")
     c = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a"), (4, "b"), (5, "b")], "entry_id int, component string")
     assert {r.entry_id for r in splits.broken_groups(e, "entry_id", c, "prev").collect()} == {1, 2, 3}
+
+
+def test_entries_of_one_video_meet_through_their_keys(spark):
+    a, b = "IXU0u96zStk", "ZWIQ6nPmjeP"
+    rows = [(1, a, None), (2, f"https://vid.example/watch?v={a}", f"x/chunks/{a}/1.txt"), (3, None, f"x/chunks/{a}/2.txt"), (4, "unknown", f"x/chunks/{b}/1.txt"), (5, f"yt:{b}", f"x/chunks/{a}/3.txt"), (6, "unknown", None), (7, "unknown", f"x/chunks/{a}/1.txt"), (8, None, None)]
+    df = spark.createDataFrame([(i, (v, p)) for i, v, p in rows], "entry_id int, metadata struct<video_id:string,source_excerpt_path:string>")
+    keyed = df.select("entry_id", splits.entities(F.col("metadata")).alias("entities"))
+    assert keyed.where(F.size("entities") > 1).count() == 6  # these give the edges of the stars
+    got = {r.entry_id: r.component for r in splits.group_components(keyed, "entry_id", "entities").collect()}
+    assert got == {1: f"video:{a}", 2: f"video:{a}", 3: f"video:{a}", 7: f"video:{a}", 4: f"video:{b}", 5: f"video:{b}", 6: "row:6", 8: "row:8"}
