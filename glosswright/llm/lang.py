@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,3 +64,76 @@ def canonical(column: Column) -> Column:
     head = F.regexp_extract(F.lower(F.trim(column)), r"^([^\s_-]+)", 1)
     pairs = [F.lit(x) for code, names in SPELLINGS.items() for name in names for x in (name, code)]
     return F.element_at(F.create_map(*pairs), head)
+
+
+class CharacterModel:
+    """Languages told by the runs of three letters in their words; texts unlike all of them are OTHER.
+
+    Fitted on texts whose language function words tell, with the function words themselves as
+    a base. Every language counts as equally long, so that one with few texts is not favoured.
+    """
+
+    OTHER = "other"
+    LENGTH, SMOOTH, KINDS = 20_000.0, 0.5, 20_000
+    #: Runs of letters under which nothing is said, margin to the next language, and spreads from the usual at which a text is OTHER.
+    LEAST, MARGIN, UNLIKE = 12, 0.2, 4.0
+
+    def __init__(self, texts: list[str]):
+        counts = {c: Counter(g for w in FUNCTION_WORDS[c] for g in self.grams(w)) for c in ORDER}
+        known: dict[str, list[list[str]]] = {c: [] for c in ORDER}
+        for text in texts:
+            words = WORD.findall(text.lower().replace("’", "'"))
+            if owner := guess_words(words):
+                known[owner].append(words)
+                for w in words:
+                    counts[owner].update(self.grams(w))
+        total = {c: sum(n.values()) for c, n in counts.items()}
+        bottom = self.LENGTH + self.SMOOTH * self.KINDS
+        self.unseen = np.full(len(ORDER), np.log(self.SMOOTH / bottom))
+        self.seen: dict[str, np.ndarray] = {}
+        for k, c in enumerate(ORDER):
+            for g, n in counts[c].items():
+                self.seen.setdefault(g, self.unseen.copy())[k] = np.log((n * self.LENGTH / total[c] + self.SMOOTH) / bottom)
+        self.cache: dict[str, np.ndarray] = {}
+        # what stretches of ten words of each language usually score
+        self.usual = np.full((len(ORDER), 2), np.nan)
+        for k, c in enumerate(ORDER):
+            means = [s[1 + k] / s[0] for words in known[c] for i in range(0, len(words), 10) if (s := self.sums(words[i : i + 10]))[0] >= self.LEAST]
+            if len(means) >= 5:
+                self.usual[k] = np.mean(means), max(0.35, np.std(means))
+        if np.isnan(self.usual).all():
+            self.usual[:] = -9.0, 0.5
+        self.usual = np.where(np.isnan(self.usual), np.nanmean(self.usual, axis=0), self.usual)
+
+    @staticmethod
+    def grams(word: str) -> list[str]:
+        marked = f"<{word}>"
+        return [marked[k : k + 3] for k in range(len(marked) - 2)]
+
+    def sums(self, words: list[str]) -> np.ndarray:
+        """Runs of letters in *words*, then the sum of their log probabilities in each language."""
+        total = np.zeros(1 + len(ORDER))
+        for w in words:
+            found = self.cache.get(w)
+            if found is None:
+                grams = self.grams(w)
+                found = np.concatenate([[len(grams)], sum((self.seen.get(g, self.unseen) for g in grams), np.zeros(len(ORDER)))])
+                if len(self.cache) < 300_000:
+                    self.cache[w] = found
+            total += found
+        return total
+
+    def unlike(self, sums: np.ndarray) -> np.ndarray:
+        """For each language, how many spreads below its usual score the words are."""
+        return (self.usual[:, 0] - sums[1:] / max(1.0, sums[0])) / self.usual[:, 1]
+
+    def guess(self, sums: np.ndarray) -> str | None:
+        """The language of words with these sums, OTHER, or None where too little tells."""
+        if sums[0] < self.LEAST:
+            return None
+        mean = sums[1:] / sums[0]
+        best, second = np.argsort(mean)[[-1, -2]]
+        # the longer a text, the less its mean strays
+        if self.unlike(sums)[best] > self.UNLIKE * max(0.5, min(1.0, (50 / sums[0]) ** 0.5)):
+            return self.OTHER
+        return ORDER[best] if mean[best] - mean[second] >= self.MARGIN else None
