@@ -48,6 +48,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small(df: DataFrame, rows: int = 100_000) -> bool:
+    """Whether *df* was counted to have at most *rows* rows."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def if_small(keys: DataFrame, rows: int = 100_000) -> DataFrame:
     """Marks a table of keys for broadcast after counting that it has at most *rows* of them; a larger one is left to a shuffle join."""
-    return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else keys
+    return F.broadcast(keys) if small(keys, rows) else keys
