@@ -21,7 +21,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from glosswright.runtime import cut, spread
+from glosswright.runtime import cut, if_small, small, spread
 
 BLOCK = 4_096
 HOST, GUEST = -1, -2
@@ -42,10 +42,10 @@ SOUNDS = ["music", "music playing", "applause", "laughter", "laughs", "coughs",
 
 TIME = r"[\[(<]?\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d+)?[\])>]?"
 _TIMES = re.compile(rf"(?<![\w:.]){TIME}(?![\w:])")
-_BRACKETS = re.compile(r"\[[^\[\]]{0,60}\]|\([^()]{0,60}\)|\{[^{}]{0,60}\}|<[^<>]{0,60}>|[♪♫][^♪♫]{0,60}[♪♫]|\*[^*\n]{1,40}\*|[♪♫]+")
-_PREFIX = re.compile(r"(?:>{2,3}\s*|(?:^|(?<=\s))[-–—]\s+|\*{1,2}|<v\s+|[\[(]\s*)$")
+_BRACKETS = re.compile(r"\[[^\[\]]*\]|\([^()]*\)|\{[^{}]*\}|<[^<>]*>|[♪♫][^♪♫]*[♪♫]|(?<![\w*])\*(?=[^\s*])[^*\n]*(?<=[^\s*])\*(?![\w*])|[♪♫]+")
 _AFTER = re.compile(r"\s?:\*{0,2}(?=\s|$)|\*{1,2}:(?=\s|$)|\s+[>–—-](?=\s|$)|\s*>(?=\s|$)")
-_LOOK_BACK = re.compile(r"([^\W\d_]+\.? ?,? ?)?([^\W\d_]+[.,]? )?([^\W\d_]+)$")
+_CLOSED = {mark: re.compile(rf"\s*:?\s*\{close}\s*:?") for mark, close in (("[", "]"), ("(", ")"))}
+_TAG_END = re.compile(r"\s*>")
 _DELIMITER = re.compile(r"(?<=[^\W\d_])(?:\s?:\*{0,2}(?=\s|$)|\s[>–—-](?=\s)|\]|\)|>)")
 _WORD = re.compile(r"[^\W_]")
 
@@ -66,6 +66,55 @@ def _one_slip(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] or a[i:] == b[i + 1 :] or a[i + 1 :] == b[i:] or (n == m and a[i + 2 :] == b[i + 2 :] and a[i : i + 2] == b[i : i + 2][::-1])
 
 
+def _word_start(low: str, end: int) -> int:
+    while end and low[end - 1].isalpha():
+        end -= 1
+    return end
+
+
+def _look_back(low: str, end: int) -> list[int]:
+    """Where a name of three, two or one words that ends at *end* would begin, the longest first."""
+    starts, at = [], _word_start(low, end)
+    if at == end:
+        return []
+    starts.append(at)
+    for _ in range(2):
+        k = at
+        # what may stand between the words of a name: "J. Doe", "Doe, Jane", "Doe , Jane"
+        for mark in (" ", ",", " ", "."):
+            if k and low[k - 1] == mark:
+                k -= 1
+        begin = _word_start(low, k)
+        if k == at or begin == k:
+            break
+        starts.append(begin)
+        at = begin
+    return starts[::-1]
+
+
+def _prefix(low: str, a: int) -> tuple[int, str]:
+    """(start, mark) of what opens a label before *a*: quote arrows, a dash, stars, a voice tag or a bracket."""
+    i = a
+    while i and low[i - 1].isspace():
+        i -= 1
+    padded = i < a
+    if i and low[i - 1] in "[(":
+        return i - 1, low[i - 1]
+    if low[max(0, i - 2) : i] == ">>":
+        return (i - 3 if low[max(0, i - 3) : i] == ">>>" else i - 2), ">>"
+    if padded and i and low[i - 1] in "-–—" and (i == 1 or low[i - 2].isspace()):
+        return i - 1, "-"
+    if padded and low[max(0, i - 2) : i] == "<v":
+        return i - 2, "<v"
+    if not padded and i and low[i - 1] == "*":
+        return (i - 2 if i > 1 and low[i - 2] == "*" else i - 1), "*"
+    return a, ""
+
+
+def _without_a_letter(word: str) -> set[str]:
+    return {word[:i] + word[i + 1 :] for i in range(len(word))}
+
+
 class Labels:
     """All name forms of all speakers in one automaton."""
 
@@ -96,10 +145,14 @@ class Labels:
                 self.automaton.add_word(word, ("filler" if word not in SOUNDS else "sound", len(word), word))
         self.automaton.make_automaton()
         self.known: dict[str, list[int] | None] = {}
-        self.by_shape: dict[int, list[list[str]]] = {}
+        #: (the other words, place, the word itself or without one letter) -> forms with that word
+        self.by_slip: dict[tuple[tuple[str, ...], int, str], list[str]] = {}
         for f in self.exact:
             parts = f.split(" ")
-            self.by_shape.setdefault(len(parts), []).append(parts)
+            for k, part in enumerate(parts):
+                if len(part) >= 4:
+                    for key in {part} | _without_a_letter(part):
+                        self.by_slip.setdefault(((*parts[:k], *parts[k + 1 :]), k, key), []).append(f)
 
     def near(self, text: str) -> list[int] | None:
         """Speakers with a name form of which one word of four letters or more has one slip in *text*."""
@@ -107,10 +160,13 @@ class Labels:
         if found == 0:
             who: set[int] = set()
             parts = text.split(" ")
-            for form in self.by_shape.get(len(parts), ()):
-                wrong = [(x, y) for x, y in zip(parts, form) if x != y]
-                if len(wrong) == 1 and _one_slip(*wrong[0]):
-                    who.update(self.exact[" ".join(form)])
+            for k, part in enumerate(parts):
+                rest = (*parts[:k], *parts[k + 1 :])
+                for key in {part} | _without_a_letter(part) if len(part) >= 4 else ():
+                    for form in self.by_slip.get((rest, k, key), ()):
+                        right = form.split(" ")[k]
+                        if right != part and _one_slip(part, right):
+                            who.update(self.exact[form])
             found = sorted(who) or None
             if len(self.known) < 200_000:
                 self.known[text] = found
@@ -133,10 +189,8 @@ class Labels:
         longer = []
         for a, b, who in names:
             if a and low[a - 1] == " " and any(c <= a and b <= d for c, d, _ in labels):
-                back = _LOOK_BACK.search(low, max(0, b - 40), b)
-                for k in (1, 2):
-                    c = back.start(k) if back else -1
-                    if 0 <= c < a and (c == 0 or not low[c - 1].isalnum()) and (more := self.near(low[c:b])) and (x := self._label(low, c, b, more)):
+                for c in _look_back(low, b):
+                    if c < a and (c == 0 or not low[c - 1].isalnum()) and (more := self.near(low[c:b])) and (x := self._label(low, c, b, more)):
                         longer.append(x)
                         break
         labels += longer
@@ -144,12 +198,8 @@ class Labels:
         for m in _DELIMITER.finditer(low):
             if any(a <= m.start() < b for a, b in taken):
                 continue
-            back = _LOOK_BACK.search(low, max(0, m.start() - 40), m.start())
-            if not back:
-                continue
-            for k in (1, 2, 3):
-                a = back.start(k)
-                if a >= 0 and (a == 0 or not low[a - 1].isalnum()) and (who := self.near(low[a : m.start()])) and (x := self._label(low, a, m.start(), who)):
+            for a in _look_back(low, m.start()):
+                if (a == 0 or not low[a - 1].isalnum()) and (who := self.near(low[a : m.start()])) and (x := self._label(low, a, m.start(), who)):
                     labels.append(x)
                     break
         labels.sort(key=lambda x: (x[0] - x[1], x[0]))  # the longest of overlapping ones stands
@@ -162,16 +212,13 @@ class Labels:
     @staticmethod
     def _label(low: str, a: int, b: int, who: list[int]) -> tuple[int, int, list[int]] | None:
         """Context rules: what must stand before and after a name that is a label."""
-        head = _PREFIX.search(low, max(0, a - 8), a)
-        mark = head.group().strip() if head else ""
-        start = head.start() if head else a
-        if mark in ("[", "("):
-            close = {"[": "]", "(": ")"}[mark]
-            tail = re.match(rf"\s*:?\s*\{close}\s*:?", low[b : b + 6])
-            return (start, b + tail.end(), who) if tail else None
+        start, mark = _prefix(low, a)
+        if mark in _CLOSED:
+            tail = _CLOSED[mark].match(low, b)
+            return (start, tail.end(), who) if tail else None
         if mark == "<v":
-            tail = re.match(r"\s*>", low[b : b + 4])
-            return (start, b + tail.end(), who) if tail else None
+            tail = _TAG_END.match(low, b)
+            return (start, tail.end(), who) if tail else None
         tail = _AFTER.match(low, b)
         if not tail:
             return None
@@ -238,27 +285,29 @@ def _labels(speakers: tuple[tuple[int, str], ...]) -> Labels:
     return Labels(list(speakers))
 
 
-def fragments(segments: DataFrame, speakers: DataFrame, with_text: bool = False) -> DataFrame:
-    """(video_id, segment_index, f): f is the array of a segment's fragments; one narrow pass over the texts.
+#: Speakers in one automaton; more are taken in slices of channels.
+MAX_SPEAKERS = 200_000
+
+
+def fragments(segments: DataFrame, speakers: DataFrame, with_text: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(video_id, segment_index, *keep, f): f is the array of a segment's fragments; one narrow pass over the texts.
 
-    *speakers* is a small table of fixed size (checked); every worker holds its automaton.
+    *speakers* are about MAX_SPEAKERS at most (see sliced()); every worker holds their automaton.
     """
-    people = tuple(sorted((r.speaker_id, r.full_name or "") for r in speakers.where("speaker_id is not null").select("speaker_id", "full_name").distinct().limit(200_001).collect()))
-    if len(people) > 200_000:
-        raise ValueError("too many speakers for one automaton; split them by channel")
-    data = spread(segments.select("video_id", "segment_index", "text").where("text is not null"))
+    people = tuple(sorted((r.speaker_id, r.full_name or "") for r in speakers.where("speaker_id is not null").select("speaker_id", "full_name").distinct().collect()))
+    data = spread(segments.select("video_id", "segment_index", *keep, "text").where("text is not null"))
     piece = [T.StructField("who", T.ArrayType(T.LongType()))] + [T.StructField("speech", T.StringType())] * with_text
-    schema = T.StructType([data.schema["video_id"], data.schema["segment_index"], T.StructField("f", T.ArrayType(T.StructType(piece)))])
+    schema = T.StructType([*data.schema.fields[:-1], T.StructField("f", T.ArrayType(T.StructType(piece)))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
 
         labels, kind = _labels(people), to_arrow_type(schema["f"].dataType)
         for batch in batches:
-            found = [segment_fragments(t, labels) for t in batch.column(2).to_pylist()]
-            keep = pa.array([bool(f) for f in found])
+            found = [segment_fragments(t, labels) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            full = pa.array([bool(f) for f in found])
             rows = [[{"who": w} | ({"speech": s} if with_text else {}) for w, s in f] for f in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, type=kind)], names=schema.names).filter(keep)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, type=kind)], names=schema.names).filter(full)
 
     return data.mapInArrow(run, schema)
 
@@ -271,16 +320,42 @@ def channel_people(speakers: DataFrame) -> DataFrame:
     return g.select("channel_id", "people", one("hosts").alias("host"), one("guests").alias("guest"))
 
 
+def sliced(segments: DataFrame, speakers: DataFrame, video_channel: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """(segments, speakers) to search together: all of them, or slices of channels where the speakers are too many for one automaton."""
+    n = -(-speakers.count() // MAX_SPEAKERS)
+    if n <= 1:
+        return [(segments, speakers)]
+    part = F.pmod(F.xxhash64("channel_id"), F.lit(n))
+    out = []
+    for k in range(n):
+        videos = video_channel.where(part == k).select("video_id")
+        out.append((segments.join(if_small(videos), "video_id", "left_semi"), speakers.where(part == k)))
+    return out
+
+
+def all_fragments(segments: DataFrame, speakers: DataFrame, video_channel: DataFrame, **kinds) -> DataFrame:
+    return reduce(DataFrame.unionByName, [fragments(s, p, **kinds) for s, p in sliced(segments, speakers, video_channel)])
+
+
 def spoken(found: DataFrame, video_channel: DataFrame, speakers: DataFrame) -> DataFrame:
-    """(video_id, b, segment_index, pos, named, ...): fragments of labelled videos, the label settled by channel."""
-    once = found.groupBy("video_id", "segment_index").agg(F.first("f").alias("f"))
-    rows = once.join(video_channel.select("video_id", "channel_id"), "video_id").join(F.broadcast(channel_people(speakers)), "channel_id")
-    rows = rows.select("video_id", "segment_index", "people", "host", "guest", F.posexplode("f").alias("pos", "x")).select("*", "x.*")
+    """(video_id, b, segment_index, pos, named): fragments of labelled videos, the label settled by channel. Checkpointed.
+
+    A video may hold a tenth of the segments: where the videos are too many to broadcast, they are
+    joined by block, so that no task gets a whole video.
+    """
+    once = found.groupBy("video_id", "segment_index").agg(F.first("f").alias("f")).withColumn("b", F.floor(F.col("segment_index") / BLOCK))
+    videos = video_channel.select("video_id", "channel_id").where("channel_id is not null")
+    if small(videos):
+        rows = once.join(F.broadcast(videos), "video_id")
+    else:
+        blocks = found.select("video_id", F.floor(F.col("segment_index") / BLOCK).alias("b")).distinct().join(videos, "video_id")
+        rows = once.join(blocks, ["video_id", "b"])
+    rows = rows.join(if_small(channel_people(speakers)), "channel_id")
+    rows = rows.select("video_id", "b", "segment_index", "people", "host", "guest", F.posexplode("f").alias("pos", "x")).select("*", "x.who")
     hits = F.filter("who", lambda w: F.array_contains("people", w))
     named = F.when(F.array_contains("who", F.lit(HOST)), F.col("host")).when(F.array_contains("who", F.lit(GUEST)), F.col("guest")).when(F.size(hits) == 1, F.get(hits, F.lit(0)))
-    extra = [c for c in ("speech",) if c in rows.columns]
     # read three times below: without the cut every read would run the pass over the texts again
-    return cut(rows.select("video_id", F.floor(F.col("segment_index") / BLOCK).alias("b"), "segment_index", "pos", named.alias("named"), *extra))
+    return cut(rows.select("video_id", "b", "segment_index", "pos", named.alias("named")))
 
 
 def numbered(rows: DataFrame) -> DataFrame:
@@ -312,7 +387,7 @@ def stretches(rows: DataFrame) -> DataFrame:
 
 def turns(segments: DataFrame, speakers: DataFrame, video_channel: DataFrame) -> DataFrame:
     """(video_id, speaker_id, first_segment_index, last_segment_index): one row per turn."""
-    s = stretches(numbered(spoken(fragments(segments, speakers), video_channel, speakers)))
+    s = stretches(numbered(spoken(all_fragments(segments, speakers, video_channel), video_channel, speakers)))
     t = s.groupBy("video_id", "turn").agg(F.first("speaker").alias("speaker_id"), F.min("first").alias("first_segment_index"), F.max("last").alias("last_segment_index"))
     return t.drop("turn")
 
@@ -321,13 +396,16 @@ def lines(segments: DataFrame, speakers: DataFrame, video_channel: DataFrame) ->
     """(video_id, turn_start, speaker_id, segment_index, pos, start_time, end_time, speech): the clean lines of every turn.
 
     Lines stay rows, so that a turn of any length is never gathered. Swapped times are set
-    right; a missing time stays null.
+    right; a missing time stays null. The windows see numbers alone; speech is shuffled once.
     """
-    rows = numbered(spoken(fragments(segments, speakers, with_text=True), video_channel, speakers))
+    found = cut(all_fragments(segments, speakers, video_channel, with_text=True, keep=("start_time", "end_time")))
+    rows = numbered(spoken(found.select("video_id", "segment_index", F.transform("f", lambda x: F.struct(x.who.alias("who"))).alias("f")), video_channel, speakers))
     s = stretches(rows)
     starts = s.groupBy("video_id", "turn").agg(F.min("first").alias("turn_start"))
     where = s.select("video_id", "b", "stretch", "turn").join(starts, ["video_id", "turn"]).drop("turn")
-    time = segments.groupBy("video_id", "segment_index").agg(F.min(F.least("start_time", "end_time")).alias("lo"), F.max(F.greatest("start_time", "end_time")).alias("hi"), F.max(F.isnull("start_time")).alias("no_start"), F.max(F.isnull("end_time")).alias("no_end"))
-    out = rows.join(where, ["video_id", "b", "stretch"]).join(time, ["video_id", "segment_index"], "left")
+    placed = rows.join(where, ["video_id", "b", "stretch"]).groupBy("video_id", "segment_index").agg(F.collect_list(F.struct("pos", "turn_start", F.col("speaker").alias("speaker_id"))).alias("at"))
+    time = (F.min(F.least("start_time", "end_time")), F.max(F.greatest("start_time", "end_time")), F.max(F.isnull("start_time")), F.max(F.isnull("end_time")))
+    said = found.groupBy("video_id", "segment_index").agg(F.first("f.speech").alias("speech"), *[c.alias(n) for c, n in zip(time, ("lo", "hi", "no_start", "no_end"))])
+    out = said.join(placed, ["video_id", "segment_index"]).select("*", F.inline("at"))
     start, end = F.when(~F.col("no_start"), F.col("lo")).alias("start_time"), F.when(~F.col("no_end"), F.col("hi")).alias("end_time")
-    return out.select("video_id", "turn_start", F.col("speaker").alias("speaker_id"), "segment_index", "pos", start, end, "speech")
+    return out.select("video_id", "turn_start", "speaker_id", "segment_index", "pos", start, end, F.get("speech", F.col("pos")).alias("speech"))
