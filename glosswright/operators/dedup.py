@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,7 +93,16 @@ def similar_pairs(signed: DataFrame, k: int, threshold: float) -> DataFrame:
     busy = cut(banded.where("low <> high").select("band", "h"))
     rows = signed.select("key", *bits, F.explode(pieces).alias("x")).select("key", *sketch, "x.*").join(if_small(busy), ["band", "h"], "left_semi").distinct()
     near = sum((F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in sketch), F.lit(0)) <= k - m
-    found = cut(rows.alias("l").join(rows.alias("r"), ["band", "h"]).where(F.col("l.key") < F.col("r.key")).where(near).select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct())
+    # a bucket that many signatures share is split by a second band of the places outside the first: of what is left no
+    # more than k - m places differ either, so again one of k - m + 1 bands agrees and no pair is lost
+    hot = cut(rows.groupBy("band", "h").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("band", "h"))
+    plain_rows = rows.join(if_small(hot), ["band", "h"], "left_anti")
+    found = _meet(plain_rows, ["band", "h"], near)
+    if not hot.isEmpty():
+        split = _second_bands(signed, edges, bands, k).join(if_small(hot), ["band", "h"], "left_semi")
+        split = split.join(signed.select("key", *bits).distinct(), "key").select("key", *sketch, "band", "h", F.posexplode("seconds").alias("second", "g")).distinct()
+        found = found.unionByName(_meet(split, ["band", "h", "second", "g"], near))
+    found = cut(found.distinct())
     wanted = if_small(found.select(F.col("a").alias("key")).unionByName(found.select(F.col("b").alias("key"))).distinct())
     whole = cut(signed.select("key", "signature").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("signature").alias("s")))
     equal = F.aggregate(F.zip_with("s", "t", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, e: n + e)
@@ -101,17 +110,60 @@ def similar_pairs(signed: DataFrame, k: int, threshold: float) -> DataFrame:
     return found.join(left, "a").join(right, "b").where(equal >= m).select("a", "b")
 
 
+#: Signatures of a bucket beyond which it is split.
+HOT = 64
+CHAINS = 3
+
+
+def _meet(rows: DataFrame, bucket: list[str], near: Column) -> DataFrame:
+    """(a, b): the pairs of each bucket that are near by their sketches."""
+    return rows.alias("l").join(rows.alias("r"), bucket).where(F.col("l.key") < F.col("r.key")).where(near).select(F.col("l.key").alias("a"), F.col("r.key").alias("b"))
+
+
+def _second_bands(signed: DataFrame, edges: list[int], bands: int, k: int) -> DataFrame:
+    """(key, band, h, seconds): for each band the hashes of *bands* bands of all other places."""
+    left = k - max(b - a for a, b in zip(edges, edges[1:]))
+    inner = [left * i // bands for i in range(bands)] + [k]  # the last one takes what is over
+
+    def one(i: int, a: int, b: int) -> Column:
+        rest = F.concat(F.slice("signature", 1, a), F.slice("signature", b + 1, k))
+        seconds = F.array(*[F.xxhash64(F.slice(rest, x + 1, y - x)) for x, y in zip(inner, inner[1:])])
+        return F.struct(F.lit(i).cast("short").alias("band"), F.xxhash64(F.slice("signature", a + 1, b - a)).alias("h"), seconds.alias("seconds"))
+
+    return signed.select("key", F.explode(F.array(*[one(i, a, b) for i, (a, b) in enumerate(zip(edges, edges[1:]))])).alias("x")).select("key", "x.*")
+
+
+def _along_chains(open_pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """(rank): nodes that are kept because they lie an even number of steps from a head, each step to a node's only earlier neighbour.
+
+    Pointers are doubled, so a chain of n nodes takes O(log n) joins.
+    """
+    only = open_pairs.groupBy(F.col("hi").alias("x")).agg(F.count("*").alias("n"), F.min("lo").alias("p")).where("n = 1").select("x", "p", F.lit(1).alias("odd"))
+    jump = cut(only)
+    while True:
+        ahead = jump.select(F.col("x").alias("p"), F.col("p").alias("q"), F.col("odd").alias("more"))
+        further = cut(jump.join(ahead, "p", "left").select("x", F.coalesce("q", "p").alias("p"), F.col("odd").bitwiseXOR(F.coalesce("more", F.lit(0))).alias("odd"), F.col("q").isNotNull().alias("moved")))
+        jump = further.drop("moved")
+        if further.where("moved").isEmpty():
+            break
+    return jump.where("odd = 0").join(heads.select(F.col("rank").alias("p")), "p", "left_semi").select(F.col("x").alias("rank"))
+
+
 def keep_first(pairs: DataFrame) -> DataFrame:
     """(rank, duplicate_of): duplicate_of is null for a kept node. Nodes without any pair are not listed.
 
     Rounds: a node without an undecided earlier neighbour is kept, and its later neighbours
-    are dropped; as many rounds as the longest chain of decisions.
+    are dropped. From round CHAINS on, nodes with a single earlier neighbour are decided along
+    their whole chain at once, so that a chain of near-copies takes O(log n) joins.
     """
-    every = cut(pairs.select("lo", "hi"))
-    open_pairs, kept, dropped = every, None, None
+    every = cut(pairs.select("lo", "hi").distinct())
+    open_pairs, kept, dropped, rounds = every, None, None, 0
     while not open_pairs.isEmpty():
+        rounds += 1
         nodes = open_pairs.select(F.col("lo").alias("rank")).unionByName(open_pairs.select(F.col("hi").alias("rank"))).distinct()
         now_kept = cut(nodes.join(open_pairs.select(F.col("hi").alias("rank")).distinct(), "rank", "left_anti"))
+        if rounds >= CHAINS:
+            now_kept = cut(now_kept.unionByName(_along_chains(open_pairs, now_kept)).distinct())
         now_dropped = cut(open_pairs.join(now_kept.withColumnRenamed("rank", "lo"), "lo", "left_semi").select(F.col("hi").alias("rank")).distinct())
         kept = now_kept if kept is None else kept.unionByName(now_kept)
         dropped = now_dropped if dropped is None else dropped.unionByName(now_dropped)
