@@ -94,7 +94,8 @@ class CharacterModel:
         for k, c in enumerate(ORDER):
             for g, n in counts[c].items():
                 self.seen.setdefault(g, self.unseen.copy())[k] = np.log((n * self.LENGTH / total[c] + self.SMOOTH) / bottom)
-        self.cache: dict[str, np.ndarray] = {}
+        self.cache: dict[str, int] = {}
+        self.table = np.zeros((1024, 1 + len(ORDER)))
         # what stretches of ten words of each language usually score
         self.usual = np.full((len(ORDER), 2), np.nan)
         for k, c in enumerate(ORDER):
@@ -110,18 +111,30 @@ class CharacterModel:
         marked = f"<{word}>"
         return [marked[k : k + 3] for k in range(len(marked) - 2)]
 
+    def rows(self, words: list[str]) -> np.ndarray:
+        """For each word its runs of letters and the sum of their log probabilities in each language."""
+        if len(self.cache) > 300_000:  # memory stays bounded
+            self.cache.clear()
+        get = self.cache.get
+        found = [k if (k := get(w)) is not None else self._number(w) for w in words]
+        return self.table[found] if found else np.zeros((0, 1 + len(ORDER)))
+
+    def _number(self, word: str) -> int:
+        k, grams = len(self.cache), self.grams(word)
+        if k >= len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[k, 0] = len(grams)
+        self.table[k, 1:] = sum((self.seen.get(g, self.unseen) for g in grams), np.zeros(len(ORDER)))
+        self.cache[word] = k
+        return k
+
+    def forget(self) -> None:
+        """Drops what was kept of words seen."""
+        self.cache, self.table = {}, np.zeros((1024, 1 + len(ORDER)))
+
     def sums(self, words: list[str]) -> np.ndarray:
         """Runs of letters in *words*, then the sum of their log probabilities in each language."""
-        total = np.zeros(1 + len(ORDER))
-        for w in words:
-            found = self.cache.get(w)
-            if found is None:
-                grams = self.grams(w)
-                found = np.concatenate([[len(grams)], sum((self.seen.get(g, self.unseen) for g in grams), np.zeros(len(ORDER)))])
-                if len(self.cache) < 300_000:
-                    self.cache[w] = found
-            total += found
-        return total
+        return self.rows(words).sum(0)
 
     def unlike(self, sums: np.ndarray) -> np.ndarray:
         """For each language, how many spreads below its usual score the words are."""
