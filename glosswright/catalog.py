@@ -7,15 +7,17 @@ transcripts (their lines for segments); the transcript tables stand for themselv
 from __future__ import annotations
 
 import dataclasses
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glosswright import external
 from glosswright.functions import hashing, parsing, text
 from glosswright.operators import dedup, generate, rules, sequences, tables
 from glosswright.plans.config import BRIEFS, STAGES, Edit, Filter, Talk
-from glosswright.runtime import cut, spread, table
+from glosswright.runtime import cut, scratch, spread, table
 from glosswright.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -306,7 +308,7 @@ judged as (select *, case when language not in ('en', 'fr', 'de', 'es') then 'la
 
 
 @query(f"with {_PROFILE}, {_CASCADE} select doc_id, coalesce(reason, 'kept') as outcome from judged")
-def op_p7_p8_cascade(spark, sf):
+def op_p7_cascade(spark, sf):
     return rules.decide(_profiled(spread(docs(spark, sf))), rules.quality_rules(FILTER)).select("doc_id", F.coalesce("reason", "status").alias("outcome"))
 
 
@@ -578,7 +580,7 @@ def op_o2_unique_sources(spark, sf):
 
 
 @query("select video_id as run_id, updated_at from videos where status in ('failed') order by updated_at desc, video_id desc limit 1")
-def op_o3_o4_resumable(spark, sf):
+def op_o3_resumable(spark, sf):
     runs = table(spark, sf, "videos").select(F.col("video_id").alias("run_id"), "status", F.lit("h").alias("config_hash"), "updated_at")
     return tables.resumable(runs, "h").select("run_id", "updated_at")
 
@@ -748,14 +750,20 @@ def op_x3_prompt(spark, sf):
     return c.withColumn("prompt", parsing.fill("Part {n} of {{{id}}}", n=F.col("chunk_index"), id=F.col("video_id")))
 
 
-@query("select distinct video_id, chunk_index, 'editorial_rewrite' as generator_name, segment_start_idx, segment_end_idx, normalized_excerpt_path as source_excerpt_path from chunk_records")
+@query("""select a.video_id, a.chunk_index, 'editorial_rewrite' as generator_name, 'v1' as generator_version, 't' as prompt_template_id, a.title, a.segment_start_idx, a.segment_end_idx, a.start_time, a.end_time, a.normalized_excerpt_path as source_excerpt_path, a.normalized_excerpt_sha256 as source_excerpt_sha256,
+  'raw/' || a.video_id as raw_excerpt_path, sha256(b.text) as raw_excerpt_sha256, a.normalized_excerpt_path, a.normalized_excerpt_sha256
+from (select video_id, chunk_index, unnest(arg_min(x, ingested_at)) from (select video_id, chunk_index, ingested_at, {'title': title, 'segment_start_idx': segment_start_idx, 'segment_end_idx': segment_end_idx, 'start_time': start_time, 'end_time': end_time, 'normalized_excerpt_path': normalized_excerpt_path, 'normalized_excerpt_sha256': normalized_excerpt_sha256} as x from chunk_records) group by video_id, chunk_index) a
+join (select video_id, chunk_index, max(text) as text from normalize_chunks group by all) b using (video_id, chunk_index)""")
 def op_x5_metadata(spark, sf):
-    m = table(spark, sf, "chunk_records").select(generate.metadata("editorial_rewrite", "v1", "t").alias("m")).select("m.*")
-    return m.select("video_id", "chunk_index", "generator_name", "segment_start_idx", "segment_end_idx", "source_excerpt_path").distinct()
+    """All sixteen fields."""
+    raw = table(spark, sf, "normalize_chunks").groupBy("video_id", "chunk_index").agg(F.max("text").alias("text"))
+    c = once(spark, sf, "chunk_records", "video_id", "chunk_index").join(raw, ["video_id", "chunk_index"])
+    c = c.withColumn("raw_excerpt_path", F.concat(F.lit("raw/"), "video_id")).withColumn("raw_excerpt_sha256", hashing.text_hash(F.col("text")))
+    return c.select(generate.metadata("editorial_rewrite", "v1", "t", c.columns).alias("m")).select("m.*")
 
 
 @query("""select video_id, arg_min(status, updated_at) as status, bool_or(metrics is not null) as has_metrics from videos group by video_id""")
-def op_k5_x7_metrics(spark, sf):
+def op_k5_metrics(spark, sf):
     m = writers.metric_rows(once(spark, sf, "videos", "video_id"))
     return m.select("video_id", "status", F.coalesce(~F.startswith("metrics", F.lit('{"skip_reason"')), F.lit(False)).alias("has_metrics"))
 
@@ -765,3 +773,148 @@ def op_e4_edits(spark, sf):
     """Requests, stand-in answers, parsing and gates for every excerpt that is long enough."""
     c = once(spark, sf, "chunk_records", "video_id", "chunk_index")
     return generate.run_edits(c, Edit()).select("video_id", "chunk_index", "edit_brief", "status", "reason")
+
+
+# ---- files, answers and single rules ------------------------------------------------------------
+
+
+@query("select doc_id, case when text is null then 'missing_minhash' end as reason from documents")
+def op_p8_missing_minhash(spark, sf):
+    """Documents without a text have no signature."""
+    d = dedup.signatures(docs(spark, sf), "doc_id", "text", K, keep=("text",)).withColumn("signature", F.when(F.col("text").isNotNull(), F.col("signature")))
+    return rules.decide(d, [rules.missing_minhash(F.col("signature"))]).select("doc_id", "reason")
+
+
+@query("select entry_id, arg_min(edit_brief, created_at) as edit_brief, 2::bigint as n from (select entry_id, coalesce(edit_brief, '') as edit_brief, created_at from entries) group by entry_id")
+def op_k1_k2_json_lines(spark, sf):
+    """Rows written as JSON lines over older ones, appended once more and read back."""
+    e = once(spark, sf, "entries", "entry_id").select("entry_id", F.coalesce("edit_brief", F.lit("")).alias("edit_brief"))
+    path = scratch(spark)
+    writers.write_json_lines(e.limit(3), path)
+    writers.write_json_lines(e, path)
+    writers.write_json_lines(e, path, append=True)
+    return readers.read_json_lines(spark, path, "entry_id bigint, edit_brief string").groupBy("entry_id", "edit_brief").agg(F.count("*").alias("n"))
+
+
+@query("select coalesce(channel_id, 'none') as channel_id, count(distinct video_id) as videos from videos group by 1")
+def op_k3_s10_json_file(spark, sf):
+    """A small summary written as one JSON file in one step and read back on the driver (40 channels, fixed)."""
+    import tempfile
+
+    counts = table(spark, sf, "videos").groupBy(F.coalesce("channel_id", F.lit("none")).alias("channel_id")).agg(F.count_distinct("video_id").alias("videos"))
+    with tempfile.TemporaryDirectory() as folder:  # of the driver alone
+        writers.write_json(f"{folder}/summary.json", {r.channel_id: r.videos for r in counts.collect()})
+        read = readers.read_json(f"{folder}/summary.json", {})
+        assert readers.read_json(f"{folder}/none.json", {}) == {}
+    return spark.createDataFrame(sorted(read.items()), "channel_id string, videos bigint")
+
+
+@query("select video_id, count(*) as n, 1 as parts from (select distinct video_id, chunk_index from chunk_records) group by video_id")
+def op_k4_sorted(spark, sf):
+    """Rows written in order of a key: every key's rows lie together in one file, in order."""
+    c, path = table(spark, sf, "chunk_records").select("video_id", "chunk_index").distinct(), scratch(spark)
+    writers.write_sorted(c, path, "video_id", "chunk_index")
+    read = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    return read.groupBy("video_id").agg(F.count("*").alias("n"), F.count_distinct("file").cast("int").alias("parts"))
+
+
+@query(f"with {_PROFILE}, {_CASCADE}, d as (select doc_id, case when reason is null then 'kept' else 'dropped' end as status from judged) select 'decisions' as folder, status, count(*) as n from d group by all union all select status, status, count(*) from d group by all")
+def op_k6_decision_files(spark, sf):
+    """Decisions, kept and dropped as they lie in their three folders."""
+    made = rules.decide(_profiled(spread(docs(spark, sf))), rules.quality_rules(FILTER)).select("doc_id", "status", "reason")
+    path = scratch(spark)
+    writers.write_decisions(made, path)
+    folders = [spark.read.parquet(f"{path}/{f}").groupBy("status").agg(F.count("*").alias("n")).select(F.lit(f).alias("folder"), "status", "n") for f in ("decisions", "kept", "dropped")]
+    return folders[0].unionByName(folders[1]).unionByName(folders[2])
+
+
+@query("select doc_id from documents order by doc_id::varchar limit 25")
+def op_o1_string_order(spark, sf):
+    """The report's first rows in order of the id as a string: 10 stands before 9."""
+    return docs(spark, sf).select("doc_id").orderBy(F.col("doc_id").cast("string")).limit(25)
+
+
+@query("select video_id as run_id, updated_at from videos order by updated_at desc, video_id desc limit 1")
+def op_o4_latest_run(spark, sf):
+    return tables.latest_run(table(spark, sf, "videos").select(F.col("video_id").alias("run_id"), "updated_at"))
+
+
+@query(f"""select distinct video_id, sha256('{{"settings":"{hashing.plain_hash(Filter())}","version":"1","video_id":"' || video_id || '"}}') as input_hash from videos""")
+def op_h4_input_hash(spark, sf):
+    v = table(spark, sf, "videos").select("video_id").distinct()
+    return v.withColumn("input_hash", hashing.input_hash(Filter(), "1", video_id=F.col("video_id")))
+
+
+def _answer_in_parts():
+    """A stand-in that answers as hosted models may: a list of parts."""
+    return lambda system, user: [{"type": "text", "text": user[: len(user) // 2]}, {"content": user[len(user) // 2 :]}, None]
+
+
+@query("select doc_id, coalesce(text, '') as answer, null::varchar as error from documents")
+def op_x4_e1_answers(spark, sf):
+    """Answers that come in parts, put together again."""
+    d = docs(spark, sf).withColumn("system", F.lit(""))
+    return external.complete(spread(d), "system", "text", _answer_in_parts).select("doc_id", "answer", "error")
+
+
+@query(r"select doc_id, array_to_string(list_filter(list_transform(regexp_split_to_array(text, '\n\s*\n+'), lambda x: trim(x, E' \t\n\r\x0b\x0c')), lambda x: x <> ''), chr(10)) as said, lang as language from documents where text is not null")
+def op_x6_transcript(spark, sf):
+    """Documents as transcripts: their paragraphs are the segments."""
+    d = table(spark, sf, "documents").where("text is not null").select("doc_id", "lang", readers.transcript_segments(F.to_json(F.struct("text"))).alias("segments"))
+    t = d.select("doc_id", parsing.transcript(F.lit("documents"), F.col("lang"), F.col("segments")).alias("t"))
+    return t.select("doc_id", F.col("t.text").alias("said"), F.col("t.language").alias("language"))
+
+
+@query("select video_id, arg_min(status, updated_at) as status, arg_min(metrics.media_size_bytes, updated_at) filter (true) as bytes from videos where metrics is not null group by video_id")
+def op_x7_stage_entry(spark, sf):
+    v = once(spark, sf, "videos", "video_id").where("metrics is not null")
+    e = v.select("video_id", parsing.stage_entry(F.col("status"), F.col("metrics")).alias("entry"))
+    return e.select("video_id", "entry.status", F.col("entry.metrics.media_size_bytes").alias("bytes"))
+
+
+@query("select distinct video_id, chunk_index, segment_start_idx as first from chunk_records")
+def op_m20_strict_int(spark, sf):
+    """Whole numbers out of texts; anything else would fail the query."""
+    c = table(spark, sf, "chunk_records").select("video_id", *[parsing.strict_int(F.col(a).cast("string"), a).alias(b) for a, b in (("chunk_index", "chunk_index"), ("segment_start_idx", "first"))])
+    return c.distinct()
+
+
+@query("select distinct video_id, quality_score from analyze_metrics where quality_score is not null")
+def op_p9_required(spark, sf):
+    """The metric of rows that have it; a row without would fail the query."""
+    m = cut(table(spark, sf, "analyze_metrics").where("quality_score is not null").select("video_id", "quality_score"))
+    return m.select("video_id", rules.required("quality_score", "analyze").alias("quality_score")).distinct()
+
+
+@query("select distinct video_id, segment_index, start_time as start, end_time as end, trim(text) as said from transcript_segments where trim(text) <> ''")
+def op_s11_timed_segments(spark, sf):
+    """Segments as a transcript file holds them, read again: trimmed, with their times."""
+    s = F.struct(F.col("start_time").alias("start"), F.col("end_time").alias("end"), "text")
+    content = F.to_json(F.struct(F.array(s).alias("segments"), F.lit("").alias("text")))
+    rows = table(spark, sf, "transcript_segments").select("video_id", "segment_index", F.explode(readers.transcript_segments(content)).alias("s"))
+    return rows.select("video_id", "segment_index", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.text").alias("said")).distinct()
+
+
+def _talk_in_turns():
+    """A stand-in for the talk model: question and answer in turn, the answer made of the prompt."""
+
+    def answer(system: str, user: str) -> str:
+        words = user.split()
+        turns = [{"role": r, "content": c} for k in range(Talk().turn_pairs) for r, c in (("user", f"What about part {k + 1}?"), ("assistant", "In my own words: " + " ".join(words[k::7])))]
+        return f"{parsing.MARKS['talk'][0]}\n{json.dumps({'messages': turns})}\n{parsing.MARKS['talk'][1]}"
+
+    return answer
+
+
+@query(None)
+def op_e3_talks(spark, sf):
+    """Prompts, stand-in answers, parsing and all gates for every excerpt that is long enough."""
+    c = once(spark, sf, "chunk_records", "video_id", "chunk_index")
+    made = generate.run_talks(c, Talk(), _talk_in_turns, prompt="{source_excerpt}")
+    return made.select("video_id", "chunk_index", "status", "reason", F.size("messages").alias("messages"))
+
+
+@query(None)
+def op_m14_change_block(spark, sf):
+    """The whole block of source against normalized excerpt, similarity included."""
+    return text.with_change(_excerpt_pairs(spark, sf), "text", "normalized_excerpt", similarity=True).drop("text", "normalized_excerpt")

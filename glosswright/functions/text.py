@@ -223,8 +223,8 @@ def with_profile(df: DataFrame, text: str, tokens: Column | None = None) -> Data
     )
 
 
-def with_change(df: DataFrame, source: str, result: str) -> DataFrame:
-    """M14 without similarity: counts of both sides, deltas and ratios, lexical and readability values per side."""
+def with_change(df: DataFrame, source: str, result: str, similarity: bool = False) -> DataFrame:
+    """Counts of both sides, deltas and ratios, lexical and readability values per side; char_similarity where asked for."""
     kept = df.columns
     for prefix, column in (("source_", source), ("normalized_", result)):
         df = with_sums(df, column, prefix).withColumn(f"__{prefix}tokens", approx_token_count(F.col(column))).withColumn(f"__{prefix}chars", F.length(column).cast("bigint"))
@@ -236,4 +236,6 @@ def with_change(df: DataFrame, source: str, result: str) -> DataFrame:
     for side in ("source_", "normalized_"):
         out += [F.col(f"__{side}lex.{k}").alias(f"{side}{k}") for k in ("unique_ratio", "hapax_ratio", "avg_word_length", "long_word_ratio")]
         out += [F.col(f"__{side}read.{k}").alias(f"{side}{k}") for k in ("flesch_reading_ease", "automated_readability_index", "gunning_fog")]
+    if similarity:
+        out.append(sequence_similarity(F.col(source), F.col(result)).alias("char_similarity"))
     return df.select(*out)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,11 +99,13 @@ def run_talks(chunks: DataFrame, cfg: Talk, model=None, prompt: str = "{source_e
     return judged.unionByName(lost, allowMissingColumns=True)
 
 
-def metadata(generator: str, version: str, template: str) -> Column:
-    """X5."""
-    names = ("video_id", "title", "chunk_index", "segment_start_idx", "segment_end_idx", "start_time", "end_time")
+def metadata(generator: str, version: str, template: str, columns: Sequence[str]) -> Column:
+    """The sixteen fields of an entry's metadata; those that *columns* does not hold are null. The source is the normalized excerpt."""
+    given = lambda n, kind="string": F.col(n) if n in columns else F.lit(None).cast(kind)
     fixed = [F.lit(generator).alias("generator_name"), F.lit(version).alias("generator_version"), F.lit(template).alias("prompt_template_id")]
-    return F.struct(*fixed, *[F.col(n) for n in names], F.col("normalized_excerpt_path").alias("source_excerpt_path"))
+    place = [given(n, k).alias(n) for n, k in (("video_id", "string"), ("title", "string"), ("chunk_index", "bigint"), ("segment_start_idx", "bigint"), ("segment_end_idx", "bigint"), ("start_time", "double"), ("end_time", "double"))]
+    source = [given(f"normalized_excerpt_{n}").alias(f"source_excerpt_{n}") for n in ("path", "sha256")]
+    return F.struct(*fixed, *place, *source, *[given(f"{side}_excerpt_{n}").alias(f"{side}_excerpt_{n}") for side in ("raw", "normalized") for n in ("path", "sha256")])
 
 
 def normalize_chunks(chunks: DataFrame, model=None, prompt: str = "{text}") -> DataFrame:

@@ -83,6 +83,11 @@ def quality_rules(cfg) -> list[Rule]:
     ]
 
 
+def missing_minhash(signature: Column) -> Rule:
+    """Stands after the rules of P7."""
+    return "missing_minhash", signature.isNull()
+
+
 def talk_rules(cfg, copy_similarity: Column, novelty: Column, asks: Column, must_ask: Column) -> list[Rule]:
     """P11."""
     return [("copy_similarity", copy_similarity > cfg.max_copy_similarity), ("novel_token_ratio", novelty < cfg.min_novel_token_ratio), ("missing_clarifying_question", must_ask & ~asks)]

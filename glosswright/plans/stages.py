@@ -151,12 +151,12 @@ def stage_functions(services: Services | None = None) -> dict[str, Callable]:
         answers = cut(generate.normalize_chunks(c, model, s.normalize_prompt))
         path = part(run, "normalize", "chunks")
         chunks = c.join(answers.where("ok").drop("ok"), ["video_id", "chunk_index"]).withColumnsRenamed({"start_segment_index": "segment_start_idx", "end_segment_index": "segment_end_idx"})
-        chunks = chunks.withColumn("normalized_excerpt_path", F.lit(path)).withColumn("normalized_excerpt_sha256", hashing.text_hash(F.col("normalized_excerpt"))).withColumn("source_excerpt_sha256", hashing.text_hash(F.col("text")))
+        chunks = chunks.withColumn("normalized_excerpt_path", F.lit(path)).withColumn("normalized_excerpt_sha256", hashing.text_hash(F.col("normalized_excerpt"))).withColumn("raw_excerpt_path", F.lit(path)).withColumn("raw_excerpt_sha256", hashing.text_hash(F.col("text")))
         in_order = F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "normalized_excerpt"))), lambda x: x["normalized_excerpt"])
         merged = chunks.groupBy("video_id").agg(in_order.alias("t"), F.count("*").alias("num_chunks")).select("video_id", "num_chunks", sequences.merge_chunks(F.col("t")).alias("normalized_text"))
         spoken = F.array_join(F.filter(F.transform("segments", lambda x: sequences.strip(F.coalesce(x["text"], F.lit("")))), lambda t: t != ""), " ")
         pairs = cut(todo.where("not empty").select("item_id", "input_hash", "video_id", "title", spoken.alias("source_text")).join(merged.where("normalized_text <> ''"), "video_id"))
-        measured = text.with_change(pairs, "source_text", "normalized_text").withColumn("char_similarity", text.sequence_similarity(F.col("source_text"), F.col("normalized_text")))
+        measured = text.with_change(pairs, "source_text", "normalized_text", similarity=True)
         add(chunks.join(pairs.select("video_id"), "video_id", "left_semi"), path)
         add(measured.drop("source_text"), part(run, "normalize", "texts"))
         ended = todo.join(pairs.select("video_id", F.lit(True).alias("good")), "video_id", "left")
@@ -178,7 +178,7 @@ def stage_functions(services: Services | None = None) -> dict[str, Callable]:
         rows = plain(results(spark, manifest, "analyze", part(run, "analyze", "profiles"))).drop("normalized_text")
         for c in ("word_count", "token_count", "quality_score", "normalize_token_ratio", "normalize_length_ratio", "normalize_similarity"):
             rows = rows.withColumn(c, rules.required(c, "profile"))
-        judged = cut(rules.decide(rows, rules.quality_rules(cfg)).drop("status"))
+        judged = cut(rules.decide(rows, [*rules.quality_rules(cfg), rules.missing_minhash(F.col("signature"))]).drop("status"))
         near = dedup.near_duplicates(judged.where("reason is null").select("video_id", "signature"), "video_id", run.settings.analyze.minhash_num_perm, cfg.dedup_threshold)
         reason = F.coalesce("reason", F.concat(F.lit("dedup:"), "duplicate_of"))
         made = judged.drop("signature").join(near, "video_id", "left").withColumn("reason", reason)
@@ -190,7 +190,7 @@ def stage_functions(services: Services | None = None) -> dict[str, Callable]:
     def generate_(spark, run, manifest):
         kept = spark.read.parquet(part(run, "filter", "kept")).select("video_id")
         chunks = plain(results(spark, manifest, "normalize", part(run, "normalize", "chunks"))).join(kept, "video_id", "left_semi")
-        listed = F.to_json(F.array_sort(F.collect_list(F.struct("chunk_index", "normalized_excerpt_sha256", "source_excerpt_sha256", "title"))))
+        listed = F.to_json(F.array_sort(F.collect_list(F.struct("chunk_index", "normalized_excerpt_sha256", "raw_excerpt_sha256", "title"))))
         items = chunks.groupBy("video_id").agg(listed.alias("chunks"))
         todo = misses(manifest, "generate", keyed(items, [run.settings.edit, run.settings.talk, s.talk_prompt], chunks=F.col("chunks")).drop("chunks"))
         asked = cut(chunks.join(todo, "video_id"))
@@ -200,7 +200,7 @@ def stage_functions(services: Services | None = None) -> dict[str, Callable]:
         user = F.struct(F.lit("user").alias("role"), F.concat_ws("\n\n", "instruction", "input_text").alias("content"))
         edits = edits.withColumn("messages", F.array(user, F.struct(F.lit("assistant").alias("role"), F.col("output_text").alias("content"))))
         names = ("item_id", "input_hash", "generator", "video_id", "chunk_index", "edit_brief", "instruction", "input_text", "output_text", "messages", "metadata", "status", "reason")
-        shape = lambda d, name: d.withColumn("metadata", generate.metadata(name, VERSION, name)).select(*[F.col(c) if c in d.columns or c == "metadata" else nothing().alias(c) for c in names])
+        shape = lambda d, name: d.withColumn("metadata", generate.metadata(name, VERSION, name, d.columns)).select(*[F.col(c) if c in d.columns or c == "metadata" else nothing().alias(c) for c in names])
         made = cut(shape(edits, "editorial_rewrite").unionByName(shape(talks, "talk_as_creator")))
         add(made, part(run, "generate", "examples"))
         good = made.where("status = 'accepted'").select("video_id").distinct().withColumn("good", F.lit(True))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,3 +57,9 @@ def small(df: DataFrame, rows: int = 100_000) -> bool:
 def if_small(keys: DataFrame, rows: int = 100_000) -> DataFrame:
     """Marks a table of keys for broadcast after counting that it has at most *rows* of them; a larger one is left to a shuffle join."""
     return F.broadcast(keys) if small(keys, rows) else keys
+
+
+def scratch(spark: SparkSession) -> str:
+    """A fresh folder beside the checkpoints, which all executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/scratch-{uuid.uuid4().hex}"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,7 +71,7 @@ def json_objects(lines: DataFrame, schema: str | T.StructType, column: str = "va
 
 def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """A missing file is an empty table."""
-    if "://" not in path and not Path(path).exists():
+    if not re.match(r"\w+:/", path) and not Path(path).exists():
         return spark.createDataFrame([], schema)
     return json_objects(spark.read.text(path), schema)
 
