@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glosswright.llm import lang, leaks, pairs, pieces, prose, repetition, splits, tokens, toxicity, turns
-from glosswright.runtime import table
+from glosswright.runtime import cut, if_small, table
 
 
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -32,7 +32,7 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def video_channels(spark: SparkSession, sf: str) -> DataFrame:
     """(video_id, channel_id, channel, domain, main_language); a null channel_id is told by the channel's name."""
-    channels = F.broadcast(table(spark, sf, "channels").select("channel_id", "channel", "domain", "main_language"))  # 40 rows, fixed
+    channels = if_small(table(spark, sf, "channels").select("channel_id", "channel", "domain", "main_language"))
     v = table(spark, sf, "videos").groupBy("video_id").agg(F.max("channel_id").alias("cid"), F.max("channel").alias("cname"))
     by_name = channels.select(F.col("channel").alias("cname"), F.col("channel_id").alias("named_id"))
     v = v.join(by_name, "cname", "left").select("video_id", F.coalesce("cid", "named_id").alias("channel_id"))
@@ -147,6 +147,12 @@ def p9_leaks(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
 
 
+def p9_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents with leaks, their leaked spans removed or, beyond the coverage limit, dropped."""
+    d = table(spark, sf, "documents")
+    return leaks.cleaned(d, cut(leaks.spans(d, table(spark, sf, "eval_items"))))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_leaks(spark, sf).select("doc_id", "item_id")
 

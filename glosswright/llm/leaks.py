@@ -3,11 +3,13 @@
 The items, normalised to words, make one generalised suffix automaton. Every document is
 streamed through it; where its current longest match ends, a match that is long, or short
 but rare among the items, is an anchor. An anchor is extended word by word on both sides
-over small slips; items of which MIN_WORDS words in sequence are covered have leaked.
+over small slips; items of which MIN_WORDS words in sequence are covered have leaked. The
+stretches of the document that hold them can be removed (cleaned): those over a length limit
+are cut out, and a document of which they cover more than a limit is dropped.
 
 The automaton grows with the items, not with the corpus: it is built once per Python
 worker from the item texts, which must stay under MAX_ITEM_CHARS (else the items are
-taken in slices, one pass over the corpus each).
+taken in slices, one pass over the corpus each; what is rare is counted over all items).
 
 Defined results: null and empty texts hold nothing; an item under MIN_WORDS words cannot
 leak; repeated items and documents give one row per (doc_id, item_id); texts of any length
@@ -20,22 +22,27 @@ import html
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glosswright.runtime import spread
+from glosswright.runtime import if_small, spread
 
 MIN_WORDS = 20
 #: A run of LONG words is an anchor; so is one of SHORT words that at most RARE places of the items share.
 LONG, SHORT, RARE = 8, 5, 8
 MAX_ITEM_CHARS = 20_000_000
+#: Removal: spans of so many words go; documents of which more than this share leaked go whole.
+LONGEST, COVERAGE = 20, 0.5
 
 #: Letters of other scripts that look like Latin ones.
 LOOK_ALIKES = str.maketrans("аеорсухіјѕһԁԛԝвкмнтгαορνκιτυχеӏɡɑＯ", "aeopcyxijshdqwbkmhtraopvkituxelgao")
-TAG = re.compile(r"<[^<>\n]{0,300}>")
+#: A tag of any length; a smaller-than sign before a digit or a space begins none.
+TAG = re.compile(r"<[/!?]?[^\W\d_][^<>\n]*>|<!--[^<>]*>")
 TIME = re.compile(r"[\[(]?\b\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d+)?\b[\])]?")
 HYPHEN = re.compile(r"(?<=[^\W\d_])(?:­\s*|[-‐‑]\s*\n\s*|- +(?=[a-zß-ÿ]))(?=[^\W\d_])")
 INVISIBLE = re.compile("[­​-‏⁠﻿]")
@@ -61,8 +68,8 @@ class _Folded(dict):
         return value
 
 
-def normal_words(text: str, cache: dict | None = None) -> list[str]:
-    """Words of *text* without markup, inserted times, hyphenation at line ends and invisible characters."""
+def _bare(text: str) -> str:
+    """*text* without markup, inserted times, hyphenation at line ends and invisible characters."""
     if "&" in text:
         text = html.unescape(text)
     if "<" in text:
@@ -75,8 +82,27 @@ def normal_words(text: str, cache: dict | None = None) -> list[str]:
         text = INVISIBLE.sub("", text)
     elif "-" in text:
         text = HYPHEN.sub("", text)
+    return text
+
+
+def normal_words(text: str, cache: dict | None = None) -> list[str]:
+    """Words of *text* without markup, inserted times, hyphenation at line ends and invisible characters."""
     fold = cache if cache is not None else _Folded()
-    return [w for unit in text.split() for w in fold[unit]]
+    return [w for unit in _bare(text).split() for w in fold[unit]]
+
+
+def without_spans(text: str, spans: list[tuple[int, int]], cache: dict) -> str:
+    """*text*, freed from markup, without the words of *spans* (first, last); the white space that is left stays as it is."""
+    text, out, at, n, k = _bare(text), [], 0, 0, 0
+    for m in re.finditer(r"\S+", text):
+        size = len(cache[m.group()])
+        while k < len(spans) and spans[k][1] < n:
+            k += 1
+        if size and k < len(spans) and spans[k][0] <= n + size - 1:
+            out.append(text[at : m.start()])
+            at = m.end()
+        n += size
+    return "".join([*out, text[at:]])
 
 
 class SuffixAutomaton:
@@ -229,11 +255,35 @@ def _extend_side(doc: list[str], item: list[str], d: int, i: int, step: int) ->
     return covered, reached
 
 
+def _run_hash(words: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest(" ".join(words)) - (1 << 63)
+
+
+def _common_runs(items: DataFrame, min_words: int) -> frozenset[int]:
+    """Hashes of the runs of SHORT to LONG - 1 words that have over RARE places in all items.
+
+    At most (LONG - SHORT) / RARE of the items' words, so no more than their texts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in batch.column(0).to_pylist():
+                words = normal_words(text or "")
+                if len(words) >= min_words:
+                    found += [_run_hash(words[k : k + n]) for n in range(SHORT, LONG) for k in range(len(words) - n + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, type=pa.int64())], names=["run"])
+
+    counted = items.select("text").mapInArrow(run, "run bigint").groupBy("run").agg(F.count("*").alias("n"))
+    return frozenset(r.run for r in counted.where(F.col("n") > RARE).select("run").collect())
+
+
 class LeakFinder:
     """Finds items in documents; built from (item_id, text)."""
 
-    def __init__(self, items: list[tuple[int, str]], min_words: int = MIN_WORDS):
-        self.min_words, self.cache = min_words, _Folded()
+    def __init__(self, items: list[tuple[int, str]], min_words: int = MIN_WORDS, common: frozenset[int] | None = None):
+        """*common* has the hashes of short runs with over RARE places, where *items* are only a slice of all; else the automaton counts."""
+        self.min_words, self.cache, self.common = min_words, _Folded(), common
         texts = [(i, normal_words(t or "")) for i, t in items]
         self.items = [(i, w) for i, w in texts if len(w) >= min_words]
         self.vocabulary: dict[str, int] = {}
@@ -243,7 +293,11 @@ class LeakFinder:
     def anchors(self, words: list[str]) -> Iterator[tuple[int, int, int]]:
         """(document end, run length, state) of every longest match that ends, if it is an anchor."""
         a, get = self.automaton, self.vocabulary.get
-        following, link, length, count = a.next, a.link, a.length, a.count
+        following, link, length, count, common = a.next, a.link, a.length, a.count, self.common
+
+        def rare(state: int, end: int, size: int) -> bool:
+            return count[state] <= RARE if common is None else _run_hash(words[end - size + 1 : end + 1]) not in common
+
         state = size = 0
         for at, word in enumerate(words):
             w = get(word, -1)
@@ -251,7 +305,7 @@ class LeakFinder:
             if target is not None:
                 state, size = target, size + 1
                 continue
-            if size >= SHORT and (size >= LONG or count[state] <= RARE):
+            if size >= SHORT and (size >= LONG or rare(state, at - 1, size)):
                 yield at - 1, size, state
             while target is None and state:
                 state = link[state]
@@ -261,15 +315,12 @@ class LeakFinder:
                 state, size = target, size + 1
             else:
                 state = size = 0
-        if size >= SHORT and (size >= LONG or count[state] <= RARE):
+        if size >= SHORT and (size >= LONG or rare(state, len(words) - 1, size)):
             yield len(words) - 1, size, state
 
-    def find(self, text: str | None) -> dict[int, int]:
-        """item_id -> most item words in sequence that *text* holds, for those with at least min_words."""
-        out: dict[int, int] = {}
-        if not text:
-            return out
-        words = normal_words(text, self.cache)
+    def passages(self, words: list[str]) -> dict[int, tuple[int, list[tuple[int, int]]]]:
+        """item_id -> (most item words in sequence, spans (first, last) of *words* that hold at least min_words of the item)."""
+        out: dict[int, tuple[int, list[tuple[int, int]]]] = {}
         if len(words) < self.min_words - 4:
             return out
         done: dict[tuple[int, int], int] = {}
@@ -280,40 +331,88 @@ class LeakFinder:
                     continue
                 item_id, item = self.items[k]
                 right, reached = _extend_side(words, item, end, at, 1)
-                left, _ = _extend_side(words, item, end - size + 1, at - size + 1, -1)
+                left, begun = _extend_side(words, item, end - size + 1, at - size + 1, -1)
                 done[key] = reached
                 total = left + size + right
-                if total >= self.min_words and total > out.get(item_id, 0):
-                    out[item_id] = total
+                if total >= self.min_words:
+                    most, spans = out.get(item_id, (0, []))
+                    out[item_id] = (max(most, total), [*spans, (begun, reached)])
         return out
 
+    def find(self, text: str | None) -> dict[int, int]:
+        """item_id -> most item words in sequence that *text* holds, for those with at least min_words."""
+        return {i: most for i, (most, _) in self.passages(normal_words(text, self.cache)).items()} if text else {}
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans (first, last) in order, those that touch made one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
 
 def leaks(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, item_id, words): items of which a document holds at least *min_words* words in sequence."""
+    found = spans(documents, items, id_col, text_col, min_words)
+    return found.groupBy(id_col, "item_id").agg(F.max("words").alias("words"))
+
+
+def spans(documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, item_id, words, first, last): the leaked stretches of each document, as numbers of its normal words."""
+    data = spread(documents.select(F.col(id_col), F.col(text_col).alias("__text")).where("__text is not null"))
     held = items.select("item_id", "text").where("text is not null")
     size = held.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     slices = max(1, -(-size // MAX_ITEM_CHARS))
-    data = spread(documents.select(F.col(id_col), F.col(text_col).alias("__text")).where("__text is not null"))
-    out = None
+    common = _common_runs(held, min_words) if slices > 1 else None
+    found = []
     for k in range(slices):
         part = [(r.item_id, r.text) for r in held.where(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k).collect()]  # at most MAX_ITEM_CHARS or so
-        found = _search(data, sorted(part, key=lambda p: (p[0] is None, p[0])), min_words)
-        out = found if out is None else out.unionByName(found)
-    return out.groupBy(id_col, "item_id").agg(F.max("words").alias("words"))
+        found.append(_search(data, sorted(part, key=lambda p: (p[0] is None, p[0])), min_words, common))
+    return reduce(DataFrame.unionByName, found)
 
 
-def _search(data: DataFrame, items: list[tuple[int, str]], min_words: int) -> DataFrame:
-    schema = T.StructType([data.schema[0], T.StructField("item_id", T.LongType()), T.StructField("words", T.LongType())])
+def _search(data: DataFrame, items: list[tuple[int, str]], min_words: int, common: frozenset[int] | None = None) -> DataFrame:
+    numbers = ["item_id", "words", "first", "last"]
+    schema = T.StructType([data.schema[0], *[T.StructField(n, T.LongType()) for n in numbers]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = LeakFinder(items, min_words)
+        finder = LeakFinder(items, min_words, common)
         for batch in batches:
-            rows, found, sizes = [], [], []
+            rows = []
             for k, text in enumerate(batch.column(1).to_pylist()):
-                for item, n in finder.find(text).items():
-                    rows.append(k)
-                    found.append(item)
-                    sizes.append(n)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, type=pa.int64())), pa.array(found, type=pa.int64()), pa.array(sizes, type=pa.int64())], names=schema.names)
+                for item, (n, found) in finder.passages(normal_words(text, finder.cache)).items() if text else ():
+                    rows += [(k, item, n, a, b) for a, b in merged(found)]
+            cols = list(zip(*rows)) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(cols[0], type=pa.int64())), *(pa.array(c, type=pa.int64()) for c in cols[1:])], names=schema.names)
+
+    return data.mapInArrow(run, schema)
+
+
+def cleaned(documents: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST, coverage: float = COVERAGE) -> DataFrame:
+    """(doc_id, leaked_words, share, dropped, text): every document with leaks, without its leaked spans.
+
+    A span of *longest* words or more is removed; where spans cover more than *coverage* of the
+    document's words, the whole document is dropped and its text is null.
+    """
+    by_document = found.groupBy(id_col).agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    data = documents.select(F.col(id_col), F.col(text_col).alias("__text")).where("__text is not null").join(if_small(by_document), id_col)
+    schema = T.StructType([data.schema[0], T.StructField("leaked_words", T.LongType()), T.StructField("share", T.DoubleType()), T.StructField("dropped", T.BooleanType()), T.StructField("text", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _Folded()
+        for batch in batches:
+            rows = []
+            for text, held in zip(batch.column("__text").to_pylist(), batch.column("spans").to_pylist()):
+                held = merged([(s["first"], s["last"]) for s in held])
+                n, leaked = len(normal_words(text, cache)), sum(b - a + 1 for a, b in held)
+                dropped = leaked > coverage * n
+                rows.append((leaked, leaked / n, dropped, None if dropped else without_spans(text, [(a, b) for a, b in held if b - a + 1 >= longest], cache)))
+            cols = list(zip(*rows)) if rows else [()] * 4
+            kinds = [pa.int64(), pa.float64(), pa.bool_(), pa.string()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, type=t) for c, t in zip(cols, kinds))], names=schema.names)
 
     return data.mapInArrow(run, schema)

@@ -64,3 +64,40 @@ def test_items_in_slices(spark, monkeypatch):
     docs = spark.createDataFrame([(1, ITEM)], "doc_id bigint, text string")
     items = spark.createDataFrame([(i, ITEM) for i in range(5)], "item_id bigint, text string")
     assert leaks.leaks(docs, items).count() == 5
+
+
+HELD = "the quick brown fox jumps over a lazy dog near the old stone bridge while seven red kites turn slowly above the green valley"
+
+
+def test_spans_are_removed_or_the_document_is_dropped(spark):
+    rest = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"Before it.\n{HELD.upper()}, <b>and</b> after\n{rest}", "x"), (2, HELD, "x"), (3, rest, "x"), (4, None, "x"), (5, f"{rest} {HELD} {rest} {HELD}", "x")], "doc_id bigint, text string, spans string")
+    items = spark.createDataFrame([(7, HELD), (8, None)], "item_id bigint, text string")
+    got = {r.doc_id: r for r in leaks.cleaned(docs, leaks.spans(docs, items)).collect()}
+    n = len(HELD.split())
+    assert set(got) == {1, 2, 5} and got[2].dropped and got[2].text is None and got[2].share == 1.0
+    assert not got[1].dropped and got[1].leaked_words == n and got[1].text.split() == f"Before it. and after {rest}".split()
+    assert got[5].leaked_words == 2 * n and got[5].text.split() == f"{rest} {rest}".split()
+    whole = {r.doc_id: r.text for r in leaks.cleaned(docs, leaks.spans(docs, items), longest=1000).collect()}
+    assert "QUICK" in whole[1]  # under the length limit nothing is cut
+    assert leaks.cleaned(docs, leaks.spans(docs, items.limit(0))).count() == 0
+
+
+def test_slices_of_items_give_the_same(spark, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(30)]
+    texts = ["once upon a time there " + " ".join(rng.choice(words) for _ in range(40)) for _ in range(30)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    docs = spark.createDataFrame([(i, " ".join([*rng.sample(words, 9), *t.split()[2:25], *rng.sample(words, 9)])) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    whole = sorted(map(tuple, leaks.leaks(docs, items).collect()))
+    monkeypatch.setattr(leaks, "MAX_HELD_CHARS", 900)
+    assert len(whole) >= 30 and sorted(map(tuple, leaks.leaks(docs, items).collect())) == whole
+
+
+def test_tags_of_any_length_go():
+    for n in (5, 299, 301, 5000):
+        tag = f'<span title="{"a" * n}">'
+        assert leaks.normal_words(f"one {tag}two</span> three") == ["one", "two", "three"], n
+    assert leaks.normal_words("if 3 < 5 and 7 > 2 then") == ["if", "3", "5", "and", "7", "2", "then"]
