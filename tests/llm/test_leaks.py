@@ -92,7 +92,7 @@ def test_slices_of_items_give_the_same(spark, monkeypatch):
     items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
     docs = spark.createDataFrame([(i, " ".join([*rng.sample(words, 9), *t.split()[2:25], *rng.sample(words, 9)])) for i, t in enumerate(texts)], "doc_id bigint, text string")
     whole = sorted(map(tuple, leaks.leaks(docs, items).collect()))
-    monkeypatch.setattr(leaks, "MAX_HELD_CHARS", 900)
+    monkeypatch.setattr(leaks, "MAX_ITEM_CHARS", 900)
     assert len(whole) >= 30 and sorted(map(tuple, leaks.leaks(docs, items).collect())) == whole
 
 
