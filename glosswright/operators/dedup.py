@@ -111,7 +111,7 @@ def similar_pairs(signed: DataFrame, k: int, threshold: float) -> DataFrame:
 
 
 #: Signatures of a bucket beyond which it is split.
-HOT = 64
+HOT = 128
 CHAINS = 3
 
 
