@@ -51,10 +51,12 @@ def unfit(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("reason", missing).where("reason is not null")
 
 
-def run_edits(chunks: DataFrame, cfg: Edit, model=None, similarity: Similarity = text.sequence_similarity) -> DataFrame:
+def run_edits(chunks: DataFrame, cfg: Edit, model=None, similarity: Similarity = text.sequence_similarity, prompt: str = "{input_text}", system: str = "{instruction}") -> DataFrame:
     """E4 and E5 in one: requests, answers, parsing and gates. A failed answer drops its example only."""
     asked = edit_requests(chunks, cfg)
-    answered = complete(asked, "instruction", "input_text", model).withColumn("parsed", parsing.between(F.col("answer"), *parsing.MARKS["edit"]))
+    values = {c: F.col(c) for c in ("instruction", "input_text", "edit_brief", "title", "video_id", "chunk_index") if c in asked.columns}
+    asked = asked.withColumn("system", parsing.fill(system, **values)).withColumn("prompt", parsing.fill(prompt, **values))
+    answered = complete(asked, "system", "prompt", model).drop("system", "prompt").withColumn("parsed", parsing.between(F.col("answer"), *parsing.MARKS["edit"]))
     measured = edit_metrics(answered.withColumn("output_text", F.col("parsed.value")), similarity)
     fail = F.when(F.col("error").isNotNull() | F.col("parsed.error").isNotNull(), "llm_or_parse_error")
     judged = edit_decisions(measured.where(fail.isNull()), cfg)
@@ -83,14 +85,14 @@ def talk_decisions(chats: DataFrame, cfg: Talk, similarity: Similarity = text.se
     return rules.decide(m, gates, "accepted", "rejected")
 
 
-def run_talks(chunks: DataFrame, cfg: Talk, model=None, prompt: str = "{source_excerpt}", source: str = "normalized_excerpt", similarity: Similarity = text.sequence_similarity) -> DataFrame:
+def run_talks(chunks: DataFrame, cfg: Talk, model=None, prompt: str = "{source_excerpt}", system: str = "", source: str = "normalized_excerpt", similarity: Similarity = text.sequence_similarity) -> DataFrame:
     """E3 in one: prompts, answers, parsing and gates for chunks that are long enough."""
     text_of = F.col(source)
     asked = chunks.where(text.approx_token_count(text_of) >= cfg.min_source_tokens).withColumn("source_text", text_of)
     clarify = F.when(must_ask(cfg, F.col("video_id"), F.col("chunk_index")), "yes").otherwise("no")
     values = {"title": F.col("title"), "video_id": F.col("video_id"), "chunk_index": F.col("chunk_index"), "source_excerpt": text_of, "topic_hint": text.topic_hint(text_of), "turn_pairs": F.lit(cfg.turn_pairs)}
     values |= {"target_tokens_per_assistant_turn": F.lit(cfg.target_tokens_per_assistant_turn), "requires_clarifying_question": clarify}
-    asked = asked.withColumn("system", F.lit("")).withColumn("prompt", parsing.fill(prompt, **values))
+    asked = asked.withColumn("system", parsing.fill(system, **values)).withColumn("prompt", parsing.fill(prompt, **values))
     answered = cut(complete(asked, "system", "prompt", model)).withColumn("block", parsing.between(F.col("answer"), *parsing.MARKS["talk"]))
     parsed = answered.withColumn("chat", parsing.chat_messages(F.col("block.value"), cfg.turn_pairs)).withColumn("messages", F.col("chat.messages"))
     good = F.col("error").isNull() & F.col("messages").isNotNull()

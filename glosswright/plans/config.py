@@ -35,6 +35,13 @@ def _ordered(name: str, low: float | None, high: float | None) -> None:
     _check(low is None or high is None or low <= high, f"{name}: the lower bound is over the upper one")
 
 
+def _from(name: str, value: float | None, least: float, over: bool = False) -> None:
+    _check(value is None or (value > least if over else value >= least), f"{name} must be {'over' if over else 'at least'} {least:g}")
+
+
+#: The names and defaults of all settings below are those of the settings files in use.
+
+
 @dataclass(frozen=True)
 class Download:
     include_shorts: bool = False
@@ -66,6 +73,7 @@ class Normalize:
 
     def __post_init__(self):
         _check(0 < self.chunk_target_chars <= self.chunk_hard_max_chars, "need 0 < chunk_target_chars <= chunk_hard_max_chars")
+        _from("chunk_target_chars", self.chunk_target_chars, 200)
         _check(0 <= self.chunk_overlap_chars < self.chunk_target_chars, "chunk_overlap_chars must be under chunk_target_chars")
 
 
@@ -93,6 +101,11 @@ class Filter:
     normalize_min_similarity: float | None = 0.65
 
     def __post_init__(self):
+        for name in ("min_words", "min_tokens"):
+            _from(name, getattr(self, name), 0)
+        for name in ("normalize_min_token_ratio", "normalize_max_token_ratio", "normalize_min_length_ratio", "normalize_max_length_ratio"):
+            _from(name, getattr(self, name), 0, over=True)
+        _check(bool(self.language_allowlist), "language_allowlist is empty")
         _unit("dedup_threshold", self.dedup_threshold)
         _unit("min_quality_score", self.min_quality_score)
         _unit("normalize_min_similarity", self.normalize_min_similarity)
@@ -111,6 +124,8 @@ class Talk:
 
     def __post_init__(self):
         _check(self.turn_pairs > 0, "turn_pairs must be positive")
+        _from("target_tokens_per_assistant_turn", self.target_tokens_per_assistant_turn, 0, over=True)
+        _from("min_source_tokens", self.min_source_tokens, 0)
         for name in ("clarifying_question_probability", "max_copy_similarity", "min_novel_token_ratio"):
             _unit(name, getattr(self, name))
 
@@ -132,6 +147,12 @@ class Edit:
     def __post_init__(self):
         _check(bool(self.briefs) and set(self.briefs) <= set(BRIEFS), "unknown brief")
         _check(self.examples_per_chunk > 0, "examples_per_chunk must be positive")
+        for name in ("min_source_tokens", "tighten_ratio_tolerance", "max_new_named_entities"):
+            _from(name, getattr(self, name), 0)
+        for name in ("tighten_target_ratio", "expand_min_ratio", "expand_max_ratio"):
+            _from(name, getattr(self, name), 0, over=True)
+        for name in ("cleanup_min_similarity", "cleanup_max_similarity"):
+            _unit(name, getattr(self, name))
         _ordered("cleanup similarity", self.cleanup_min_similarity, self.cleanup_max_similarity)
         _ordered("expand ratio", self.expand_min_ratio, self.expand_max_ratio)
 
@@ -159,6 +180,9 @@ class Evaluate:
     enabled: bool = True
     num_generation_samples: int = 3
 
+    def __post_init__(self):
+        _from("num_generation_samples", self.num_generation_samples, 0)
+
 
 @dataclass(frozen=True)
 class Pipeline:
@@ -198,12 +222,7 @@ class Settings:
     @classmethod
     def load(cls, path: str | Path) -> Settings:
         """From JSON, or from YAML where a YAML library is there."""
-        text = Path(path).read_text("utf-8")
-        if str(path).endswith((".yaml", ".yml")):
-            import yaml
-
-            return cls.from_dict(yaml.safe_load(text) or {})
-        return cls.from_dict(json.loads(text))
+        return cls.from_dict(_read(path) or {})
 
     def fingerprint(self, *files: str | Path) -> str:
         """H5: settings and the bytes of the files they point to."""
@@ -217,6 +236,32 @@ class Settings:
         return getattr(getattr(self, stage, None), "enabled", True)
 
 
+@dataclass(frozen=True)
+class PromptTemplate:
+    """A named pair of system prompt and user prompt with {names} to fill."""
+
+    name: str
+    system_prompt: str
+    user_prompt_template: str
+
+    @classmethod
+    def load(cls, path: str | Path) -> PromptTemplate:
+        """Strict: exactly the three fields, all of them texts; JSON, or YAML where a YAML library is there."""
+        values = _read(path)
+        fields = {f.name for f in dataclasses.fields(cls)}
+        _check(isinstance(values, dict) and set(values) == fields and all(isinstance(v, str) for v in values.values()), f"{path} needs the texts {sorted(fields)} and no other")
+        return cls(**values)
+
+
+def _read(path: str | Path) -> Any:
+    text = Path(path).read_text("utf-8")
+    if str(path).endswith((".yaml", ".yml")):
+        import yaml
+
+        return yaml.safe_load(text)
+    return json.loads(text)
+
+
 def beside(base: str | Path, path: str | Path) -> Path:
     """A path relative to the folder of the settings file."""
     p = Path(path).expanduser()

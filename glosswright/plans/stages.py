@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from glosswright import external
 from glosswright.functions import hashing, parsing, text
 from glosswright.operators import dedup, generate, rules, sequences, tables
-from glosswright.plans.config import Settings
+from glosswright.plans.config import PromptTemplate, Settings
 from glosswright.runtime import cut
 from glosswright.sources import readers, writers
 
@@ -45,6 +46,18 @@ class Services:
     evaluate: Callable[[str, str, str], object] | None = None
     normalize_prompt: str = "{text}"
     talk_prompt: str = "{source_excerpt}"
+    talk_system: str = ""
+    edit_prompt: str = "{input_text}"
+    edit_system: str = "{instruction}"
+
+
+def with_templates(services: Services, talk: PromptTemplate | None = None, edit: PromptTemplate | None = None) -> Services:
+    """Services with the prompts of templates."""
+    given = {}
+    for name, t in (("talk", talk), ("edit", edit)):
+        if t:
+            given |= {f"{name}_system": t.system_prompt, f"{name}_prompt": t.user_prompt_template}
+    return dataclasses.replace(services, **given)
 
 
 def staged(catalog: str, transcripts: str) -> dict[str, Callable[[SparkSession, Settings], DataFrame]]:
@@ -192,11 +205,11 @@ def stage_functions(services: Services | None = None) -> dict[str, Callable]:
         chunks = plain(results(spark, manifest, "normalize", part(run, "normalize", "chunks"))).join(kept, "video_id", "left_semi")
         listed = F.to_json(F.array_sort(F.collect_list(F.struct("chunk_index", "normalized_excerpt_sha256", "raw_excerpt_sha256", "title"))))
         items = chunks.groupBy("video_id").agg(listed.alias("chunks"))
-        todo = misses(manifest, "generate", keyed(items, [run.settings.edit, run.settings.talk, s.talk_prompt], chunks=F.col("chunks")).drop("chunks"))
+        todo = misses(manifest, "generate", keyed(items, [run.settings.edit, run.settings.talk, s.talk_prompt, s.talk_system, s.edit_prompt, s.edit_system], chunks=F.col("chunks")).drop("chunks"))
         asked = cut(chunks.join(todo, "video_id"))
         edit = asked if run.settings.edit.use_normalized_input else asked.withColumn("normalized_excerpt", F.col("text"))
-        edits = generate.run_edits(edit, run.settings.edit, needed(s, "edit")).withColumn("generator", F.lit("editorial_rewrite"))
-        talks = generate.run_talks(asked, run.settings.talk, needed(s, "talk"), s.talk_prompt).withColumn("generator", F.lit("talk_as_creator"))
+        edits = generate.run_edits(edit, run.settings.edit, needed(s, "edit"), prompt=s.edit_prompt, system=s.edit_system).withColumn("generator", F.lit("editorial_rewrite"))
+        talks = generate.run_talks(asked, run.settings.talk, needed(s, "talk"), s.talk_prompt, s.talk_system).withColumn("generator", F.lit("talk_as_creator"))
         user = F.struct(F.lit("user").alias("role"), F.concat_ws("\n\n", "instruction", "input_text").alias("content"))
         edits = edits.withColumn("messages", F.array(user, F.struct(F.lit("assistant").alias("role"), F.col("output_text").alias("content"))))
         names = ("item_id", "input_hash", "generator", "video_id", "chunk_index", "edit_brief", "instruction", "input_text", "output_text", "messages", "metadata", "status", "reason")

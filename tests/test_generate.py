@@ -49,3 +49,42 @@ def test_queries_reach_every_gate(spark):
     assert asked.where("reason = 'missing_clarifying_question'").count() > 0
     cascade = catalog.queries()["op_p7_excerpt_cascade"](spark, SF)
     assert cascade.where("normalize_similarity is null").count() == 0 and cascade.where("outcome = 'normalize_similarity'").count() > 0
+
+
+def _echo():
+    return lambda system, user: f"<<<EDIT_OUTPUT_START>>>\n{system} / {user}\n<<<EDIT_OUTPUT_END>>>"
+
+
+def test_instruction_and_prompts_reach_the_model(spark):
+    from glosswright.plans.config import BRIEFS
+
+    chunks = spark.createDataFrame([("v", k, " ".join([FORWARD] * 3)) for k in range(4)], "video_id string, chunk_index bigint, normalized_excerpt string")
+    got = {r.edit_brief: r.output_text for r in generate.run_edits(chunks, Edit(), _echo).collect()}
+    assert set(got) == set(BRIEFS) and all(t.startswith(f"{BRIEFS[b]} / {FORWARD}") for b, t in got.items())
+    got = {r.edit_brief: r.output_text for r in generate.run_edits(chunks, Edit(), _echo, prompt="Do: {instruction}\n{input_text}", system="You edit {video_id}.").collect()}
+    assert all(t.startswith(f"You edit v. / Do: {BRIEFS[b]}\n{FORWARD}") for b, t in got.items())
+
+
+def test_templates_and_bounds_of_settings(tmp_path):
+    import json
+
+    from glosswright.plans.config import Evaluate, Filter, Normalize, PromptTemplate
+    from glosswright.plans.stages import Services, with_templates
+
+    path = tmp_path / "t.json"
+    path.write_text(json.dumps({"name": "n", "system_prompt": "s", "user_prompt_template": "u {title}"}))
+    services = with_templates(Services(), talk=PromptTemplate.load(path))
+    assert (services.talk_system, services.talk_prompt, services.edit_prompt) == ("s", "u {title}", "{input_text}")
+    path.write_text(json.dumps({"name": "n", "system_prompt": "s"}))
+    with pytest.raises(ValueError):
+        PromptTemplate.load(path)
+    wrong = [lambda: Normalize(chunk_target_chars=199), lambda: Filter(min_words=-1), lambda: Filter(normalize_min_token_ratio=0.0), lambda: Filter(language_allowlist=()), lambda: Talk(target_tokens_per_assistant_turn=0), lambda: Edit(tighten_target_ratio=0), lambda: Evaluate(num_generation_samples=-1)]
+    for make in wrong:
+        with pytest.raises(ValueError):
+            make()
+
+
+def test_metadata_has_sixteen_fields(spark):
+    df = spark.createDataFrame([("v", 1)], "video_id string, chunk_index bigint").withColumn("normalized_excerpt_path", F.lit("p"))
+    m = df.select(generate.metadata("g", "1", "t", df.columns).alias("m")).first().m
+    assert len(m) == 16 and m.source_excerpt_path == m.normalized_excerpt_path == "p" and m.raw_excerpt_sha256 is None
