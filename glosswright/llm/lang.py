@@ -111,16 +111,17 @@ class CharacterModel:
         marked = f"<{word}>"
         return [marked[k : k + 3] for k in range(len(marked) - 2)]
 
-    def rows(self, words: list[str]) -> np.ndarray:
-        """For each word its runs of letters and the sum of their log probabilities in each language."""
-        if len(self.cache) > 300_000:  # memory stays bounded
-            self.cache.clear()
-        get = self.cache.get
-        found = [k if (k := get(w)) is not None else self._number(w) for w in words]
-        return self.table[found] if found else np.zeros((0, 1 + len(ORDER)))
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """A number under 2**20 for each word, rows of self.table; those of one call fit together."""
+        if len(self.cache) + len(words) > 1 << 20 and len(self.cache) > len(words):
+            self.forget()  # memory stays bounded
+        found = list(map(self.cache.get, words))
+        if None in found:
+            found = [self._number(w) if k is None else k for k, w in zip(found, words)]
+        return np.array(found, dtype=np.int64)
 
     def _number(self, word: str) -> int:
-        k, grams = len(self.cache), self.grams(word)
+        k, grams = self.cache.get(word, len(self.cache)), self.grams(word)
         if k >= len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
         self.table[k, 0] = len(grams)
@@ -134,7 +135,8 @@ class CharacterModel:
 
     def sums(self, words: list[str]) -> np.ndarray:
         """Runs of letters in *words*, then the sum of their log probabilities in each language."""
-        return self.rows(words).sum(0)
+        at = self.numbers(words)  # first, as it may grow the table
+        return self.table[at].sum(0)
 
     def unlike(self, sums: np.ndarray) -> np.ndarray:
         """For each language, how many spreads below its usual score the words are."""
@@ -142,11 +144,13 @@ class CharacterModel:
 
     def guess(self, sums: np.ndarray) -> str | None:
         """The language of words with these sums, OTHER, or None where too little tells."""
-        if sums[0] < self.LEAST:
+        runs, *totals = sums.tolist()
+        if runs < self.LEAST:
             return None
-        mean = sums[1:] / sums[0]
-        best, second = np.argsort(mean)[[-1, -2]]
+        means = [t / runs for t in totals]
+        best = max(range(len(means)), key=means.__getitem__)
+        usual, spread = self.usual[best].tolist()
         # the longer a text, the less its mean strays
-        if self.unlike(sums)[best] > self.UNLIKE * max(0.5, min(1.0, (50 / sums[0]) ** 0.5)):
+        if (usual - means[best]) / spread > self.UNLIKE * max(0.5, min(1.0, (50 / runs) ** 0.5)):
             return self.OTHER
-        return ORDER[best] if mean[best] - mean[second] >= self.MARGIN else None
+        return ORDER[best] if means[best] - max(m for k, m in enumerate(means) if k != best) >= self.MARGIN else None
