@@ -872,10 +872,10 @@ def op_x7_stage_entry(spark, sf):
     return e.select("video_id", "entry.status", F.col("entry.metrics.media_size_bytes").alias("bytes"))
 
 
-@query("select distinct video_id, chunk_index, segment_start_idx as first from chunk_records")
+@query("select distinct video_id, chunk_index, segment_start_idx as first_index from chunk_records")
 def op_m20_strict_int(spark, sf):
     """Whole numbers out of texts; anything else would fail the query."""
-    c = table(spark, sf, "chunk_records").select("video_id", *[parsing.strict_int(F.col(a).cast("string"), a).alias(b) for a, b in (("chunk_index", "chunk_index"), ("segment_start_idx", "first"))])
+    c = table(spark, sf, "chunk_records").select("video_id", *[parsing.strict_int(F.col(a).cast("string"), a).alias(b) for a, b in (("chunk_index", "chunk_index"), ("segment_start_idx", "first_index"))])
     return c.distinct()
 
 
@@ -886,13 +886,13 @@ def op_p9_required(spark, sf):
     return m.select("video_id", rules.required("quality_score", "analyze").alias("quality_score")).distinct()
 
 
-@query("select distinct video_id, segment_index, start_time as start, end_time as end, trim(text) as said from transcript_segments where trim(text) <> ''")
+@query("select distinct video_id, segment_index, start_time, end_time, trim(text) as said from transcript_segments where trim(text) <> ''")
 def op_s11_timed_segments(spark, sf):
     """Segments as a transcript file holds them, read again: trimmed, with their times."""
     s = F.struct(F.col("start_time").alias("start"), F.col("end_time").alias("end"), "text")
     content = F.to_json(F.struct(F.array(s).alias("segments"), F.lit("").alias("text")))
     rows = table(spark, sf, "transcript_segments").select("video_id", "segment_index", F.explode(readers.transcript_segments(content)).alias("s"))
-    return rows.select("video_id", "segment_index", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.text").alias("said")).distinct()
+    return rows.select("video_id", "segment_index", F.col("s.start").alias("start_time"), F.col("s.end").alias("end_time"), F.col("s.text").alias("said")).distinct()
 
 
 def _talk_in_turns():
