@@ -99,8 +99,10 @@ def similar_pairs(signed: DataFrame, k: int, threshold: float) -> DataFrame:
     plain_rows = rows.join(if_small(hot), ["band", "h"], "left_anti")
     found = _meet(plain_rows, ["band", "h"], near)
     if not hot.isEmpty():
-        split = _second_bands(signed, edges, bands, k).join(if_small(hot), ["band", "h"], "left_semi")
-        split = split.join(signed.select("key", *bits).distinct(), "key").select("key", *sketch, "band", "h", F.posexplode("seconds").alias("second", "g")).distinct()
+        crowded = cut(rows.join(if_small(hot), ["band", "h"], "left_semi"))
+        whole = signed.select("key", "signature").join(if_small(crowded.select("key").distinct()), "key", "left_semi").groupBy("key").agg(F.first("signature").alias("signature"))
+        # only rows of such buckets get second bands, each those of its own band
+        split = crowded.join(whole, "key").select("key", *sketch, "band", "h", F.posexplode(_second_bands(F.col("band"), edges, bands, k)).alias("second", "g"))
         found = found.unionByName(_meet(split, ["band", "h", "second", "g"], near))
     found = cut(found.distinct())
     wanted = if_small(found.select(F.col("a").alias("key")).unionByName(found.select(F.col("b").alias("key"))).distinct())
@@ -120,17 +122,16 @@ def _meet(rows: DataFrame, bucket: list[str], near: Column) -> DataFrame:
     return rows.alias("l").join(rows.alias("r"), bucket).where(F.col("l.key") < F.col("r.key")).where(near).select(F.col("l.key").alias("a"), F.col("r.key").alias("b"))
 
 
-def _second_bands(signed: DataFrame, edges: list[int], bands: int, k: int) -> DataFrame:
-    """(key, band, h, seconds): for each band the hashes of *bands* bands of all other places."""
+def _second_bands(band: Column, edges: list[int], bands: int, k: int) -> Column:
+    """The hashes of *bands* bands of all places of ``signature`` outside *band*."""
     left = k - max(b - a for a, b in zip(edges, edges[1:]))
     inner = [left * i // bands for i in range(bands)] + [k]  # the last one takes what is over
-
-    def one(i: int, a: int, b: int) -> Column:
-        rest = F.concat(F.slice("signature", 1, a), F.slice("signature", b + 1, k))
-        seconds = F.array(*[F.xxhash64(F.slice(rest, x + 1, y - x)) for x, y in zip(inner, inner[1:])])
-        return F.struct(F.lit(i).cast("short").alias("band"), F.xxhash64(F.slice("signature", a + 1, b - a)).alias("h"), seconds.alias("seconds"))
-
-    return signed.select("key", F.explode(F.array(*[one(i, a, b) for i, (a, b) in enumerate(zip(edges, edges[1:]))])).alias("x")).select("key", "x.*")
+    rest = F.lit(None).cast("array<int>")
+    for i, (a, b) in reversed(list(enumerate(zip(edges, edges[1:])))):
+        rest = F.when(band == i, F.concat(F.slice("signature", 1, a), F.slice("signature", b + 1, k))).otherwise(rest)
+    cuts = F.array(*[F.struct(F.lit(x + 1).alias("at"), F.lit(y - x).alias("n")) for x, y in zip(inner, inner[1:])])
+    # one array of the rest, sliced in a lambda, so that it is not written out once for every second band
+    return F.get(F.transform(F.array(rest), lambda r: F.transform(cuts, lambda c: F.xxhash64(F.slice(r, c["at"], c["n"])))), F.lit(0))
 
 
 def _along_chains(open_pairs: DataFrame, heads: DataFrame) -> DataFrame:
