@@ -93,18 +93,7 @@ def similar_pairs(signed: DataFrame, k: int, threshold: float) -> DataFrame:
     busy = cut(banded.where("low <> high").select("band", "h"))
     rows = signed.select("key", *bits, F.explode(pieces).alias("x")).select("key", *sketch, "x.*").join(if_small(busy), ["band", "h"], "left_semi").distinct()
     near = sum((F.bit_count(F.col(f"l.{c}").bitwiseXOR(F.col(f"r.{c}"))) for c in sketch), F.lit(0)) <= k - m
-    # a bucket that many signatures share is split by a second band of the places outside the first: of what is left no
-    # more than k - m places differ either, so again one of k - m + 1 bands agrees and no pair is lost
-    hot = cut(rows.groupBy("band", "h").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("band", "h"))
-    plain_rows = rows.join(if_small(hot), ["band", "h"], "left_anti")
-    found = _meet(plain_rows, ["band", "h"], near)
-    if not hot.isEmpty():
-        crowded = cut(rows.join(if_small(hot), ["band", "h"], "left_semi"))
-        whole = signed.select("key", "signature").join(if_small(crowded.select("key").distinct()), "key", "left_semi").groupBy("key").agg(F.first("signature").alias("signature"))
-        # only rows of such buckets get second bands, each those of its own band
-        split = crowded.join(whole, "key").select("key", *sketch, "band", "h", F.posexplode(_second_bands(F.col("band"), edges, bands, k)).alias("second", "g"))
-        found = found.unionByName(_meet(split, ["band", "h", "second", "g"], near))
-    found = cut(found.distinct())
+    found = cut(_meet(rows, ["band", "h"], near).distinct())
     wanted = if_small(found.select(F.col("a").alias("key")).unionByName(found.select(F.col("b").alias("key"))).distinct())
     whole = cut(signed.select("key", "signature").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("signature").alias("s")))
     equal = F.aggregate(F.zip_with("s", "t", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, e: n + e)
@@ -112,8 +101,7 @@ def similar_pairs(signed: DataFrame, k: int, threshold: float) -> DataFrame:
     return found.join(left, "a").join(right, "b").where(equal >= m).select("a", "b")
 
 
-#: Signatures of a bucket beyond which it is split.
-HOT = 128
+#: Round from which chains are decided along their length.
 CHAINS = 3
 
 
@@ -122,18 +110,6 @@ def _meet(rows: DataFrame, bucket: list[str], near: Column) -> DataFrame:
     return rows.alias("l").join(rows.alias("r"), bucket).where(F.col("l.key") < F.col("r.key")).where(near).select(F.col("l.key").alias("a"), F.col("r.key").alias("b"))
 
 
-def _second_bands(band: Column, edges: list[int], bands: int, k: int) -> Column:
-    """The hashes of *bands* bands of all places of ``signature`` outside *band*."""
-    left = k - max(b - a for a, b in zip(edges, edges[1:]))
-    inner = [left * i // bands for i in range(bands)] + [k]  # the last one takes what is over
-    rest = F.lit(None).cast("array<int>")
-    for i, (a, b) in reversed(list(enumerate(zip(edges, edges[1:])))):
-        rest = F.when(band == i, F.concat(F.slice("signature", 1, a), F.slice("signature", b + 1, k))).otherwise(rest)
-    cuts = F.array(*[F.struct(F.lit(x + 1).alias("at"), F.lit(y - x).alias("n")) for x, y in zip(inner, inner[1:])])
-    # one array of the rest, sliced in a lambda, so that it is not written out once for every second band
-    return F.get(F.transform(F.array(rest), lambda r: F.transform(cuts, lambda c: F.xxhash64(F.slice(r, c["at"], c["n"])))), F.lit(0))
-
-
 def _along_chains(open_pairs: DataFrame, heads: DataFrame) -> DataFrame:
     """(rank): nodes that are kept because they lie an even number of steps from a head, each step to a node's only earlier neighbour.
 

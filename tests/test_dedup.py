@@ -44,11 +44,6 @@ def test_random_signatures_equal_the_walk(spark):
     assert resolve(spark, signatures, 16, 0.85) == greedy(signatures, 0.85)
 
 
-def test_hot_buckets_lose_nothing(spark, monkeypatch):
-    monkeypatch.setattr(dedup, "HOT", 2)
-    test_random_signatures_equal_the_walk(spark)
-
-
 def test_a_chain_is_decided_in_few_rounds(spark, monkeypatch):
     n, s, chain = 120, list(range(10)), {}
     for i in range(n):
@@ -62,17 +57,6 @@ def test_a_chain_is_decided_in_few_rounds(spark, monkeypatch):
     assert len(rounds) <= 2
 
 
-def test_many_signatures_that_share_a_band(spark):
-    n, k = 20_000, 128
-    rng = np.random.default_rng(2)
-    values = rng.integers(0, 1 << 30, (n, k)).astype(int)
-    values[:, :7] = 5
-    values[1] = values[0]
-    values[1, 100:110] = 3
-    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "key bigint, signature array<int>").repartition(8)
-    assert [(r.a, r.b) for r in dedup.similar_pairs(df, k, 0.85).collect()] == [(0, 1)]
-
-
 def test_signatures(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, "C b, a!"), (3, None), (4, ""), (5, "x " * 9000)], "doc_id bigint, text string")
     s = {r.doc_id: r.signature for r in dedup.signatures(docs, "doc_id", "text", 32).collect()}
