@@ -15,6 +15,60 @@ def _sums(x: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - counts]
 
 
+class Batch:
+    """Sequences with their tags, laid out for the gradient of their likelihood."""
+
+    def __init__(self, sequences: list[np.ndarray], tags: list[np.ndarray], n_tags: int, sparse: list[Sparse] | None = None, size: int = 0):
+        longest_first = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
+        sequences, tags = [sequences[i] for i in longest_first], [tags[i] for i in longest_first]
+        sparse = [sparse[i] for i in longest_first] if sparse else None
+        b, t = len(sequences), len(sequences[0])
+        self.n_tags, self.size, self.shape, self.sparse = n_tags, size, (b, t, n_tags), bool(sparse)
+        lengths = np.array([len(s) for s in sequences])
+        self.live = [int((lengths > k).sum()) for k in range(t)]  # sequences that reach place k: the first so many
+        self.x, y = np.concatenate(sequences), np.concatenate(tags)
+        self.mask = np.arange(t) < lengths[:, None]
+        gold = np.zeros(self.shape)
+        gold[self.mask] = self.gold = np.eye(n_tags)[y]
+        self.pair_gold = np.einsum("bti,btj->ij", gold[:, :-1], gold[:, 1:])
+        if sparse:
+            self.index, self.value, self.counts = (np.concatenate([s[k] for s in sparse]) for k in range(3))
+            self.place = np.repeat(np.arange(len(self.x)), self.counts)
+
+    def gradient(self, emission: np.ndarray, transition: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
+        """Of the mean log likelihood, by the dense and transition weights and by the hashed ones."""
+        (b, t, n_tags), live, mask = self.shape, self.live, self.mask
+        flat = self.x @ emission
+        if self.sparse:
+            flat += np.stack([_sums(h[k, self.index] * self.value, self.counts) for k in range(n_tags)], axis=1)
+        score = np.zeros(self.shape)
+        score[mask] = flat
+        # exponentials are taken against the best tag of each place, so that they stay in range
+        top = score.max(2, keepdims=True)
+        local, step_to = np.exp(score - top), np.exp(transition - transition.max())
+        alpha, beta = np.zeros_like(score), np.ones_like(score)
+        alpha[:, 0] = local[:, 0] / local[:, 0].sum(1, keepdims=True)
+        for k in range(1, t):
+            n = live[k]
+            a = (alpha[:n, k - 1] @ step_to) * local[:n, k]
+            alpha[:n, k] = a / a.sum(1, keepdims=True)
+        pair = np.zeros((n_tags, n_tags))
+        for k in range(t - 2, -1, -1):
+            n = live[k + 1]
+            ahead = local[:n, k + 1] * beta[:n, k + 1]
+            both = alpha[:n, k, :, None] * step_to * ahead[:, None, :]
+            pair += (both / both.sum((1, 2), keepdims=True)).sum(0)
+            back = ahead @ step_to.T
+            beta[:n, k] = back / back.sum(1, keepdims=True)
+        node = alpha * beta
+        node = node[mask]
+        miss = self.gold - node / node.sum(1, keepdims=True)
+        dense = np.concatenate([(self.x.T @ miss).ravel(), (self.pair_gold - pair).ravel()]) / b
+        if not self.sparse:
+            return [dense, np.zeros_like(h)]
+        return [dense, np.stack([np.bincount(self.index, weights=miss[self.place, k] * self.value, minlength=self.size) for k in range(n_tags)]) / b]
+
+
 class ChainCRF:
     """Scores a tag sequence by x·W and its hashed features per place plus a weight per pair of neighbouring tags."""
 
@@ -24,58 +78,38 @@ class ChainCRF:
     @classmethod
     def fit(cls, sequences: list[np.ndarray], tags: list[np.ndarray], n_tags: int, steps: int = 250, rate: float = 0.15, l2: float = 1e-3, sparse: list[Sparse] | None = None, size: int = 0) -> ChainCRF:
         """Maximum likelihood with Adam; scaled forward-backward gives the expectations."""
-        longest_first = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-        sequences, tags = [sequences[i] for i in longest_first], [tags[i] for i in longest_first]
-        sparse = [sparse[i] for i in longest_first] if sparse else None
-        b, t, d = len(sequences), len(sequences[0]), sequences[0].shape[1]
-        lengths = np.array([len(s) for s in sequences])
-        live = [int((lengths > k).sum()) for k in range(t)]  # sequences that reach place k: the first so many
-        x, y = np.concatenate(sequences), np.concatenate(tags)
-        mask = np.arange(t) < lengths[:, None]
-        gold = np.zeros((b, t, n_tags))
-        gold[mask] = np.eye(n_tags)[y]
-        pair_gold = np.einsum("bti,btj->ij", gold[:, :-1], gold[:, 1:])
-        if sparse:
-            index, value, counts = (np.concatenate([s[k] for s in sparse]) for k in range(3))
-            place = np.repeat(np.arange(len(x)), counts)
+        return cls.fit_batches([Batch(sequences, tags, n_tags, sparse, size)], steps, rate, l2)
+
+    @classmethod
+    def fit_batches(cls, batches: list[Batch], steps: int = 250, rate: float = 0.15, l2: float = 1e-3) -> ChainCRF:
+        """Adam on one batch after the other, again and again for at least *steps* steps and whole rounds; the weights are the mean over the last round."""
+        rounds, first = -(-steps // len(batches)), batches[0]
+        d, n_tags, size = first.x.shape[1], first.n_tags, first.size
         n_dense = d * n_tags
         w = np.zeros(n_dense + n_tags * n_tags)
         h = np.zeros((n_tags, size))
         moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (w, h)]
-        for step in range(1, steps + 1):
-            emission, transition = w[:n_dense].reshape(d, n_tags), w[n_dense:].reshape(n_tags, n_tags)
-            flat = x @ emission
-            if sparse:
-                flat += np.stack([_sums(h[k, index] * value, counts) for k in range(n_tags)], axis=1)
-            score = np.zeros((b, t, n_tags))
-            score[mask] = flat
-            # exponentials are taken against the best tag of each place, so that they stay in range
-            top = score.max(2, keepdims=True)
-            local, step_to = np.exp(score - top), np.exp(transition - transition.max())
-            alpha, beta = np.zeros_like(score), np.ones_like(score)
-            alpha[:, 0] = local[:, 0] / local[:, 0].sum(1, keepdims=True)
-            for k in range(1, t):
-                n = live[k]
-                a = (alpha[:n, k - 1] @ step_to) * local[:n, k]
-                alpha[:n, k] = a / a.sum(1, keepdims=True)
-            pair = np.zeros((n_tags, n_tags))
-            for k in range(t - 2, -1, -1):
-                n = live[k + 1]
-                ahead = local[:n, k + 1] * beta[:n, k + 1]
-                both = alpha[:n, k, :, None] * step_to * ahead[:, None, :]
-                pair += (both / both.sum((1, 2), keepdims=True)).sum(0)
-                back = ahead @ step_to.T
-                beta[:n, k] = back / back.sum(1, keepdims=True)
-            node = alpha * beta
-            node = node[mask]
-            miss = gold[mask] - node / node.sum(1, keepdims=True)
-            grads = [np.concatenate([(x.T @ miss).ravel(), (pair_gold - pair).ravel()]) / b - l2 * w]
-            grads.append(np.stack([np.bincount(index, weights=miss[place, k] * value, minlength=size) for k in range(n_tags)]) / b - l2 * h if sparse else h)
+        mean = [np.zeros_like(p) for p in (w, h)]
+        for step in range(1, rounds * len(batches) + 1):
+            grads = batches[(step - 1) % len(batches)].gradient(w[:n_dense].reshape(d, n_tags), w[n_dense:].reshape(n_tags, n_tags), h)
             for p, g, (m, v) in zip((w, h), grads, moments):
-                m += 0.1 * (g - m)
-                v += 0.001 * (g**2 - v)
+                m += 0.1 * (g - l2 * p - m)
+                v += 0.001 * ((g - l2 * p) ** 2 - v)
                 p += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        return cls(w[:n_dense].reshape(d, n_tags), w[n_dense:].reshape(n_tags, n_tags), np.ascontiguousarray(h.T) if sparse else None)
+            if step > (rounds - 1) * len(batches):
+                for total, p in zip(mean, (w, h)):
+                    total += p / len(batches)
+        w, h = mean
+        return cls(w[:n_dense].reshape(d, n_tags), w[n_dense:].reshape(n_tags, n_tags), np.ascontiguousarray(h.T) if first.sparse else None)
+
+    def weights(self) -> np.ndarray:
+        """All weights in one row, as from_weights takes them."""
+        return np.concatenate([self.emission.ravel(), self.transition.ravel(), self.hashed.ravel()])
+
+    @classmethod
+    def from_weights(cls, weights: np.ndarray, d: int, n_tags: int) -> ChainCRF:
+        emission, transition, hashed = np.split(weights, [d * n_tags, d * n_tags + n_tags * n_tags])
+        return cls(emission.reshape(d, n_tags), transition.reshape(n_tags, n_tags), hashed.reshape(-1, n_tags))
 
     def decode(self, sequences: list[np.ndarray], sparse: list[Sparse] | None = None) -> list[np.ndarray]:
         """Best tag sequence of each (Viterbi, all sequences of a place at once, longest first)."""

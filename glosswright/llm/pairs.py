@@ -5,9 +5,12 @@ refusal, echo, foreign or unfinished from the clause's hashed words and word pai
 overlap with the prompt, its place, how the response ends and how like the expected language
 its letters are; the share of the response that each tag covers decides on the pair's defect.
 A copy is then checked word by word, and a language by the whole response. The field is
-fitted on pairs made from a bounded sample of prompts (SAMPLE_ROWS) whose defects are known
-because they were put there: cut off, refused, echoed or swapped for another language. It is
-a plain value (Field) that can be stored and given to defects() again.
+fitted on pairs made from all prompts, whose defects are known because they were put there:
+cut off, refused, echoed or swapped for another language. The letters of the languages are
+counted over all prompts. The prompts fall by the hash of their id into shards of at most about
+SHARD, each shard trains a field on all of its prompts in batches, and the field is the mean
+of the shards' weights by their prompts (distributed training of a convex likelihood by
+mixture weights). It is a plain value (Field) that can be stored and given to defects() again.
 
 Defined results: null, blank and placeholder responses are empty; without a prompt or with
 a language that cannot be told, no language defect is given; null instructions are as
@@ -19,10 +22,11 @@ from __future__ import annotations
 import random
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import islice
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +36,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glosswright.llm import lang, made_pairs
-from glosswright.llm.crf import ChainCRF, Sparse
-from glosswright.runtime import spread
+from glosswright.llm.crf import Batch, ChainCRF, Sparse
+from glosswright.runtime import cut, spread
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
 DEFECT = {REFUSAL: "refusal", ECHO: "copy", FOREIGN: "language", UNFINISHED: "truncated"}
-SAMPLE_ROWS = 150
+#: Prompts of a batch and of a shard, about; steps of a shard's fit, at least. Every prompt is in one batch of one shard.
+BATCH = 150
+SHARD = 1_500
 STEPS = 130
+#: Tasks among which the shards are divided.
+TASKS = 2_000
 LEAD_IN_WORDS = 8
 #: Hashed features of a clause, and clauses of a training chain; longer responses train as several chains.
 BITS = 14
@@ -364,32 +372,92 @@ def training_pairs(prompts: list[tuple[str, str]], letters: lang.CharacterModel,
     return out
 
 
-def train(prompts: list[tuple[str, str]], letters: lang.CharacterModel | None = None) -> Field | None:
-    """The field, fitted on pairs made from (input, instruction) prompts; None without any."""
-    letters = letters or lang.CharacterModel([source for source, _ in prompts])
-    made = training_pairs(prompts, letters)
-    if not made:
-        return None
+def _batch(prompts: list[tuple[str, str]], letters: lang.CharacterModel, seed: int) -> Batch | None:
+    """The pairs made from some prompts, laid out for the fit; None without any."""
     xs, tags, sparse = [], [], []
-    for pair, t in made:
+    for pair, t in training_pairs(prompts, letters, seed):
         ends = np.concatenate([[0], np.cumsum(pair.sparse[2])])
         for a in range(0, len(t), CHAIN):
             b = min(len(t), a + CHAIN)
             xs.append(pair.features[a:b])
             tags.append(np.array(t[a:b]))
             sparse.append((pair.sparse[0][ends[a] : ends[b]], pair.sparse[1][ends[a] : ends[b]], pair.sparse[2][a:b]))
-    return Field(ChainCRF.fit(xs, tags, len(TAGS), steps=STEPS, sparse=sparse, size=1 << BITS), letters)
+    return Batch(xs, tags, len(TAGS), sparse, 1 << BITS) if xs else None
+
+
+def fit_shard(prompts: list[tuple[str, str]], letters: lang.CharacterModel, shard: int = 0) -> ChainCRF | None:
+    """The random field, fitted on pairs made from each of the prompts; None without any."""
+    n = max(1, round(len(prompts) / BATCH))
+    bounds = [len(prompts) * k // n for k in range(n + 1)]
+    made = [_batch(prompts[a:b], letters, 7 + shard * 1_000 + k) for k, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+    made = [b for b in made if b is not None]
+    return ChainCRF.fit_batches(made, STEPS) if made else None
 
 
-def fit(entries: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field | None:
-    """The field, fitted on pairs made from the *sample_rows* prompts with the least id hash."""
+def train(prompts: list[tuple[str, str]], letters: lang.CharacterModel | None = None) -> Field | None:
+    """The field, fitted in this process on pairs made from (input, instruction) prompts; None without any."""
+    letters = letters or lang.CharacterModel([source for source, _ in prompts])
+    crf = fit_shard(prompts, letters)
+    return Field(crf, letters) if crf else None
+
+
+def fit_letters(prompts: DataFrame) -> lang.CharacterModel:
+    """The model of the languages' letters, counted over the input_text of all rows."""
+    texts = prompts.select("input_text")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = lang.CharacterModel.runs(t for batch in batches for t in batch.column(0).to_pylist())
+        rows = [(c, g, n) for c, grams in found.items() for g, n in grams.items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], type=kind) for k, kind in enumerate((pa.string(), pa.string(), pa.int64()))], names=["language", "run", "n"])
+
+    runs: dict[str, Counter] = {c: Counter() for c in lang.ORDER}
+    # as many rows as there are runs of three letters in four languages
+    for r in texts.mapInArrow(count, "language string, run string, n bigint").groupBy("language", "run").agg(F.sum("n").alias("n")).collect():
+        runs[r.language][r.run] = r.n
+    letters = lang.CharacterModel([])
+    letters.fit_runs(runs)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = letters.stretches(t for batch in batches for t in batch.column(0).to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array(lang.ORDER), *(pa.array(c) for c in sums.T)], names=["language", "n", "total", "squares"])
+
+    sums = texts.mapInArrow(score, "language string, n double, total double, squares double").groupBy("language").agg(*[F.sum(c).alias(c) for c in ("n", "total", "squares")]).collect()
+    by_language = {r.language: (r.n, r.total, r.squares) for r in sums}
+    letters.fit_usual(np.array([by_language.get(c, (0.0, 0.0, 0.0)) for c in lang.ORDER]))
+    letters.forget()  # workers fill their own
+    return letters
+
+
+def fit(entries: DataFrame) -> Field | None:
+    """The field, fitted on pairs made from the prompts of all entries."""
+    once = entries.where("input_text is not null").select("entry_id", "input_text", F.coalesce("instruction", F.lit("")).alias("instruction")).dropDuplicates(["entry_id"])
+    prompts = cut(once)  # read three times
+    n = prompts.count()
+    if not n:
+        return None
+    letters = fit_letters(prompts)
+    shards = -(-n // SHARD)
     h = F.xxhash64("entry_id")
-    ids = entries.where("input_text is not null").select(h.alias("h")).distinct().orderBy("h").limit(sample_rows).collect()
-    if not ids:
+    dealt = prompts.select("entry_id", "input_text", "instruction", F.pmod(h, F.lit(shards)).cast("int").alias("s"), h.alias("h"))
+    dealt = dealt.repartitionById(min(shards, TASKS), F.pmod("s", F.lit(min(shards, TASKS)))).sortWithinPartitions("s", "h", "entry_id").select("s", "input_text", "instruction")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
+        total, seen = np.zeros(1), 0
+        for s, group in groupby(rows, key=lambda r: r[0]):
+            own = [r[1:] for r in group]
+            if crf := fit_shard(own, letters, s):
+                total, seen = total + len(own) * crf.weights(), seen + len(own)
+        if seen:
+            # place 0 has the prompts that count
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total) + 1)), pa.array(np.concatenate([[seen], total]))], names=["place", "value"])
+
+    # a fixed number of rows, one for each weight
+    sums = dealt.mapInArrow(run, "place bigint, value double").groupBy("place").agg(F.sum("value").alias("value")).orderBy("place").toArrow()
+    if not sums.num_rows:
         return None
-    # only hashes were sorted; now the few rows under the greatest of them are read
-    rows = entries.where("input_text is not null").where(h <= ids[-1].h).select("input_text", "instruction", h.alias("h")).dropDuplicates(["h"]).collect()
-    return train([(r.input_text, r.instruction or "") for r in sorted(rows, key=lambda r: r.h)])
+    value = sums.column("value").to_numpy()
+    return Field(ChainCRF.from_weights(value[1:] / value[0], N_FEATURES, len(TAGS)), letters)
 
 
 def defects(entries: DataFrame, model: Field | None) -> DataFrame:
