@@ -8,65 +8,76 @@ import numpy as np
 Sparse = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def _sums(x: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Sums of consecutive stretches of x; a stretch may be empty."""
-    total = np.concatenate([[0.0], np.cumsum(x)])
-    ends = np.cumsum(counts)
-    return total[ends] - total[ends - counts]
+def stretch_sums(x: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive stretches of x along its last axis; a stretch may be empty."""
+    out, full = np.zeros((*x.shape[:-1], len(counts))), counts > 0
+    if full.any():
+        out[..., full] = np.add.reduceat(x, (np.cumsum(counts) - counts)[full], axis=-1)
+    return out
 
 
 class Batch:
-    """Sequences with their tags, laid out for the gradient of their likelihood."""
+    """Sequences with their tags, laid out for the gradient of their likelihood.
+
+    Places lie by their number in the sequence, then by sequence, longest first: those of one
+    number are a stretch, and its first so many go on. Equal hashed features are held once.
+    """
 
     def __init__(self, sequences: list[np.ndarray], tags: list[np.ndarray], n_tags: int, sparse: list[Sparse] | None = None, size: int = 0):
         longest_first = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-        sequences, tags = [sequences[i] for i in longest_first], [tags[i] for i in longest_first]
-        sparse = [sparse[i] for i in longest_first] if sparse else None
-        b, t = len(sequences), len(sequences[0])
-        self.n_tags, self.size, self.shape, self.sparse = n_tags, size, (b, t, n_tags), bool(sparse)
-        lengths = np.array([len(s) for s in sequences])
-        self.live = [int((lengths > k).sum()) for k in range(t)]  # sequences that reach place k: the first so many
-        self.x, y = np.concatenate(sequences), np.concatenate(tags)
-        self.mask = np.arange(t) < lengths[:, None]
-        gold = np.zeros(self.shape)
-        gold[self.mask] = self.gold = np.eye(n_tags)[y]
-        self.pair_gold = np.einsum("bti,btj->ij", gold[:, :-1], gold[:, 1:])
+        lengths = np.array([len(sequences[i]) for i in longest_first])
+        self.n_tags, self.size, self.sparse, self.n = n_tags, size, bool(sparse), len(sequences)
+        number = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        order = np.argsort(number, kind="stable")
+        self.live = np.bincount(number, minlength=lengths[0]).tolist()  # sequences that reach place k: the first so many
+        self.at = np.concatenate([[0], np.cumsum(self.live)]).tolist()
+        self.x = np.concatenate([sequences[i] for i in longest_first])[order]
+        self.across = np.ascontiguousarray(self.x.T)
+        self.gold = np.ascontiguousarray(np.eye(n_tags)[np.concatenate([tags[i] for i in longest_first])[order]].T)
+        self.pair_gold = np.zeros((n_tags, n_tags))
+        for k, n in enumerate(self.live[1:]):
+            p, q = self.at[k], self.at[k + 1]
+            self.pair_gold += self.gold[:, p : p + n] @ self.gold[:, q : q + n].T
         if sparse:
-            self.index, self.value, self.counts = (np.concatenate([s[k] for s in sparse]) for k in range(3))
-            self.place = np.repeat(np.arange(len(self.x)), self.counts)
+            index, value, counts = (np.concatenate([sparse[i][k] for i in longest_first]) for k in range(3))
+            ends, kinds = np.cumsum(counts), {}
+            buckets, values = index.tobytes(), value.tobytes()
+            i, v = index.itemsize, value.itemsize
+            kind = np.array([kinds.setdefault((buckets[a * i : b * i], values[a * v : b * v]), len(kinds)) for a, b in zip((ends - counts).tolist(), ends.tolist())])
+            first = np.unique(kind, return_index=True)[1]
+            self.kind, self.counts = kind[order], counts[first]
+            held = np.repeat((ends - counts)[first] - np.cumsum(self.counts) + self.counts, self.counts) + np.arange(self.counts.sum())
+            self.index, self.value, self.row = index[held], value[held], np.repeat(np.arange(len(first)), self.counts)
 
     def gradient(self, emission: np.ndarray, transition: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
         """Of the mean log likelihood, by the dense and transition weights and by the hashed ones."""
-        (b, t, n_tags), live, mask = self.shape, self.live, self.mask
-        flat = self.x @ emission
+        live, at = self.live, self.at
+        score = emission.T @ self.across
         if self.sparse:
-            flat += np.stack([_sums(h[k, self.index] * self.value, self.counts) for k in range(n_tags)], axis=1)
-        score = np.zeros(self.shape)
-        score[mask] = flat
+            for k, w in enumerate(h):
+                score[k] += stretch_sums(w[self.index] * self.value, self.counts)[self.kind]
         # exponentials are taken against the best tag of each place, so that they stay in range
-        top = score.max(2, keepdims=True)
-        local, step_to = np.exp(score - top), np.exp(transition - transition.max())
-        alpha, beta = np.zeros_like(score), np.ones_like(score)
-        alpha[:, 0] = local[:, 0] / local[:, 0].sum(1, keepdims=True)
-        for k in range(1, t):
-            n = live[k]
-            a = (alpha[:n, k - 1] @ step_to) * local[:n, k]
-            alpha[:n, k] = a / a.sum(1, keepdims=True)
-        pair = np.zeros((n_tags, n_tags))
-        for k in range(t - 2, -1, -1):
-            n = live[k + 1]
-            ahead = local[:n, k + 1] * beta[:n, k + 1]
-            both = alpha[:n, k, :, None] * step_to * ahead[:, None, :]
-            pair += (both / both.sum((1, 2), keepdims=True)).sum(0)
-            back = ahead @ step_to.T
-            beta[:n, k] = back / back.sum(1, keepdims=True)
+        local, step_to = np.exp(score - score.max(0)), np.exp(transition - transition.max())
+        alpha, beta = np.empty_like(local), np.ones_like(local)
+        alpha[:, : live[0]] = local[:, : live[0]] / local[:, : live[0]].sum(0)
+        for k in range(1, len(live)):
+            p, q, n = at[k - 1], at[k], live[k]
+            a = (step_to.T @ alpha[:, p : p + n]) * local[:, q : q + n]
+            alpha[:, q : q + n] = a / a.sum(0)
+        pair = np.zeros_like(step_to)
+        for k in range(len(live) - 2, -1, -1):
+            p, q, n = at[k], at[k + 1], live[k + 1]
+            ahead, here = local[:, q : q + n] * beta[:, q : q + n], alpha[:, p : p + n]
+            back = step_to @ ahead
+            pair += step_to * ((here / (here * back).sum(0)) @ ahead.T)
+            beta[:, p : p + n] = back / back.sum(0)
         node = alpha * beta
-        node = node[mask]
-        miss = self.gold - node / node.sum(1, keepdims=True)
-        dense = np.concatenate([(self.x.T @ miss).ravel(), (self.pair_gold - pair).ravel()]) / b
+        miss = self.gold - node / node.sum(0)
+        dense = np.concatenate([(miss @ self.x).T.ravel(), (self.pair_gold - pair).ravel()]) / self.n
         if not self.sparse:
             return [dense, np.zeros_like(h)]
-        return [dense, np.stack([np.bincount(self.index, weights=miss[self.place, k] * self.value, minlength=self.size) for k in range(n_tags)]) / b]
+        by_kind = [np.bincount(self.kind, weights=m, minlength=len(self.counts)) for m in miss]
+        return [dense, np.stack([np.bincount(self.index, weights=m[self.row] * self.value, minlength=self.size) for m in by_kind]) / self.n]
 
 
 class ChainCRF:
@@ -123,7 +134,7 @@ class ChainCRF:
         if sparse and self.hashed is not None:
             index, value, counts = (np.concatenate([sparse[i][k] for i in order]) for k in range(3))
             found = self.hashed[index] * value[:, None]
-            score += np.stack([_sums(c, counts) for c in found.T], axis=1)
+            score += stretch_sums(np.ascontiguousarray(found.T), counts).T
         best, back = [score[starts[lengths > 0]]], []
         for k in range(1, lengths[0]):
             live = int((lengths > k).sum())

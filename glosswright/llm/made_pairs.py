@@ -66,9 +66,12 @@ RULES = {
 }
 
 
+SLOTS = {language: {k: v.split("|") for k, v in slots.items()} for language, slots in REFUSAL.items()}
+
+
 def refusal(rng: random.Random, language: str) -> tuple[str, str, str]:
     """(what stands before, the declining words, what stands after) in *language*."""
-    slots = {k: v.split("|") for k, v in REFUSAL[language].items()}
+    slots = SLOTS[language]
     if rng.random() < 0.35:
         core = rng.choice(slots["whole"])
         if rng.random() < 0.3 and (opener := rng.choice(slots["sorry"])).endswith(","):

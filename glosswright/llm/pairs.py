@@ -23,10 +23,10 @@ import random
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import groupby, islice
+from itertools import chain, groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glosswright.llm import lang, made_pairs
-from glosswright.llm.crf import Batch, ChainCRF, Sparse
+from glosswright.llm.crf import Batch, ChainCRF, Sparse, stretch_sums
 from glosswright.runtime import cut, spread
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
@@ -49,6 +49,8 @@ STEPS = 130
 #: Tasks among which the shards are divided.
 TASKS = 2_000
 LEAD_IN_WORDS = 8
+#: Characters of the pairs whose features are made at once; their words stay under the numbers that CharacterModel.numbers gives. A longer pair is alone.
+BULK = 1_000_000
 #: Hashed features of a clause, and clauses of a training chain; longer responses train as several chains.
 BITS = 14
 CHAIN = 40
@@ -63,6 +65,9 @@ QUOTES_BEGIN, QUOTES_END = "\"“«„「『", "\"”»“」』"
 BRACKETS = {"]": "[", ")": "(", ">": "<", "）": "（", "】": "【"}
 #: A clause ends after closing punctuation before white space, at a line end after a mark, at an empty line, or after a full-width stop.
 BREAK = re.compile(r"(?<=[.!?…])[\"'”’»)]*\s+|(?<=[。！？｡])[」』”]*\s*|(?<=[:;\"”»)\]])\s*\n\s*|\n\s*\n\s*")
+#: BREAK for texts without full-width stops: it can only begin at these characters, which are found faster than places behind a stop.
+HALF_BREAK = re.compile(r"""[\s"'”’»)](?:(?<=[.!?…]\s)\s*|(?<=[.!?…]["'”’»)])["'”’»)]*\s+|(?<=[:;"”»)\]]\n)\s*|(?<=[:;"”»)\]]\s)\s*\n\s*|(?<=\n)\s*\n\s*)""")
+FULL_STOP = re.compile("[。！？｡]")
 ASKED = [
     (c, re.compile(rf"\b(?:{names})\b"))
     for c, names in (
@@ -156,22 +161,21 @@ def clauses(output: str) -> list[str]:
         text = MARKER.sub(" ", text)
     if any(c in text for c in "[(<♪♫"):
         text = DIRECTION.sub(" ", text)
-    return [c.strip() for c in BREAK.split(text) if any(map(str.isalnum, c))]
+    return [c.strip() for c in (BREAK if FULL_STOP.search(text) else HALF_BREAK).split(text) if any(map(str.isalnum, c))]
+
+
+@lru_cache(maxsize=4_000)
+def _words(clause: str) -> list[str]:
+    """The words of a clause in lower case; made pairs say a prompt's clauses again and again."""
+    return WORDS(clause.lower())
 
 
 @lru_cache(maxsize=10_000)
-def _asked(instruction: str) -> tuple[tuple[str, ...], frozenset, str | None]:
-    """Words of an instruction, as a set too, and the language it names last."""
+def _asked(instruction: str) -> tuple[tuple[str, ...], str | None]:
+    """Words of an instruction, and the language it names last."""
     request, words = plain(instruction), WORDS(instruction.lower())
     named = [(m.start(), c) for c, p in ASKED for m in p.finditer(request)]
-    return tuple(words), frozenset(words), max(named)[1] if named else None
-
-
-def _grams(numbers: np.ndarray) -> set[int]:
-    """The stretches of three words, or all words of a shorter text, as whole numbers."""
-    if len(numbers) < 3:
-        return {-1 - sum(k << 20 * i for i, k in enumerate(numbers.tolist()))} if len(numbers) else set()
-    return set((numbers[:-2] << 40 | numbers[1:-1] << 20 | numbers[2:]).tolist())
+    return tuple(words), max(named)[1] if named else None
 
 
 def _bucket(key: str) -> int:
@@ -183,12 +187,12 @@ def _word_bucket(word: str) -> int:
     return _bucket(plain(word))
 
 
-def _hashed(words: list[str], clause: np.ndarray, clauses: int) -> Sparse:
-    """Buckets of each clause's words, pairs and pairs with a gap; *clause* numbers the words' clauses."""
-    n, mask = len(words), (1 << BITS) - 1
+def _hashed(one: np.ndarray, clause: np.ndarray, clauses: int) -> Sparse:
+    """Buckets of each clause's words, pairs and pairs with a gap; *one* has the words' buckets, *clause* numbers their clauses."""
+    n, mask = len(one), (1 << BITS) - 1
     index, there = np.zeros((n, 3), dtype=np.int64), np.ones((n, 3), dtype=bool)
     if n:
-        index[:, 0] = one = np.array(list(map(_word_bucket, words)), dtype=np.int64)
+        index[:, 0] = one
         index[1:, 1] = (one[:-1] * 40_503 + one[1:] * 2_654_435_761 + 1) >> 3 & mask
         index[2:, 2] = (one[:-2] * 48_271 + one[2:] * 2_246_822_519 + 7) >> 4 & mask
         there[:1, 1] = there[:2, 2] = False
@@ -202,61 +206,26 @@ class Pair:
     """One pair, its clauses and their features."""
 
     def __init__(self, input_text: str | None, instruction: str | None, output: str, letters: lang.CharacterModel):
-        self.source, self.request = input_text or "", instruction or ""
-        self.output = output
-        self.texts = clauses(output)
-        words = [WORDS(c.lower()) for c in self.texts]
-        self.sizes = np.array([len(w) for w in words])
-        self.source_words = WORDS(self.source.lower())
-        asked_words, request, named = _asked(self.request)
-        self.request_words = list(asked_words)
-        self.words = [w for c in words for w in c]
-        source = set(self.source_words)
-        numbers = letters.numbers([*self.source_words, *self.words, *asked_words])
-        n_source, n_words = len(self.source_words), len(self.words)
-        source_grams, mine, request_grams = (_grams(x) for x in (numbers[:n_source], numbers[n_source : n_source + n_words], numbers[n_source + n_words :]))
-        both = len(source_grams & mine)
-        covers = both / max(1, len(source_grams))
-        within = both / max(1, len(mine))
-        asked = len(request_grams & mine) / max(1, len(request_grams))
-        # the language the instruction names, else that of the input
-        self.expected = named or letters.guess(letters.table[numbers[:n_source]].sum(0))
-        ends = np.concatenate([[0], np.cumsum(self.sizes)]).astype(int)
-        total = np.concatenate([np.zeros((1, 1 + len(lang.ORDER))), np.cumsum(letters.table[numbers[n_source : n_source + n_words]], axis=0)])
-        sums = total[ends[1:]] - total[ends[:-1]]
-        self.spoken = letters.guess(total[-1])
-        strange = float(bool(self.expected and self.spoken and self.spoken != self.expected))
-        whole = ended(output)
-        unlike, lead = np.zeros(len(words)), np.zeros(len(words))
-        if self.expected in lang.ORDER and len(words):
-            own, runs = lang.ORDER.index(self.expected), np.maximum(1.0, sums[:, 0])
-            weight, mean = np.minimum(1.0, sums[:, 0] / 40), sums[:, 1:] / runs[:, None]
-            unlike = weight * np.clip((letters.usual[own, 0] - mean[:, own]) / letters.usual[own, 1], -2.0, 6.0)
-            lead = weight * np.minimum(4.0, mean.max(1) - mean[:, own])
-        many = np.maximum(1, self.sizes)
-        in_source, in_request = (self._shares(held, ends) / many for held in (source, request))
-        n = len(words)
-        first, final = np.zeros(n), np.zeros(n)
-        first[:1] = final[-1:] = 1.0
-        told = (1.0, float(n == 1), covers * within, asked, float(covers * within > 0.9), 3.0 * strange, 3.0 * (strange and self.spoken == letters.OTHER))
-        columns = (
-            in_source, in_request, 1.0 - in_source, (in_request > 0.9) * float(asked > 0.9), unlike / 2, lead, lead > 0.5, unlike > 2.5,
-            first, final, final * (0.0 if whole else 4.0), final * float(whole), np.minimum(many, 30) / 15,
-        )
-        self.features = np.empty((n, N_FEATURES))
-        self.features[:, : len(told)] = told
-        for k, column in enumerate(columns, len(told)):
-            self.features[:, k] = column
-        # what is taken from the prompt says nothing by its words
-        speak = np.maximum(in_source, in_request) < 0.9
-        clause = np.repeat(np.arange(len(words)), self.sizes)[np.repeat(speak, self.sizes)] if len(words) else np.zeros(0, dtype=int)
-        self.sparse = _hashed([w for ws, s in zip(words, speak) if s for w in ws], clause, len(words))
-
-    def _shares(self, held: frozenset | set, ends: np.ndarray) -> np.ndarray:
-        """How many words of each clause are in *held*."""
-        total = np.zeros(len(self.words) + 1)
-        np.cumsum(np.fromiter(map(held.__contains__, self.words), dtype=bool, count=len(self.words)), out=total[1:])
-        return total[ends[1:]] - total[ends[:-1]]
+        self.source, self.request, self.output = input_text or "", instruction or "", output
+        _describe([self], letters)
+
+    @classmethod
+    def many(cls, rows: Iterable[tuple[str | None, str | None, str]], letters: lang.CharacterModel) -> list[Pair]:
+        """A pair for each (input_text, instruction, output); features are made of BULK characters at once."""
+        out: list[Pair] = []
+        bulk, size = 0, 0
+        for source, request, output in rows:
+            pair = cls.__new__(cls)
+            pair.source, pair.request, pair.output = source or "", request or "", output
+            own = len(pair.source) + len(pair.request) + len(output)
+            if size + own > BULK and bulk < len(out):
+                _describe(out[bulk:], letters)
+                bulk, size = len(out), 0
+            out.append(pair)
+            size += own
+        if bulk < len(out):
+            _describe(out[bulk:], letters)
+        return out
 
     def cover(self, tags: np.ndarray) -> np.ndarray:
         """Share of the response's words under each tag."""
@@ -279,13 +248,111 @@ class Pair:
     def is_copy(self) -> bool:
         """Exact check: the words are those of input, instruction or both, after a short lead-in."""
         words = WORDS(self.output.lower())
-        ways = [self.source_words, self.request_words, self.request_words + self.source_words, self.source_words + self.request_words]
+        request = list(self.request_words)
+        ways = [self.source_words, request, request + self.source_words, self.source_words + request]
         return any(w and words[len(words) - len(w) :] == w and 0 <= len(words) - len(w) <= LEAD_IN_WORDS for w in ways)
 
 
 N_FEATURES = 20
 
 
+def _held(words: np.ndarray, begin: list[int], end: list[int], owner: list[int], of_owner: list[np.ndarray], size: int) -> np.ndarray:
+    """Whether each word of a pair, from begin to end, is one of its owner's; words are numbers under *size*."""
+    mark, out = np.zeros(size, dtype=bool), np.zeros(len(words), dtype=bool)
+    for o, run in groupby(range(len(owner)), owner.__getitem__):
+        run = list(run)
+        a, b = begin[run[0]], end[run[-1]]
+        mark[of_owner[o]] = True
+        out[a:b] = mark[words[a:b]]
+        mark[of_owner[o]] = False
+    return out
+
+
+def _describe(pairs: list[Pair], letters: lang.CharacterModel) -> None:
+    """Gives the pairs their clauses and features; what they hold does not depend on the pairs beside them.
+
+    Clauses, inputs and instructions that stand several times are looked up once.
+    """
+    kinds, sources, requests = {}, {}, {}
+    for p in pairs:
+        p.texts = clauses(p.output)
+    kind = np.array([kinds.setdefault(c, len(kinds)) for p in pairs for c in p.texts], dtype=np.int64)
+    source_of = [sources.setdefault(p.source, len(sources)) for p in pairs]
+    request_of = [requests.setdefault(p.request, len(requests)) for p in pairs]
+    clause_words = [_words(c) if len(c) < 1_000 else WORDS(c.lower()) for c in kinds]
+    source_words = [WORDS(s.lower()) for s in sources]
+    asked = [_asked(r) for r in requests]
+    listed = [*clause_words, *source_words, *(a[0] for a in asked)]
+    length = np.array(list(map(len, listed)))
+    edge = np.concatenate([[0], np.cumsum(length)])
+    flat = list(chain.from_iterable(listed))
+    numbers = letters.numbers(flat)
+    looked = stretch_sums(letters.table[numbers].T, length)
+    bucket = np.fromiter(map(_word_bucket, flat[: edge[len(kinds)]]), dtype=np.int64, count=edge[len(kinds)])
+
+    n_clauses = np.array([len(p.texts) for p in pairs])
+    last = np.cumsum(n_clauses)
+    first = last - n_clauses
+    sizes = length[kind]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    begin, end = ends[first].tolist(), ends[last].tolist()  # of each pair's words
+    at = np.repeat(edge[kind] - ends[:-1], sizes) + np.arange(ends[-1])
+    words = numbers[at]
+
+    def grams(x: np.ndarray, a: list[int], b: list[int]) -> Iterator[set[int]]:
+        """The stretches of three words from each a to its b, or all words of fewer, as whole numbers."""
+        threes = (x[:-2] << 40 | x[1:-1] << 20 | x[2:]).tolist()
+        for i, j in zip(a, b):
+            yield set(threes[i : j - 2]) if j - i > 2 else {-1 - sum(k << 20 * m for m, k in enumerate(x[i:j].tolist()))} if j > i else set()
+
+    # of each input, then of each instruction
+    a, b = edge[len(kinds) : -1].tolist(), edge[len(kinds) + 1 :].tolist()
+    own_words, own_grams = [numbers[i:j] for i, j in zip(a, b)], list(grams(numbers, a, b))
+    n = len(sources)
+    guesses = letters.guesses(looked[:, len(kinds) : len(kinds) + n].T)
+    sums = looked[:, kind]
+    of_pairs: list[tuple[float, ...]] = []
+    own = np.full(len(pairs), -1)  # the expected language, of those known
+    for k, (p, s, r, mine, speaks) in enumerate(zip(pairs, source_of, request_of, grams(words, begin, end), letters.guesses(stretch_sums(sums, n_clauses).T))):
+        p.source_words, (p.request_words, named) = source_words[s], asked[r]
+        both = len(own_grams[s] & mine)
+        copied = both / max(1, len(own_grams[s])) * (both / max(1, len(mine)))
+        of_request = own_grams[n + r]
+        # the language the instruction names, else that of the input
+        p.expected, p.spoken = named or guesses[s], speaks
+        strange = float(bool(p.expected and speaks and speaks != p.expected))
+        of_pairs.append((1.0, float(len(p.texts) == 1), copied, len(of_request & mine) / max(1, len(of_request)), float(copied > 0.9), 3.0 * strange, 3.0 * (strange and speaks == letters.OTHER)))
+        if p.expected in lang.ORDER:
+            own[k] = lang.ORDER.index(p.expected)
+    many = np.maximum(1, sizes)
+    in_source, in_request = (stretch_sums(_held(words, begin, end, owner, held, len(letters.table)).astype(float), sizes) / many for owner, held in ((source_of, own_words[:n]), (request_of, own_words[n:])))
+    n = len(sizes)
+    own = np.repeat(own, n_clauses)
+    known = own >= 0
+    mean, weight = (sums[1:] / np.maximum(1.0, sums[0])), np.minimum(1.0, sums[0] / 40)
+    expected = mean[own, np.arange(n)]
+    unlike = np.where(known, weight * np.clip((letters.usual[own, 0] - expected) / letters.usual[own, 1], -2.0, 6.0), 0.0)
+    lead = np.where(known, weight * np.minimum(4.0, mean.max(0) - expected), 0.0)
+    whole = np.repeat(np.array([ended(p.output) for p in pairs], dtype=float), n_clauses)
+    opens, closes = np.zeros(n), np.zeros(n)
+    opens[first[n_clauses > 0]] = closes[last[n_clauses > 0] - 1] = 1.0
+    told = np.repeat(np.array(of_pairs), n_clauses, axis=0)
+    features = np.empty((n, N_FEATURES))
+    features[:, : told.shape[1]] = told
+    columns = (
+        in_source, in_request, 1.0 - in_source, (in_request > 0.9) & (told[:, 3] > 0.9), unlike / 2, lead, lead > 0.5, unlike > 2.5,
+        opens, closes, closes * (1.0 - whole) * 4.0, closes * whole, np.minimum(many, 30) / 15,
+    )
+    for k, column in enumerate(columns, told.shape[1]):
+        features[:, k] = column
+    # what is taken from the prompt says nothing by its words
+    speak = np.repeat(np.maximum(in_source, in_request) < 0.9, sizes)
+    index, value, counts = _hashed(bucket[at[speak]], np.repeat(np.arange(n), sizes)[speak], n)
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    for p, a, b, i, j in zip(pairs, first.tolist(), last.tolist(), ends[first].tolist(), ends[last].tolist()):
+        p.sizes, p.features, p.sparse = sizes[a:b], features[a:b], (index[i:j], value[i:j], counts[a:b])
+
+
 @dataclass
 class Field:
     """What defects() needs: the random field and the model of the languages' letters."""
@@ -294,33 +361,45 @@ class Field:
     letters: lang.CharacterModel
 
 
+#: What a space becomes in an echo.
+GAPS = [" ", " ", "\n", "  "]
+
+
+def gaps(rng: random.Random, n: int) -> list[str]:
+    """n times rng.choice(GAPS), of the same random bits."""
+    out: list[str] = []
+    while len(out) < n:
+        k = rng.getrandbits(3)
+        if k < 4:
+            out.append(GAPS[k])
+    return out
+
+
 def training_pairs(prompts: list[tuple[str, str]], letters: lang.CharacterModel, seed: int = 7) -> list[tuple[Pair, list[int]]]:
     """Pairs with known clause tags, made from (input, instruction) prompts."""
-    rng, out = random.Random(seed), []
-    guess = lambda text: letters.guess(letters.sums(WORDS(text.lower())))
+    rng = random.Random(seed)
+    rows: list[tuple[str, str, str]] = []
+    tagged: list[tuple[int, list[int], bool, int]] = []  # of each row: its clauses' tag, the tags of its last ones, whether its words count, how many clauses it must have
+    words = [WORDS(source.lower()) for source, _ in prompts]
+    spoken = letters.guesses(np.array([letters.sums(w) for w in words]).reshape(len(words), -1))
+    parts_of = lru_cache(maxsize=None)(clauses)
     by_language: dict[str, list[str]] = {}
-    for source, _ in prompts:
-        by_language.setdefault(guess(source) or "", []).append(source)
+    for (source, _), own in zip(prompts, spoken):
+        by_language.setdefault(own or "", []).append(source)
 
     def add(source: str, request: str, output: str, tag: int, last: int | None = None, with_words: bool = True) -> None:
-        pair = Pair(source, request, output, letters)
-        if not with_words:
-            pair.sparse = (pair.sparse[0][:0], pair.sparse[1][:0], np.zeros_like(pair.sparse[2]))
-        if len(pair.texts):
-            tags = [tag] * len(pair.texts)
-            if last is not None:
-                tags[-1] = last
-            out.append((pair, tags))
-
-    for source, request in prompts:
-        own, parts = guess(source), clauses(source)
+        rows.append((source, request, output))
+        tagged.append((tag, [] if last is None else [last], with_words, 0))
+
+    for (source, request), own in zip(prompts, spoken):
+        parts = parts_of(source)
         if not parts:
             continue
         some = [p for p in parts if rng.random() < 0.6] or parts[:1]
         if len(parts) > 1 and len(some) == len(parts):
             some = some[:-1]
         lines = [f"NARRATOR: {p}" for p in some]
-        extra = [x for p in some for x in ([p, "For example, " + rng.choice(clauses(rng.choice(by_language[own or ""])) or [p])] if rng.random() < 0.5 else [p])]
+        extra = [x for p in some for x in ([p, "For example, " + rng.choice(parts_of(rng.choice(by_language[own or ""])) or [p])] if rng.random() < 0.5 else [p])]
         if len(parts) > 1:
             add(source, request, rng.choice(["", "Briefly: "]) + " ".join(some) + rng.choice(["", " (laughs)", " 🙂", " See https://x.example/a1"]), ANSWER)
             add(source, request, "\n".join([*lines, *rng.choice([[], ["[Pause]"]])]), ANSWER)
@@ -342,17 +421,18 @@ def training_pairs(prompts: list[tuple[str, str]], letters: lang.CharacterModel,
         told = rng.choice(["The baker refused to help and apologised later.", "They could not open the door that day.", "Nobody was allowed to edit the letter.", "She said she was sorry about the request."])
         add(f"{source} {told}", request, " ".join([*some, told]), ANSWER)
         for _ in range(3):
-            broken = "".join(rng.choice([" ", " ", "\n", "  "]) if c == " " else c for c in source)
+            head, *rest = source.split(" ")
+            broken = head + "".join([gap + w for gap, w in zip(gaps(rng, len(rest)), rest)])
             echo = rng.choice([source, source.lower(), source.upper(), broken, re.sub(r"[^\w\s']", "", source), f'"{source}"', f"{request}\n{source}", request or source])
             add(source, request, rng.choice(made_pairs.LEAD_INS) + " " + echo, ECHO)
         others = [c for c in by_language if c in lang.ORDER and c != own]
         for strange in rng.sample(made_pairs.OTHER_LANGUAGES, 2) if own in lang.ORDER else ():
-            foreign = clauses(strange)
+            foreign = parts_of(strange)
             # without their words: those of the next strange language will be new
             add(source, request, " ".join(rng.sample(foreign, rng.randrange(1, len(foreign) + 1))), FOREIGN, with_words=False)
         if own in lang.ORDER and others:
             other = rng.choice(others)
-            there = clauses(rng.choice(by_language[other]))[: rng.randrange(1, 8)]
+            there = parts_of(rng.choice(by_language[other]))[: rng.randrange(1, 8)]
             add(source, request, rng.choice([" ", "\n"]).join(there), FOREIGN, with_words=rng.random() < 0.5)
             ask = rng.choice(made_pairs.ASKS).format(made_pairs.ENGLISH_NAMES[other])
             asked = f"{request} {ask}"
@@ -366,9 +446,16 @@ def training_pairs(prompts: list[tuple[str, str]], letters: lang.CharacterModel,
             add(source, asked, rng.choice([" ".join(some), " ".join(extra), "\n".join(lines)]), FOREIGN)
             # a response that begins in one language and goes on in another
             mine, theirs = some[: rng.randrange(1, 3)], there[: rng.randrange(1, 5)]
-            pair = Pair(source, request, " ".join([*mine, *theirs]), letters)
-            if len(pair.texts) == len(mine) + len(theirs):
-                out.append((pair, [ANSWER] * len(mine) + [FOREIGN] * len(theirs)))
+            rows.append((source, request, " ".join([*mine, *theirs])))
+            tagged.append((ANSWER, [FOREIGN] * len(theirs), True, len(mine) + len(theirs)))
+    out = []
+    for pair, (tag, last, with_words, must) in zip(Pair.many(rows, letters), tagged):
+        n = len(pair.texts)
+        if not n or must and n != must:
+            continue
+        if not with_words:
+            pair.sparse = (pair.sparse[0][:0], pair.sparse[1][:0], np.zeros_like(pair.sparse[2]))
+        out.append((pair, [tag] * (n - len(last)) + last))
     return out
 
 
@@ -376,6 +463,11 @@ def _batch(prompts: list[tuple[str, str]], letters: lang.CharacterModel, seed: i
     """The pairs made from some prompts, laid out for the fit; None without any."""
     xs, tags, sparse = [], [], []
     for pair, t in training_pairs(prompts, letters, seed):
+        if len(t) <= CHAIN:
+            xs.append(pair.features)
+            tags.append(np.array(t))
+            sparse.append(pair.sparse)
+            continue
         ends = np.concatenate([[0], np.cumsum(pair.sparse[2])])
         for a in range(0, len(t), CHAIN):
             b = min(len(t), a + CHAIN)
@@ -472,15 +564,16 @@ def defects(entries: DataFrame, model: Field | None) -> DataFrame:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
                 found: list[str | None] = []
-                pairs, places = [], []
+                rows, places = [], []
                 cover = np.zeros((batch.num_rows, len(TAGS)))
                 for k, (request, source, output) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)))):
                     if is_empty(output):
                         found.append("empty")
                         continue
                     found.append(None)
-                    pairs.append(Pair(source, request, output, field.letters))
+                    rows.append((source, request, output))
                     places.append(k)
+                pairs = Pair.many(rows, field.letters)
                 for k, pair, tags in zip(places, pairs, field.crf.decode([p.features for p in pairs], [p.sparse for p in pairs])):
                     found[k] = pair.defect(tags)
                     if len(tags):
